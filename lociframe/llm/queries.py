@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociframe.llm import bpe, license_scan, secret_scan, warc
+from lociframe.llm import bpe, decontaminate, html_text, language_id, license_scan, near_dedup, secret_scan, warc
 from lociframe.llm.common import table
 
 #: The byte-level BPE file; another path can be set in the environment.
@@ -30,6 +30,24 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_id.learn(docs))
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = bpe.encode_decode(spark, table(spark, sf_dir, "documents"), bpe.read_vocabulary(VOCABULARY))
     return tokens.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -42,7 +60,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_language_id": op2_language_id,
     "op4_warc": op4_warc,
+    "op6_near_dedup": op6_near_dedup,
+    "op7_html_text": op7_html_text,
+    "op8_decontaminate": op8_decontaminate,
     "op9_bpe": op9_bpe,
     "op10_license_scan": op10_license_scan,
 }
@@ -72,6 +94,18 @@ SELECT page_id, strlen(p.html) AS payload_bytes, sha1(p.html) AS payload_digest,
        CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN first <> page_id THEN first END AS refers_to
 FROM p LEFT JOIN g ON p.html = g.html
+""",
+    "op6_near_dedup": r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS s FROM words),
+n AS (SELECT doc_id, len(s) AS n FROM sets),
+e AS (SELECT doc_id, unnest(s) AS x FROM sets),
+common AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT u, v FROM common JOIN n p ON p.doc_id = u JOIN n q ON q.doc_id = v WHERE 100 * k >= 75 * (p.n + q.n - k)),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.doc_id, l.v FROM reach r JOIN links l ON l.u = r.other),
+least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT n.doc_id, n AS n_shingles, component_id, n.doc_id = component_id AS kept FROM n JOIN least ON n.doc_id = least.doc_id
 """,
     "op10_license_scan": _license_sql(),
 }
