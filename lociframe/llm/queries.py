@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociframe.llm import bpe, decontaminate, html_text, language_id, license_scan, near_dedup, secret_scan, warc
+from lociframe.llm import bpe, decontaminate, html_text, language_id, license_scan, near_dedup, secret_scan, vector_search, warc
 from lociframe.llm.common import table
 
 #: The byte-level BPE file; another path can be set in the environment.
@@ -25,6 +25,11 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return vector_search.nearest(rows, rows.where("vec_id % 20 = 0"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages")))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -61,6 +66,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_language_id": op2_language_id,
+    "op3_vector_search": op3_vector_search,
     "op4_warc": op4_warc,
     "op6_near_dedup": op6_near_dedup,
     "op7_html_text": op7_html_text,
