@@ -49,9 +49,13 @@ class Kept:
 
     def __init__(self, df: DataFrame, name: str):
         self.spark = df.sparkSession
-        self.path = scratch_path(self.spark, name)
+        self.path, self.schema = scratch_path(self.spark, name), df.schema
         df.write.parquet(self.path)
-        self.df = self.spark.read.schema(df.schema).parquet(self.path)
+        self.df = self.read()
+
+    def read(self) -> DataFrame:
+        """The table once more, with columns of its own, as a side of a join with itself."""
+        return self.spark.read.schema(self.schema).parquet(self.path)
 
     def drop(self) -> None:
         _remove(self.spark, self.path)

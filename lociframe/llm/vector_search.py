@@ -172,10 +172,11 @@ def nearest(df: DataFrame, queries: DataFrame, neighbours: int = 20, id_col: str
     of their own length only; rows that repeat an id and vector count once. Fewer candidates give fewer
     rows, empty tables none. Every shard is searched for every query, QUERY_ROWS queries in a task.
     """
-    graphs = index(df, neighbours, id_col, vector_col).df
+    kept = index(df, neighbours, id_col, vector_col)
+    graphs = kept.df
     asked = Kept(usable(queries, id_col, vector_col).distinct(), "queries")
     chunks = max(1, -(-asked.df.count() // QUERY_ROWS))
-    where = graphs.select("dim", "shard").distinct()
+    where = kept.read().select("dim", "shard").distinct()
     q = asked.df.withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.lit(chunks)).cast("int"))
     q = q.join(where, "dim")  # to each shard of its length
     g = graphs.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
