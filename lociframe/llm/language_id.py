@@ -140,8 +140,9 @@ def identify(df: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col
     import pyarrow as pa
 
     shared = df.sparkSession.sparkContext.broadcast(profiles)
-    own = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"more{i}") for i, c in enumerate(more)])
-    kept = [f for f in own.schema if f.name != "text"]
+    names = {c: "text" if c == text_col else f"more{i}" for i, c in enumerate(more)}
+    own = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(n) for c, n in names.items() if n != "text"])
+    kept = [own.schema[n] for n in ("id", *names.values())]
 
     def run(batches: Iterator):
         from pyspark.sql.pandas.types import to_arrow_type
@@ -152,4 +153,4 @@ def identify(df: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col
         yield from batches_of(rows, schema)
 
     out = own.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept) + ", lang_pred string, score double")
-    return out.withColumnsRenamed({"id": id_col, **{f"more{i}": c for i, c in enumerate(more)}})
+    return out.withColumnsRenamed({"id": id_col, **{n: c for c, n in names.items()}})

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociframe.llm import bpe, decontaminate, html_text, language_id, license_scan, near_dedup, secret_scan, vector_search, warc
+from lociframe.llm import bpe, decontaminate, html_text, language_id, license_scan, line_dedup, near_dedup, secret_scan, vector_search, warc
 from lociframe.llm.common import table
 
 #: The byte-level BPE file; another path can be set in the environment.
@@ -41,6 +41,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -68,6 +72,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_vector_search": op3_vector_search,
     "op4_warc": op4_warc,
+    "op5_line_dedup": op5_line_dedup,
     "op6_near_dedup": op6_near_dedup,
     "op7_html_text": op7_html_text,
     "op8_decontaminate": op8_decontaminate,
