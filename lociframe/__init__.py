@@ -1,0 +1 @@
+"""Interval, read-pair and contact-matrix analytics as Spark DataFrame jobs."""

@@ -1,2 +1,8 @@
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+"""All registered queries of the interval, pair, matrix and table operators, and their SQL."""
+
+from __future__ import annotations
+
+from lociframe.plans import region_queries
+
+QUERIES: dict = {**region_queries.QUERIES}
+ORACLE_SQL: dict = {**region_queries.ORACLE_SQL}
