@@ -138,6 +138,9 @@ def labelled_pages() -> list[tuple[str, str]]:
         word = lambda i, n: " ".join(f"w{(i * 31 + j * 17 + k) % 97}" for j in range(n))
         menu = "".join(f'<li><a href="/{i}">{word(i, 1 + i % 2)}</a></li>' for i in range(5 + k % 6))
         body = "".join(f"<p>{word(i, 12 + (7 * i + k) % 60)} <a>{word(i, 2)}</a> <b>{word(i, 1)}</b> {word(i, 9)}</p>" for i in range(3 + k % 5))
+        if k % 3 == 0:
+            items = "".join(f"<li>{word(i, 4 + (5 * i + k) % 9)}</li>" for i in range(4))
+            body += f"<h2>{word(4, 3)}</h2><ul>{items}</ul><div><blockquote><p>{word(6, 25)}</p></blockquote></div><p>{word(7, 30)}</p>"
         title = f"<h1>{word(1, 6)}</h1>"
         furniture = f"<div><ul>{menu}</ul></div>", f"<div><span><a>{word(3, 3)}</a></span> <span>{word(5, 2)}</span></div>", f"<table><tr><td><a>{word(8, 2)}</a></td><td>{word(9, 1)}</td></tr></table>"
         inner = title + body
