@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from lociframe.plans import region_queries
+from lociframe.plans import region_queries, table_queries
 
-QUERIES: dict = {**region_queries.QUERIES}
-ORACLE_SQL: dict = {**region_queries.ORACLE_SQL}
+PARTS = (region_queries, table_queries)
+QUERIES: dict = {k: v for part in PARTS for k, v in part.QUERIES.items()}
+ORACLE_SQL: dict = {k: v for part in PARTS for k, v in part.ORACLE_SQL.items()}
