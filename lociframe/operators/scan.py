@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -121,7 +122,6 @@ def normal_tail(z):
 
 def tail(method: str, k: Column, n: Column, p: Column) -> Column:
     """P(X > k) as a column, Arrow batches at a time: binomial of n draws of chance p, Poisson or normal of the same mean."""
-    import pandas as pd
 
     @F.pandas_udf("double")
     def poisson(k: pd.Series, n: pd.Series, p: pd.Series) -> pd.Series:
