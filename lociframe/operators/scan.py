@@ -59,16 +59,16 @@ def library_size(df: DataFrame, max_label_value: int = 1) -> DataFrame:
 
 
 def _log_gamma(x):
-    """ln gamma of positive numbers, by Stirling's series from 8 on."""
+    """ln gamma of positive numbers, by Stirling's series from 16 on."""
     x = np.asarray(x, float)
 
     shift = np.zeros_like(x)
-    for _ in range(8):
-        low = x < 8
+    for _ in range(16):
+        low = x < 16
         shift = np.where(low, shift + np.log(np.where(low, x, 1)), shift)
         x = np.where(low, x + 1, x)
 
-    return (x - 0.5) * np.log(x) - x + 0.5 * math.log(2 * math.pi) + 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5) - shift
+    return (x - 0.5) * np.log(x) - x + 0.5 * math.log(2 * math.pi) + 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5) - 1 / (1680 * x**7) - shift
 
 
 def _sum_of_tail(first, ratio, least_terms: int = 20_000):
