@@ -90,9 +90,9 @@ def test_components(spark):
 
 
 def test_lines(spark):
-    words = "the quick brown fox jumps over one lazy dog while many other animals of this very old forest look on and wonder what made it do so on such a fine and sunny day in early spring"
+    words = " ".join(f"word{i * i % 97}x{i}" for i in range(120))
     rows = [
-        (3, "Same line here.\nown three"), (1, "Same line here.\nown one\n\nown one"), (2, "same  LINE, here\n" + words), (4, words.replace("wonder", "wonders")),
+        (3, "Same line here.\nown three"), (1, "Same line here.\nown one\n\nown one"), (2, "same  LINE, here\n" + words), (4, words.replace("word1x1 ", "word1x1 inserted ")),
         (5, None), (6, ""), (7, "\n\n"), (8, "Same line here."), (None, "null first\nSame line here."), (9, "null first"), (1, "Same line here.\nown one\n\nown one"),
     ]
     df = spark.createDataFrame([(i, t, "k", 1) for i, t in rows], "doc_id long, text string, doc string, rid int")
@@ -108,11 +108,16 @@ def test_lines(spark):
 
 
 def test_simhash_by_counting(spark):
-    text = " ".join(f"w{i % 13}" for i in range(40))
-    df = spark.createDataFrame([(1, 1, 0, 5, text)], "doc long, rid long, pos int, line long, norm string")
-    hashes = [r.h for r in spark.createDataFrame([(w,) for w in text.split()], "w string").select(F.xxhash64("w").alias("h")).collect()]
-    want = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-    assert line_dedup.simhashes(df).first().sim % (1 << 64) == want
+    rng = random.Random(12)
+    for n in (1, 9, 40, 127, 300):
+        words = [f"word{rng.randrange(n)}" for _ in range(n)]
+        hashes = [r.h for r in spark.createDataFrame([(w,) for w in words], "w string").select(F.xxhash64("w").alias("h")).collect()]
+        rows = line_dedup.line_table(spark.createDataFrame([(1, 1, "\n" + " ".join(words))], "doc long, rid long, text string")).collect()
+        assert sorted(r.run for r in rows) == list(range(-(-n // 127))) and {r.pos for r in rows} == {1}
+        for r in rows:
+            part = hashes[127 * r.run : 127 * (r.run + 1)]
+            want = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in part) > len(part))
+            assert r.sim % (1 << 64) == want and r.n == len(part)
 
 
 def test_pigeonholes_meet_within_distance(spark):
