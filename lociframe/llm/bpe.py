@@ -18,8 +18,8 @@ from lociframe.llm.common import batches_of, rows_of
 
 #: Splits text before the merges, as byte-level tokenizers do.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: A worker forgets the words it has seen beyond so many; they are only a cache.
-CACHED_WORDS = 1_000_000
+#: A worker remembers about so many words, the last ones seen, and so many answers to may_follow; both are only caches.
+CACHED_WORDS, CACHED_ANSWERS = 200_000, 1_000_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -71,6 +71,7 @@ class Vocabulary:
         self.mark = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.follows: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # the words before; those that come again move to words
         self.packed = [int(i).to_bytes(4, "little") for i in range(size)]
         self.table = np.array(self.bytes + [None], dtype=object)[:-1]
 
@@ -97,7 +98,7 @@ class Vocabulary:
                 limit_x, x = rank[x], parts[x][1]
             else:
                 limit_y, y = rank[y], parts[y][0]
-        if len(self.follows) > 4_000_000:
+        if len(self.follows) > CACHED_ANSWERS:
             self.follows.clear()
         self.follows[a << 32 | b] = good
         return good
@@ -149,9 +150,12 @@ class Vocabulary:
             pieces.append(find(text[at:] if at else text or ""))
             cut.append(pieces)
         words = {w for pieces in cut for p in pieces if isinstance(p, list) for w in p}
-        if len(self.words) + len(words) > CACHED_WORDS:
-            self.words.clear()
-        self.words.update(self.encode_words(words.difference(self.words)))
+        if len(self.words) > CACHED_WORDS // 2:
+            self.older, self.words = self.words, {}
+        missing = words.difference(self.words)
+        again = missing & self.older.keys()
+        self.words.update((w, self.older[w]) for w in again)
+        self.words.update(self.encode_words(missing - again))
         get = self.words.__getitem__
         return [b"".join([p if isinstance(p, bytes) else b"".join(map(get, p)) for p in pieces]) for pieces in cut]
 

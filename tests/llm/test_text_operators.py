@@ -185,3 +185,14 @@ def test_tokens_equal_the_library(spark):
     df = spark.createDataFrame([(1, t) for t in texts[:12]] + [(None, None)], "doc_id long, text string").withColumnRenamed("text", "ids")
     back = bpe.decode(spark, bpe.encode(spark, df, bpe.read_vocabulary(VOCABULARY), text_col="ids"), bpe.read_vocabulary(VOCABULARY))
     assert sorted(r.text for r in back.collect()) == sorted([*texts[:12], ""])
+
+
+def test_few_cached_words_change_no_tokens(monkeypatch):
+    source = bpe.read_vocabulary(VOCABULARY)
+    texts = [f"alpha beta{i % 3} gamma{i} alpha" for i in range(40)]
+    want = bpe.Vocabulary(source).encode_batch(texts)
+    monkeypatch.setattr(bpe, "CACHED_WORDS", 4)
+    monkeypatch.setattr(bpe, "CACHED_ANSWERS", 4)
+    v = bpe.Vocabulary(source)
+    assert [v.encode_batch([t])[0] for t in texts] == want
+    assert len(v.words) + len(v.older) <= 12
