@@ -226,3 +226,48 @@ def test_broken_archives():
     for bad in (text.replace(b"payload\r\n\r\n", b"paYload\r\n\r\n"), text[:-1], text + b"x", b"junk", text.replace(b"WARC/1.1", b"XXXX/1.1")):
         with pytest.raises(ValueError):
             read(gzip.compress(bad))
+
+
+def edits(a, b):
+    last = list(range(len(b) + 1))
+    for i, w in enumerate(a):
+        now = [i + 1]
+        for j, x in enumerate(b):
+            now.append(min(last[j] + (w != x), last[j + 1] + 1, now[j] + 1))
+        last = now
+    return last[-1]
+
+
+def test_alike_lines_by_brute_force(spark):
+    rng = random.Random(21)
+    vocab = [f"w{i}" for i in range(60)] + [f"longer{i}" for i in range(60)] + ["the"] * 20
+    lines = []
+    for n in (4, 5, 6, 9, 10, 14, 15, 20, 30, 50, 100) * 4:
+        base = [rng.choice(vocab) for _ in range(n)] if rng.random() < 0.8 else ["so", "on"] * (n // 2)
+        lines.append(base)
+        for share in (0.01, 0.05, 0.1, 0.15, 0.2):
+            w = list(base)
+            for _ in range(max(1, int(share * n))):
+                at = rng.randrange(len(w))
+                w[at : at + 1] = rng.choice(([], [rng.choice(vocab)], [rng.choice(vocab), w[at]]))
+                w = w or ["x"]
+            lines.append(w)
+    lines = sorted({" ".join(w) for w in lines})
+    rng.shuffle(lines)
+    root = list(range(len(lines)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(lines):
+        for j, b in enumerate(lines[:i]):
+            x, y = a.split(), b.split()
+            most = max(len(x), len(y)) // 5
+            if abs(len(x) - len(y)) <= most and edits(x, y) <= most:
+                p, q = sorted((top(i), top(j)))
+                root[q] = p
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = {r.doc_id for r in line_dedup.dedup_lines(df).collect() if r.n_removed == 0}
+    assert got == {i for i in range(len(root)) if root[i] == i} and len(got) < len(lines) / 2
