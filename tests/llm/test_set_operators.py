@@ -271,3 +271,10 @@ def test_alike_lines_by_brute_force(spark):
     df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
     got = {r.doc_id for r in line_dedup.dedup_lines(df).collect() if r.n_removed == 0}
     assert got == {i for i in range(len(root)) if root[i] == i} and len(got) < len(lines) / 2
+
+
+def test_short_lines_and_short_words_repeat(spark):
+    text = "the cat sat on the mat and saw a dog in the big old box"
+    rows = [(1, text), (2, text.replace("dog", "cow")), (3, "a b c d e"), (4, "a b c d"), (5, "a b c x y"), (6, "甲乙丙丁戊"), (7, "甲乙丙丁己"), (8, "甲乙丙子丑")]
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in out.collect() if r.n_removed) == [2, 4, 7]
