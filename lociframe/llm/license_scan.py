@@ -70,29 +70,43 @@ RULES = [
     ("Unlicense", ("unlicense_public", "unlicense_anyone")),
 ]
 
-#: Sentences end at a full stop, question or exclamation mark before white space, and at line ends.
+#: Known sentences and rules that the SQL does not have.
+MORE_SENTENCES = {
+    "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed": "bsd_as_is",
+    "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0": "mpl2_copy",
+    "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0": "mpl2_copy",
+}
+MORE_RULES = [("BSD-2-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_as_is"))]
+
+#: The SQL's sentences end at a full stop, question or exclamation mark before white space, and at line ends.
 BREAK = "[.!?]+[\\x20\\x09\\x0B-\\x0D]+|[.!?]*\\n+"
+#: Where no sentence goes on: list marks at a line's start, lines without a letter or digit, sentence marks before white space.
+HARD = r"\n[^a-z0-9]*\(?[a-z0-9]{1,2}\)[\x20\x09]+|\n[^a-z0-9\n]*(?=\n)|[.!?]+(?=[^a-z0-9\n]*\n)|[.!?]+[\x20\x09\x0B-\x0D]+"
 
 
 def find_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sentences: dict[str, str] | None = None, rules: list | None = None) -> DataFrame:
     """(id_col, sentence_ids, licenses) of each row with a recognised sentence, ids in text order.
 
     ``licenses`` has the sorted names of the licences with a matching rule; it is empty if sentences were
-    recognised but complete no rule. A sentence is recognised whole, wherever it stands; rules are
+    recognised but complete no rule. A sentence is recognised whole, wherever it stands, on one line or wrapped
+    over lines with or without comment marks; it starts and ends at a sentence mark, a line end or a list mark. Rules are
     matched against the recognised sentences only, so other text may stand between. Rows without a
     recognised sentence, null and empty texts give no row; repeated rows give one each; other columns
     are not read. All of it is built-in functions: the known sentences are a map literal of fixed size,
     each row is handled on its own, and nothing is shuffled.
     """
-    known = sentences or SENTENCES
+    known = sentences or SENTENCES | MORE_SENTENCES
     table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    # only sentences with a first word of a known one are normalised in full
-    ids = F.expr(f"split({text_ref(text_col)}, '{sql(BREAK)}')")
-    norm = F.transform(ids, lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
-    longest = max(map(len, known))
-    hits = F.filter(F.transform(F.filter(norm, lambda s: (F.length(s) <= longest) & s.isin(*known)), lambda s: F.element_at(table, s)), lambda i: i.isNotNull())
+    # in lower case, S and L are free to mark breaks and line ends
+    norm = F.regexp_replace(F.lower(F.col(text_ref(text_col))), r"\bv\.[\x20\x09]*\n?[^a-z0-9\n.!?]*(?=[0-9])", "v ")
+    norm = F.regexp_replace(F.regexp_replace(norm, HARD, " S "), r"\n", " L ")
+    norm = F.concat(F.lit("S "), F.trim(F.regexp_replace(norm, "[^a-z0-9SL]+", " ")), F.lit(" S"))
+    # the shorter first: what ends at a line end is not joined with the next line
+    any_known = "|".join(k.replace(" ", "(?: L)? ") for k in sorted(known, key=len))
+    found = F.regexp_extract_all(norm, F.lit(f"(?<=[SL] )({any_known})(?= [SL])"), F.lit(1))
+    hits = F.transform(found, lambda m: F.element_at(table, F.replace(m, F.lit(" L"), F.lit(""))))
     line = F.concat(F.lit(" "), F.array_join("sentence_ids", " "), F.lit(" "))
-    names = F.array(*[F.when(line.contains(" " + " ".join(seq) + " "), F.lit(name)) for name, seq in rules or RULES])
+    names = F.array(*[F.when(line.contains(" " + " ".join(seq) + " "), F.lit(name)) for name, seq in rules or RULES + MORE_RULES])
     found = df.select(F.col(id_col), hits.alias("sentence_ids")).where(F.size("sentence_ids") > 0)
     return found.withColumn("licenses", F.array_sort(F.array_distinct(F.filter(names, lambda n: n.isNotNull()))))
 

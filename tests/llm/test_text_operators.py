@@ -168,6 +168,81 @@ def test_licences(spark):
     assert license_scan.find_licenses(empty).count() == 0
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD2 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+%s Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+%s Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+
+
+def test_wrapped_licences(spark):
+    marked = lambda text, mark: "\n".join(f"{mark} {x}".rstrip() for x in text.split("\n"))
+    texts = {"MIT": MIT, "BSD-2-Clause": BSD2 % ("1.", "2."), "Apache-2.0": APACHE, "GPL-3.0-or-later": GPL, "MPL-2.0": MPL, "ISC": ISC}
+    rows = [(k, t) for k, v in texts.items() for t in (v, v.replace("\n", "\r\n"), marked(v, "#"), marked(v, " *"), marked(v, "//"))]
+    rows += [("BSD-2-Clause", BSD2 % marks) for marks in (("*", "*"), ("(a)", "(b)"), ("1)", "2)"))]
+    got = license_scan.find_licenses(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert len(got) == len(rows) and all(list(r.licenses) == [r.doc_id] for r in got)
+    assert {tuple(r.sentence_ids) for r in got if r.doc_id == "MIT"} == {("mit_title", "mit_grant", "mit_notice", "mit_as_is", "mit_liability")}
+    apart = [(1, "Released under\n\nthe MIT License"), (2, "Released under. The MIT License\nwe do not like"), (3, "It was not released under the MIT License")]
+    got = license_scan.find_licenses(spark.createDataFrame(apart, "doc_id long, text string")).collect()
+    assert [(r.doc_id, list(r.licenses)) for r in got] == [(1, []), (2, [])]
+
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 
 
