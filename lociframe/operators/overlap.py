@@ -7,35 +7,47 @@ from pyspark.sql import functions as F
 
 from lociframe.functions import interval as iv
 
-#: Bits of the bin sizes: features of up to 16 kb meet in bins of that size, longer ones in larger bins.
-LEVELS = (14, 18, 22, 26)
+#: Bits of the bin sizes. A feature's own bins are the smallest of which it has at most SPAN + 1.
+LEVELS, SPAN = (10, 13, 16, 19, 22, 25), 8
 
 
-def _binned(df: DataFrame, mark: str, levels: tuple[int, ...]) -> DataFrame:
-    """Columns named mark_*, and a row for each bin at the feature's own level and each coarser one."""
-    size = F.col("stop") - F.col("start")
-    own = F.coalesce(*[F.when(size < (1 << b), F.lit(i)) for i, b in enumerate(levels[:-1])], F.lit(len(levels) - 1)) if len(levels) > 1 else F.lit(0)
-    each = F.array(*[F.struct(F.lit(i).alias("level"), F.shiftright("start", b).alias("low"), F.shiftright("stop", b).alias("high")) for i, b in enumerate(levels)])
-    rows = df.select(*[F.col(c).alias(f"{mark}_{c}") for c in df.columns], own.alias(f"{mark}_own"), F.explode(each).alias("_l")).where(F.col("_l.level") >= F.col(f"{mark}_own"))
-    return rows.select("*", F.col("_l.level").alias(f"{mark}_level"), F.explode(F.sequence("_l.low", "_l.high")).alias(f"{mark}_bin")).drop("_l")
+#: A feature's own bits, in SQL; features too long for all levels have more of the last level's bins.
+OWN = "CASE " + " ".join(f"WHEN stop - start < {SPAN << b} THEN {b}" for b in LEVELS[:-1]) + f" ELSE {LEVELS[-1]} END"
 
 
-def overlap_join(left: DataFrame, right: DataFrame, ignore_strand: bool = False, levels: tuple[int, ...] = LEVELS) -> DataFrame:
+def _binned(df: DataFrame, mark: str, other: DataFrame, points: bool) -> DataFrame:
+    """Columns named mark_*, and a row for each bin at each level at which rows of ``other`` meet the feature.
+
+    mark_own and mark_other are both features' own bits: pairs of levels that do not occur cost no rows.
+    """
+    each = f"{LEVELS[0]}" if points else f"explode(array{LEVELS})"  # points are of the first level
+    rows = df.selectExpr(*[f"`{c}` AS `{mark}_{c}`" for c in df.columns], f"{OWN} AS {mark}_own", f"{each} AS {mark}_other")
+    if not points and not other.isStreaming:  # a row for each level at most
+        rows = rows.join(F.broadcast(other.selectExpr(f"{OWN} AS {mark}_other").distinct()), f"{mark}_other", "left_semi")
+    at = f"shiftright({mark}_%s, greatest({mark}_own, {mark}_other))"
+    return rows.selectExpr("*", f"explode(sequence({at % 'start'}, {at % 'stop'})) AS {mark}_bin")
+
+
+def _sides(left: DataFrame, right: DataFrame, ignore_strand: bool, points: bool) -> tuple[DataFrame, DataFrame, str]:
+    """Both sides by bins, and the condition by which they meet."""
+    a, b = _binned(left, "a", right, False), _binned(right, "b", left, points)
+    on = "a_chrom = b_chrom AND a_own = b_other AND a_other = b_own AND a_bin = b_bin AND a_start <= b_stop AND a_stop >= b_start"
+    return a, b, on if ignore_strand else on + " AND a_strand = b_strand"
+
+
+def overlap_join(left: DataFrame, right: DataFrame, ignore_strand: bool = False, points: bool = False) -> DataFrame:
     """Pairs of rows that share a base, each pair once: columns a_* of left and b_* of right.
 
-    Both sides have a row for each bin they touch at their own level and coarser ones; a pair meets at the
-    coarser level of both, in the bin where the later start lies, so no distinct is needed. Only equal
-    chromosome, strand, level and bin are shuffled together, whatever the length of a chromosome. One
-    level, where all features are short, keeps it to one row for most features.
+    Each row has a level by its length, and for each level of the other side a row for the bins it touches at the
+    coarser of both: so both levels are part of the key, and short rows never meet in the wide bins that
+    long ones need. Above the lowest level the longer row of a pair is longer than the bin, so few pairs that meet do not
+    overlap. A pair counts in the bin where the later start lies, so no distinct is needed. The levels of each side
+    are looked up in the same job; ``points`` says that left has single bases, which saves reading it for that.
+    A bin with very many rows is one key, of which adaptive skew joins split the larger side.
     """
-    a, b = _binned(left, "a", levels), _binned(right, "b", levels)
-    on = (F.col("a_chrom") == F.col("b_chrom")) & (F.col("a_level") == F.col("b_level")) & (F.col("a_bin") == F.col("b_bin"))
-    if not ignore_strand:
-        on &= F.col("a_strand") == F.col("b_strand")
-    on &= (F.col("a_start") <= F.col("b_stop")) & (F.col("a_stop") >= F.col("b_start"))
-    on &= F.col("a_level") == F.greatest("a_own", "b_own")
-    on &= F.col("a_bin") == F.expr(f"shiftright(greatest(a_start, b_start), {levels[0]})" if len(levels) == 1 else "CASE a_level " + " ".join(f"WHEN {i} THEN shiftright(greatest(a_start, b_start), {x})" for i, x in enumerate(levels)) + " END")
-    return a.join(b, on).drop("a_own", "b_own", "a_level", "b_level", "a_bin", "b_bin")
+    a, b, on = _sides(left, right, ignore_strand, points)
+    first = " AND a_bin = shiftright(greatest(a_start, b_start), greatest(a_own, a_other))"
+    return a.join(b, F.expr(on + first)).drop(*[f"{m}_{c}" for m in "ab" for c in ("own", "other", "bin")])
 
 
 def region_overlap_join(left: DataFrame, right: DataFrame, ignore_strand: bool = False, gaps: bool = False) -> DataFrame:
@@ -64,35 +76,37 @@ def intersect(test: DataFrame, ref: DataFrame, ignore_strand: bool = False, labe
 def subset(test: DataFrame, ref: DataFrame, ignore_strand: bool = False, invert: bool = False) -> DataFrame:
     """Test rows that overlap some reference row, or none.
 
-    Each test row looks into the bins it touches at every level: a semi or anti join on bins with the
-    overlap as its condition, of at most a few rows for each test row.
+    Distinct places look into the bins they touch: a semi join, which stops at the first hit, and one row for a
+    place that has hits in several bins.
     """
-    cols = ["chrom"] if ignore_strand else ["chrom", "strand"]
-    places = test.select(*cols, "start", "stop").distinct()
-    hit = overlap_join(places if not ignore_strand else places.withColumn("strand", F.lit("+")), ref, ignore_strand)
-    hit = hit.select(*[F.col(f"a_{c}").alias(c) for c in [*cols, "start", "stop"]]).distinct()
-    return test.join(hit, [*cols, "start", "stop"], "left_anti" if invert else "left_semi").select(test.columns)
+    cols = ["chrom", "start", "stop"] if ignore_strand else ["chrom", "strand", "start", "stop"]
+    a, b, on = _sides(test.select(cols).distinct(), ref, ignore_strand, False)
+    hit = a.join(b, F.expr(on), "left_semi").select(*[F.col(f"a_{c}").alias(c) for c in cols]).distinct()
+    return test.join(hit, cols, "left_anti" if invert else "left_semi").select(test.columns)
 
 
-def _per_ref(test: DataFrame, ref: DataFrame, value: Column, ignore_strand: bool) -> DataFrame:
-    """ref rows with ``n``, the sum of value over overlapping test rows, 0 without any.
+def _per_ref(test: DataFrame, ref: DataFrame, value: Column, ignore_strand: bool, most: int) -> DataFrame:
+    """ref rows with ``n``, the sum of value by the weights of overlapping test rows, 0 without any.
 
-    Reference rows at one place share their sum, so the place is the key and no row numbers are needed.
+    Test rows at one place add up before the join, so a pile of copies is one row; reference rows at one place share
+    their sum, so the place is the key and no row numbers are needed.
     """
     place = ["chrom", "strand", "start", "stop"]
-    sums = overlap_join(test, ref.select(place).distinct(), ignore_strand).groupBy(*[F.col(f"b_{c}").alias(c) for c in place]).agg(F.sum(value).alias("n"))
+    kept = [c for c in place if c != "strand" or not ignore_strand]
+    piles = test.groupBy(*kept).agg(F.sum(iv.weight(F.col("label"), most)).alias("weight"))
+    sums = overlap_join(piles, ref.select(place).distinct(), ignore_strand).groupBy(*[F.col(f"b_{c}").alias(c) for c in place]).agg(F.sum(value * F.col("a_weight")).alias("n"))
     return ref.join(sums, place, "left").select(*ref.columns, F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
 def count(test: DataFrame, ref: DataFrame, ignore_strand: bool = False, max_label_value: int = 1, least: int = 0) -> DataFrame:
     """ref rows with ``n``: overlapping test rows, or the sum of the numbers their labels begin with up to max_label_value."""
-    return _per_ref(test, ref, iv.weight(F.col("a_label"), max_label_value), ignore_strand).where(F.col("n") >= least)
+    return _per_ref(test, ref, F.lit(1), ignore_strand, max_label_value).where(F.col("n") >= least)
 
 
 def coverage(test: DataFrame, ref: DataFrame, ignore_strand: bool = False, max_label_value: int = 1) -> DataFrame:
     """ref rows with ``n``: overlapping bases, counted for each test row."""
     bases = F.least("a_stop", "b_stop") - F.greatest("a_start", "b_start") + 1
-    return _per_ref(test, ref, bases * iv.weight(F.col("a_label"), max_label_value), ignore_strand)
+    return _per_ref(test, ref, bases, ignore_strand, max_label_value)
 
 
 def density(test: DataFrame, ref: DataFrame, ignore_strand: bool = False, least: float = 0.0) -> DataFrame:
@@ -132,7 +146,7 @@ def gapless_offset(test: DataFrame, ref: DataFrame) -> DataFrame:
     before = F.aggregate(F.slice("all", F.lit(1), F.col("k")), F.lit(0).cast("long"), lambda s, i: s + iv.size(i))
     pieces = pieces.select("label", "i.*", before.alias("before"), iv.region_size(F.col("all"), True).alias("total"))
     points = test.withColumn("stop", F.col("start"))
-    both = overlap_join(points, pieces)
+    both = overlap_join(points, pieces, points=True)
     along = F.col("b_before") + F.col("a_start") - F.col("b_start")
     return both.select("a_label", "b_label", F.when(F.col("b_strand") == "-", F.col("b_total") - 1 - along).otherwise(along).alias("offset"))
 
@@ -181,7 +195,7 @@ def bin_pairs(pairs: DataFrame, ref: DataFrame) -> DataFrame:
 
     def ends(k: int) -> DataFrame:
         p = pairs.select("id", F.col(f"chrom{k}").alias("chrom"), F.col(f"strand{k}").alias("strand"), F.col(f"pos{k}").cast("long").alias("start"), F.col(f"pos{k}").cast("long").alias("stop"))
-        return overlap_join(p, ref, True).select(F.col("a_id").alias("id"), F.col("b_label").alias(f"ref{k}"))
+        return overlap_join(p, ref, True, points=True).select(F.col("a_id").alias("id"), F.col("b_label").alias(f"ref{k}"))
 
     return ends(1).join(ends(2), "id")
 

@@ -40,7 +40,7 @@ def with_fragments(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
     out = pairs
     for k in (1, 2):
         p = pairs.select("id", F.col(f"chrom{k}").alias("chrom"), F.lit("+").alias("strand"), F.col(f"pos{k}").cast("long").alias("start"), F.col(f"pos{k}").cast("long").alias("stop"))
-        hit = overlap_join(p, cut, True).groupBy(F.col("a_id").alias("id")).agg(F.min(F.struct("b_start", "b_stop", "b_fragment")).alias("f"))
+        hit = overlap_join(p, cut, True, points=True).groupBy(F.col("a_id").alias("id")).agg(F.min(F.struct("b_start", "b_stop", "b_fragment")).alias("f"))
         out = out.join(hit.select("id", F.col("f.b_fragment").alias(f"fragment{k}"), F.col("f.b_start").alias(f"f{k}_start"), F.col("f.b_stop").alias(f"f{k}_stop")), "id", "left")
     return out
 
@@ -124,7 +124,7 @@ def region_matrix(pairs: DataFrame, regions: DataFrame, size: int, max_dist: int
     out = None
     for k in (1, 2):
         p = pairs.select("id", F.col(f"chrom{k}").alias("chrom"), F.lit("+").alias("strand"), F.col(f"pos{k}").cast("long").alias("start"), F.col(f"pos{k}").cast("long").alias("stop"))
-        hit = overlap_join(p, ref, True).groupBy(F.col("a_id").alias("id")).agg(F.min(F.struct("b_start", "b_label", (F.col("a_start") - F.col("b_start")).alias("at"))).alias("h"))
+        hit = overlap_join(p, ref, True, points=True).groupBy(F.col("a_id").alias("id")).agg(F.min(F.struct("b_start", "b_label", (F.col("a_start") - F.col("b_start")).alias("at"))).alias("h"))
         hit = hit.select("id", F.col("h.b_label").alias(f"region{k}"), F.floor(F.col("h.at") / size).cast("long").alias(f"b{k}"))
         out = hit if out is None else out.join(hit, "id")
     out = out.where("region1 = region2").select(F.col("region1").alias("region"), F.col("b1").alias("i"), F.col("b2").alias("j"))

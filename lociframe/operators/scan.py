@@ -198,7 +198,7 @@ def signal_matrix(signals: dict[str, DataFrame], ref: DataFrame, bins: int, op:
     pieces = ref.select("label", F.posexplode(F.array_sort("intervals")).alias("k", "i"), F.array_sort("intervals").alias("all"))
     before = F.aggregate(F.slice("all", F.lit(1), F.col("k")), F.lit(0).cast("long"), lambda s, i: s + iv.size(i))
     pieces = pieces.select("label", "i.*", before.alias("before"), iv.region_size(F.col("all"), True).alias("total"))
-    both = overlap_join(rows, pieces, ignore_strand)
+    both = overlap_join(rows, pieces, ignore_strand, points=True)
     along = F.col("b_before") + F.col("a_start") - F.col("b_start")
     along = F.when(F.col("b_strand") == "-", F.col("b_total") - 1 - along).otherwise(along)
     hit = both.select(F.col("b_label").alias("ref"), F.col("a_signal").alias("signal"), F.floor(bins * along / F.col("b_total")).cast("int").alias("bin"), F.col("a_v").alias("v"))
