@@ -18,8 +18,10 @@ from lociframe.llm.common import batches_of, rows_of
 
 #: Splits text before the merges, as byte-level tokenizers do.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: A worker remembers about so many words, the last ones seen, and so many answers to may_follow; both are only caches.
-CACHED_WORDS, CACHED_ANSWERS = 200_000, 1_000_000
+#: A worker remembers about so many words of at most so many letters, the last ones seen, and so many answers to may_follow; all are only caches.
+CACHED_WORDS, CACHED_LETTERS, CACHED_ANSWERS = 200_000, 64, 1_000_000
+#: Texts are cut into words together until they have so many characters; a longer text is alone.
+BATCH_CHARS = 1 << 20
 
 
 def byte_letters() -> dict[str, int]:
@@ -37,6 +39,7 @@ class Vocabulary:
         import regex
 
         spec = json.loads(source)
+        self._refuse_others(spec)
         letters = byte_letters()
         raw = lambda s: bytes(letters[c] for c in s)
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
@@ -75,6 +78,18 @@ class Vocabulary:
         self.packed = [int(i).to_bytes(4, "little") for i in range(size)]
         self.table = np.array(self.bytes + [None], dtype=object)[:-1]
 
+    @staticmethod
+    def _refuse_others(spec: dict) -> None:
+        """A ValueError for a file whose rules are not those built here: it would get wrong tokens."""
+        before, model = spec.get("pre_tokenizer") or {}, spec["model"]
+        plain = before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
+        if not plain or spec.get("normalizer") or model.get("type", "BPE") != "BPE":
+            raise ValueError("not a byte-level BPE file without normalizer and added space")
+        if any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")):
+            raise ValueError("a BPE model with dropout, affixes, byte fallback or ignored merges")
+        if any(t.get(k) for t in spec.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip")):
+            raise ValueError("added tokens that take white space or whole words only")
+
     def may_follow(self, a: int, b: int) -> bool:
         """Whether b stays a token of its own right after a: no merge across the border comes first.
 
@@ -105,15 +120,14 @@ class Vocabulary:
 
     def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
         """Ids of distinct words, each id as four little-endian bytes."""
-        ids, may_follow, parts, follows, lengths = self.ids, self.may_follow, self.packed, self.follows, self.lengths
+        ids, may_follow, packed, token, follows, lengths = self.ids, self.may_follow, self.packed, self.bytes, self.follows, self.lengths
         out: dict[str, bytes] = {}
         path, last = b"", [-1]  # the trie's path, and its nodes' last tokens; sorted words are the trie in depth-first order
-        enc = [b""]  # the whole encoding at each node
         for raw, word in sorted((w.encode("utf-8"), w) for w in words):
             top, shared = min(len(path), len(raw)), 0
             while shared < top and path[shared] == raw[shared]:
                 shared += 1
-            del last[shared + 1 :], enc[shared + 1 :]
+            del last[shared + 1 :]
             for end in range(shared + 1, len(raw) + 1):
                 tail = raw[end - 4 : end] if end > 3 else raw[:end]
                 for n in lengths.get(tail) or lengths.get(tail[-3:]) or lengths.get(tail[-2:]) or (1,):
@@ -132,9 +146,12 @@ class Vocabulary:
                 else:  # a byte that the vocabulary lacks
                     raise ValueError(f"the vocabulary has no token for byte {raw[end - 1]}")
                 last.append(t)
-                enc.append(enc[start] + parts[t])
-            path = raw
-            out[word] = enc[-1]
+            path, end, back = raw, len(raw), []
+            while end:  # the token that ends here, and so on at its start
+                back.append(packed[last[end]])
+                end -= len(token[last[end]])
+            back.reverse()
+            out[word] = b"".join(back)
         return out
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
@@ -155,8 +172,10 @@ class Vocabulary:
         missing = words.difference(self.words)
         again = missing & self.older.keys()
         self.words.update((w, self.older[w]) for w in again)
-        self.words.update(self.encode_words(missing - again))
-        get = self.words.__getitem__
+        new = self.encode_words(missing - again)
+        long = {w: ids for w, ids in new.items() if len(w) > CACHED_LETTERS}
+        self.words.update((w, ids) for w, ids in new.items() if w not in long)
+        get = self.words.__getitem__ if not long else lambda w: self.words[w] if w in self.words else long[w]
         return [b"".join([p if isinstance(p, bytes) else b"".join(map(get, p)) for p in pieces]) for pieces in cut]
 
     def decode(self, packed: bytes) -> str:
@@ -188,7 +207,8 @@ def encode(spark: SparkSession, df: DataFrame, vocabulary: str, id_col: str = "d
 
     vocabulary is a byte-level BPE file's JSON (read_vocabulary); it is broadcast, a few MB whatever the
     data. A null text is empty and has no tokens; repeated rows each give a row; ids may be null; other
-    columns are not read. A worker holds the words of one batch of rows and a bounded cache.
+    columns are not read. A worker holds the words of
+    about BATCH_CHARS characters, or of one longer text, and a bounded cache; a word of any length takes memory by its length.
     """
     return _tokens(spark, df, vocabulary, id_col, text_col, batch, False).select(id_col, "ids")
 
@@ -225,12 +245,20 @@ def _tokens(spark, df, vocabulary, id_col, text_col, batch, decoded):
 
         v = _vocabulary(shared.value)
         schema = pa.schema([("id", to_arrow_type(kind)), ("ids", pa.binary()), *[("decoded", pa.string())] * decoded])
-        for b in batches:
-            for at in range(0, b.num_rows, batch):
-                part = b.slice(at, batch).to_pydict()
-                packed = v.encode_batch(part["text"])
-                cols = [part["id"], packed, *[[v.decode(p) for p in packed]] * decoded]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
+        def encoded(rows):
+            packed = v.encode_batch([r["text"] for r in rows])
+            cols = [[r["id"] for r in rows], packed, *[[v.decode(p) for p in packed]] * decoded]
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
+
+        part, size = [], 0
+        for r in rows_of(batches, 64):
+            part.append(r)
+            size += len(r["text"] or "")
+            if size >= BATCH_CHARS or len(part) >= batch:
+                yield encoded(part)
+                part, size = [], 0
+        if part:
+            yield encoded(part)
 
     own = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     out = own.mapInArrow(run, f"id {kind.simpleString()}, ids binary" + ", decoded string" * decoded)

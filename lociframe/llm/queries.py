@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import os
-
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociframe.llm import bpe, decontaminate, html_text, language_id, license_scan, line_dedup, near_dedup, secret_scan, vector_search, warc
 from lociframe.llm.common import table
 
-#: The byte-level BPE file; another path can be set in the environment.
-VOCABULARY = os.environ.get("BPE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
+#: The byte-level BPE file.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

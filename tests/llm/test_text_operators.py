@@ -5,8 +5,10 @@ import gzip
 import random
 import re
 import urllib.parse
+import tracemalloc
 import zlib
 
+import public_tokenizers
 import pytest
 
 from lociframe.llm import bpe, html_text, language_id, license_scan, secret_scan
@@ -243,7 +245,7 @@ def test_wrapped_licences(spark):
     assert [(r.doc_id, list(r.licenses)) for r in got] == [(1, []), (2, [])]
 
 
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def test_tokens_equal_the_library(spark):
@@ -271,3 +273,26 @@ def test_few_cached_words_change_no_tokens(monkeypatch):
     v = bpe.Vocabulary(source)
     assert [v.encode_batch([t])[0] for t in texts] == want
     assert len(v.words) + len(v.older) <= 12
+
+
+def test_words_of_any_length_take_memory_by_their_length():
+    tokenizers = pytest.importorskip("tokenizers")
+    own, other = bpe.Vocabulary(bpe.read_vocabulary(VOCABULARY)), tokenizers.Tokenizer.from_file(VOCABULARY)
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=200_000)), "".join(rng.choices("中文字符日本語", k=40_000)), "ACGT" * 5000]
+    tracemalloc.start()
+    got = own.encode_batch(texts)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 300 << 20 and not own.words  # nor does the cache keep them
+    for t, p in zip(texts, got):
+        assert [int.from_bytes(p[i : i + 4], "little") for i in range(0, len(p), 4)] == other.encode(t, add_special_tokens=False).ids
+
+
+def test_files_with_other_rules_are_refused():
+    import json
+
+    spec = json.loads(bpe.read_vocabulary(VOCABULARY))
+    for other in ({"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {"type": "Whitespace"}}, {"pre_tokenizer": spec["pre_tokenizer"] | {"add_prefix_space": True}}):
+        with pytest.raises(ValueError):
+            bpe.Vocabulary(json.dumps(spec | other))
