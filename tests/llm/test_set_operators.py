@@ -107,33 +107,6 @@ def test_lines(spark):
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
 
 
-def test_simhash_by_counting(spark):
-    rng = random.Random(12)
-    for n in (1, 9, 40, 127, 300):
-        words = [f"word{rng.randrange(n)}" for _ in range(n)]
-        hashes = [r.h for r in spark.createDataFrame([(w,) for w in words], "w string").select(F.xxhash64("w").alias("h")).collect()]
-        rows = line_dedup.line_table(spark.createDataFrame([(1, 1, "\n" + " ".join(words))], "doc long, rid long, text string")).collect()
-        assert sorted(r.run for r in rows) == list(range(-(-n // 127))) and {r.pos for r in rows} == {1}
-        for r in rows:
-            part = hashes[127 * r.run : 127 * (r.run + 1)]
-            want = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in part) > len(part))
-            assert r.sim % (1 << 64) == want and r.n == len(part)
-
-
-def test_pigeonholes_meet_within_distance(spark):
-    rng = random.Random(6)
-    rows = []
-    for _ in range(200):
-        a = rng.getrandbits(64)
-        b = a
-        for bit in rng.sample(range(64), 3):
-            b ^= 1 << bit
-        signed = lambda x: x - (1 << 64) if x >> 63 else x
-        rows.append((signed(a), signed(b)))
-    df = spark.createDataFrame(rows, "a long, b long").select(F.arrays_overlap(line_dedup.pigeonholes(F.col("a")), line_dedup.pigeonholes(F.col("b"))).alias("ok"))
-    assert all(r.ok for r in df.collect())
-
-
 def near(item, words):
     """Least word edits of item to any part of words."""
     last = [0] * (len(words) + 1)
