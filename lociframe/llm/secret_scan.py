@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
+import hashlib
 import lzma
 import re
 import zlib
@@ -24,10 +24,17 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPED = re.compile(r"(?:\\x[0-9A-Fa-f]{2})+|(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
-# The shortest secret has 16 characters, which base64 writes in 22 without padding.
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{22,}={0,2}")
-#: A compressed layer that inflates beyond so many bytes is left wrapped.
-MAX_INFLATED = 64 << 20
+# Lines of base64 that follow each other are one run; a compressed secret takes 14 letters or more.
+LETTERS = r"[A-Za-z0-9+/_-]"
+BASE64 = re.compile(rf"{LETTERS}{{14,}}(?:[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t>#*]*{LETTERS}{{14,}})*(?:[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t>#*]*{LETTERS}+)?")
+RUN = re.compile(rf"{LETTERS}+")
+TO_PLAIN = str.maketrans("-_", "+/")
+#: Bytes that may hold a secret or another layer: so many that can be printed, or the beginning of compressed data.
+PRINTED = re.compile(rb"[\t\n\r\x20-\x7e]{12}")
+MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00")
+WIDE = re.compile(rb"(?:[\t\n\r\x20-\x7e]\x00){12,}|(?:\x00[\t\n\r\x20-\x7e]){12,}")
+#: What is compressed is looked at in windows of so many bytes, which overlap by so many; smaller layers are one window.
+WINDOW, OVERLAP = 16 << 20, 1 << 20
 
 Up = Callable[[int, int], tuple[int, int]]
 
@@ -43,170 +50,190 @@ def find(text: str) -> Iterator[tuple[str, int, int]]:
         yield "hex", m.start(), m.end()
 
 
-def inflate(data: bytes) -> bytes | None:
-    """The content of gzip, zlib, bzip2 or xz data; None for anything else, broken or too large."""
+def _streams(data: memoryview) -> Iterator[tuple[bytes, int]]:
+    """(bytes, end of the data read) of compressed data, piece by piece: all members, and what comes before a fault."""
+    at = 0
+    while MAGIC.match(data, at):
+        head = bytes(data[at : at + 2])
+        d = bz2.BZ2Decompressor() if head == b"BZ" else lzma.LZMADecompressor() if head == b"\xfd7" else zlib.decompressobj(47)
+        while at < len(data) and not d.eof:
+            part = data[at : at + 4096]
+            try:
+                out = d.decompress(part, OVERLAP)
+                at += len(part)
+                yield out, at - len(d.unused_data)
+                while not d.eof and (out := d.decompress(d.unconsumed_tail if head[:1] in b"\x1f\x78" else b"", OVERLAP)):
+                    yield out, at
+            except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+                return
+        at -= len(d.unused_data)
+
+
+def inflated(data: bytes, start: int = 0) -> Iterator[tuple[bytes, int]]:
+    """(content, end of the data read) of gzip, zlib, bzip2 or xz data from start, in windows; nothing of other data."""
+    view, held, size, end = memoryview(data)[start:], [], 0, 0
+    for out, end in _streams(view):
+        held.append(out)
+        size += len(out)
+        if size >= WINDOW:
+            whole = b"".join(held)
+            yield whole, start + end
+            held, size = [whole[-OVERLAP:]], OVERLAP
+    if size:
+        yield b"".join(held), start + end
+
+
+def _unescaped(run: str) -> str | None:
+    """What one run of escapes stands for; a byte that is not UTF-8 becomes the code point of surrogateescape."""
+    if run[0] == "%" or run[:2] == "\\x":
+        return bytes.fromhex(run.replace("%", "").replace("\\x", "")).decode("utf-8", "surrogateescape")
     try:
-        if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and len(data) > 2 and (data[0] << 8 | data[1]) % 31 == 0:
-            d = zlib.decompressobj(47)
-        elif data[:3] == b"BZh":
-            d = bz2.BZ2Decompressor()
-        elif data[:6] == b"\xfd7zXZ\x00":
-            d = lzma.LZMADecompressor()
+        if run[:2] == "&#":
+            out = chr(int(run[3:-1], 16) if run[2] in "xX" else int(run[2:-1]))
+        elif run[:3] == "\\u{":
+            out = chr(int(run[3:-1], 16))
+        elif run[:2] == "\\U":
+            out = chr(int(run[2:], 16))
         else:
-            return None
-        out = d.decompress(data, MAX_INFLATED + 1)
-    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+            return bytes.fromhex(run.replace("\\u", "")).decode("utf-16-be", "replace")
+    except (ValueError, OverflowError):
         return None
-    return out if d.eof and len(out) <= MAX_INFLATED else None
+    return "\ufffd" if "\ud800" <= out <= "\udfff" else out
 
 
-def _plain(data: bytes) -> str | None:
-    try:
-        return data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
+def _bytes(text: str) -> bytes:
+    return text.encode("utf-8", "surrogateescape")
+
+
+def _located(pieces: list[tuple[int, int, int, bool]], up: Up) -> Up:
+    """A map of spans of a new text, which has pieces (its start, start and end in the old text, one to one), to the root."""
+    starts = [p[0] for p in pieces]
+
+    def mapped(s: int, e: int) -> tuple[int, int]:
+        (n, a, _, same), (m, c, d, also) = pieces[bisect_right(starts, s) - 1], pieces[bisect_right(starts, max(s, e - 1)) - 1]
+        return up(a + (s - n) * same, c + (e - m) if also else d)
+
+    return mapped
 
 
-def _unescaped(run: str) -> str | bytes | None:
-    """What one run of escapes stands for."""
-    if run[0] == "%":
-        data = bytes.fromhex(run.replace("%", ""))
-    elif run[:2] == "\\x":
-        data = bytes.fromhex(run.replace("\\x", ""))
-    else:
-        try:
-            if run[:2] == "&#":
-                out = chr(int(run[3:-1], 16) if run[2] in "xX" else int(run[2:-1]))
-            elif run[:3] == "\\u{":
-                out = chr(int(run[3:-1], 16))
-            elif run[:2] == "\\U":
-                out = chr(int(run[2:], 16))
-            else:
-                out = bytes.fromhex(run.replace("\\u", "")).decode("utf-16-be")
-            out.encode("utf-8")
-        except (ValueError, OverflowError):
-            return None
-        return out
-    text = _plain(data)
-    return data if text is None else text
-
-
-def _substituted(text: str, pattern: re.Pattern, up: Up) -> tuple[str, Up, list[tuple[bytes, int, int]]] | None:
-    """text with the pattern's runs decoded, a map of its spans to the root, and runs that are binary data."""
+def _substituted(text: str, pattern: re.Pattern, up: Up) -> tuple[str, Up] | None:
+    """text with the pattern's runs decoded, and a map of its spans to the root."""
     out: list[str] = []
-    starts, pieces, blobs = [], [], []  # of the new text; (start in text, end in text, one to one)
+    pieces: list[tuple[int, int, int, bool]] = []
     at = n = 0
     for m in pattern.finditer(text):
-        new = _unescaped(m[0])
-        if isinstance(new, bytes):
-            blobs.append((new, m.start(), m.end()))
-        if not isinstance(new, str) or not new:
+        new, s = _unescaped(m[0]), m.start()
+        if not new:
             continue
-        if m.start() > at:
-            out.append(text[at : m.start()])
-            starts.append(n)
-            pieces.append((at, m.start(), True))
-            n += m.start() - at
-        wide = m.end() - m.start()
-        if m[0][0] == "%" or m[0][:2] == "\\x":
-            unit, s = (3 if m[0][0] == "%" else 4), m.start()
+        if s > at:
+            out.append(text[at:s])
+            pieces.append((n, at, s, True))
+            n += s - at
+        unit = 3 if m[0][0] == "%" else 4 if m[0][:2] == "\\x" else 0
+        if unit or m[0][:2] == "\\u" and m[0][2] != "{":
             for ch in new:  # each character has its own bytes
-                e = s + unit * len(ch.encode("utf-8"))
-                starts.append(n)
-                pieces.append((s, e, False))
-                n, s = n + 1, e
-        elif m[0][:2] == "\\u" and m[0][2] != "{":
-            s = m.start()
-            for ch in new:
-                e = s + (12 if ord(ch) > 0xFFFF else 6)
-                starts.append(n)
-                pieces.append((s, e, False))
+                e = s + (unit * len(_bytes(ch)) if unit else 12 if ord(ch) > 0xFFFF else 6)
+                pieces.append((n, s, e, False))
                 n, s = n + 1, e
         else:
-            starts.append(n)
-            pieces.append((m.start(), m.start() + wide, False))
+            pieces.append((n, s, m.end(), False))
             n += len(new)
         out.append(new)
         at = m.end()
     if not out:
-        return ("", up, blobs) if blobs else None
+        return None
     out.append(text[at:])
-    starts.append(n)
-    pieces.append((at, len(text), True))
+    pieces.append((n, at, len(text), True))
+    return "".join(out), _located(pieces, up)
 
-    def mapped(s: int, e: int) -> tuple[int, int]:
-        i, j = bisect_right(starts, s) - 1, bisect_right(starts, e - 1) - 1
-        a, b = pieces[i], pieces[j]
-        return up(a[0] + (s - starts[i]) * a[2], b[0] + (e - starts[j]) if b[2] else b[1])
 
-    return "".join(out), mapped, blobs
+def _from_base64(m: re.Match, up: Up) -> Iterator[tuple[bytes, Up]]:
+    """The bytes of a run of base64 letters from its first four letters on, and a map of their spans; a prefix may be glued to the run."""
+    pieces, lines, n = [], [], 0
+    for x in RUN.finditer(m[0].replace("\\r", "  ").replace("\\n", "  ") if "\\" in m[0] else m[0]):
+        pieces.append((n, m.start() + x.start(), m.start() + x.end(), True))
+        lines.append(x[0])
+        n += len(x[0])
+    letters, located = "".join(lines).translate(TO_PLAIN), _located(pieces, up)
+    for first in range(min(4, n)):
+        body = letters[first : n - ((n - first) % 4 == 1)]
 
+        def mapped(s: int, e: int, first=first) -> tuple[int, int]:
+            return located(first + s * 4 // 3, min(n, first - (-e * 4 // 3)))
 
-def _from_base64(run: str) -> bytes | None:
-    body = run.rstrip("=")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4), validate=True)
-    except (binascii.Error, ValueError):
-        return None
+        yield binascii.a2b_base64(body + "=" * (-len(body) % 4)), mapped
 
 
-def unwrapped(text: str, up: Up) -> Iterator[tuple[str, str, Up]]:
-    """The layers directly under one: (how it was wrapped, its text, a map of its spans to the root)."""
-    binary: list[tuple[str, bytes, int, int]] = []
+def _in_bytes(data: bytes, up: Up) -> Iterator[tuple[str, str | bytes, Up]]:
+    """The layers in bytes: their text, if any of it can be printed, UTF-16 in them, and what they have compressed."""
+    if PRINTED.search(data):
+        text = data.decode("utf-8", "surrogateescape")
+        if len(text) == len(data):
+            yield "", text, up
+        else:
+            yield "", text, lambda s, e: up(a := len(_bytes(text[:s])), a + len(_bytes(text[s:e])))
+    for m in WIDE.finditer(data):
+        yield "utf-16", m[0].replace(b"\0", b"").decode("ascii"), lambda s, e, at=m.start(): up(at + 2 * s, at + 2 * e)
+    at = 0
+    while m := MAGIC.search(data, at):
+        at = m.start() + 1
+        for window, end in inflated(data, m.start()):
+            yield "compressed", window, lambda _s, _e, s=m.start(), e=end: up(s, e)
+            at = max(at, end)
+
+
+def unwrapped(layer: str | bytes, up: Up) -> Iterator[tuple[str, str | bytes, Up]]:
+    """The layers directly under one, text or bytes: (how it was wrapped, the layer, a map of its spans to the root)."""
+    if isinstance(layer, bytes):
+        yield from _in_bytes(layer, up)
+        return
     for name, pattern, mark in (("url", PERCENT, "%"), ("unicode", ESCAPED, None)):
-        if (mark in text if mark else "\\" in text or "&#" in text) and (got := _substituted(text, pattern, up)):
-            if got[0]:
-                yield name, got[0], got[1]
-            binary += [(name, *b) for b in got[2]]
-    for m in BASE64.finditer(text):
-        data = _from_base64(m[0])
-        if data is None:
-            continue
-        inner = _plain(data)
-        if inner is None:
-            binary.append(("base64", data, m.start(), m.end()))
-            continue
-
-        def mapped(s: int, e: int, inner=inner, at=m.start(), end=m.end()) -> tuple[int, int]:
-            a = len(inner[:s].encode("utf-8"))
-            b = a + len(inner[s:e].encode("utf-8"))
-            return up(at + a * 4 // 3, min(end, at + -(-b * 4 // 3)))
-
-        yield "base64", inner, mapped
-    for name, data, s, e in binary:
-        path = name
-        while (more := inflate(data)) is not None:
-            data, path = more, path + ">compressed"
-        if path != name and (inner := _plain(data)):
-            yield path, inner, lambda _s, _e, s=s, e=e: up(s, e)
+        if (mark in layer if mark else "\\" in layer or "&#" in layer) and (got := _substituted(layer, pattern, up)):
+            inner, mapped = got
+            yield name, inner, mapped
+            if MAGIC.search(data := _bytes(inner)):
+                chars = lambda s, e, data=data, mapped=mapped: mapped(a := len(data[:s].decode("utf-8", "surrogateescape")), a + len(data[s:e].decode("utf-8", "surrogateescape")))
+                yield from ((f"{name}>{how}", part, at) for how, part, at in _in_bytes(data, chars) if how == "compressed")
+    for m in BASE64.finditer(layer):
+        for data, mapped in _from_base64(m, up):
+            for how, inner, located in _in_bytes(data, mapped):
+                yield f"base64>{how}" if how else "base64", inner, located
 
 
 def scan_text(text: str | None) -> list[tuple[str, int, int, int, str, str]]:
     """(kind, start, end, depth, layer, value) of all secrets in text and in what is wrapped in it.
 
-    A worklist holds the layers not yet looked at; a layer whose text was seen before is not entered
-    again, so it ends. Spans are those of the root text that the secret, or the wrapping around it, takes.
+    A worklist holds the layers not yet looked at, text or bytes, of each depth the next one only, so
+    that a layer of any size is held a window at a time. A layer that was seen before at its place is
+    not entered again, so compressed data that holds itself ends, too. Spans are those of the root text that the secret,
+    or the wrapping around it, takes. Of compressed data over WINDOW bytes, a secret or layer of over OVERLAP bytes may be cut.
     """
     if not text:
         return []
     found: dict[tuple, tuple] = {}
-    work: list[tuple[str, Up, int, str]] = [(text, lambda s, e: (s, e), 0, "")]
-    seen = {(text, 0, len(text))}
+    seen: set[tuple] = set()
+    work: list[Iterator[tuple[str, str | bytes, Up]]] = [iter([("", text, lambda s, e: (s, e))])]
+    paths: list[str] = [""]
     while work:
-        now, up, depth, path = work.pop()
-        for kind, s, e in find(now):
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            paths.pop()
+            continue
+        how, now, up = layer
+        # the same content at another place is another finding; at the same place it is a cycle
+        key = (hashlib.blake2b(now if isinstance(now, bytes) else now.encode("utf-8", "surrogatepass"), digest_size=16).digest(), isinstance(now, bytes), *up(0, len(now)))
+        if key in seen:
+            continue
+        seen.add(key)
+        depth, path = len(work) - 1, ">".join(x for x in (paths[-1], how) if x)
+        for kind, s, e in find(now) if isinstance(now, str) else ():
             a, b = up(s, e)
             old = found.get((kind, a, b))
             if old is None or depth < old[3]:
                 found[kind, a, b] = (kind, a, b, depth, path, now[s:e])
-        for how, inner, mapped in unwrapped(now, up):
-            # the same text at another place is another finding; at the same place it is a cycle
-            key = (inner, *mapped(0, len(inner)))
-            if key not in seen:
-                seen.add(key)
-                work.append((inner, mapped, depth + 1, f"{path}>{how}" if path else how))
+        work.append(unwrapped(now, up))
+        paths.append(path)
     return sorted(found.values(), key=lambda f: (f[1], KINDS.index(f[0]), f[2]))
 
 

@@ -1,11 +1,13 @@
 """Secrets, languages, pages' text, licences, tokens: small cases and brute force."""
 
 import base64
+import bz2
 import gzip
+import lzma
 import random
 import re
-import urllib.parse
 import tracemalloc
+import urllib.parse
 import zlib
 
 import public_tokenizers
@@ -54,6 +56,54 @@ def test_wrapped_secrets(wrap):
     assert 9 <= s < e <= 9 + len(w)
 
 
+def b64(data):
+    return base64.b64encode(data).decode()
+
+
+def lines_of(text, width, end="\n"):
+    return end.join(text[i : i + width] for i in range(0, len(text), width))
+
+
+PACKED = random.Random(4).randbytes(150).hex().encode()[:90] + f" {KEY} ".encode() + random.Random(5).randbytes(90)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        b64(gzip.compress(b"first") + gzip.compress(KEY.encode())),  # two members
+        b64(gzip.compress(PACKED)[:-20]),  # cut off
+        "https://x/ab/" + b64(f"a {KEY} b".encode()),
+        "data-" + b64(f"a {KEY} b".encode()),
+        "path/of-it/" + b64(zlib.compress(KEY.encode())),
+        lines_of(b64(gzip.compress(PACKED)), 76),
+        "> " + lines_of(b64(bz2.compress(PACKED)), 40, "\r\n > "),
+        lines_of(b64(PACKED), 64, "\\n"),
+        b64(KEY.encode("utf-16")),
+        b64(f"a {KEY}".encode("utf-16-be")),
+        "%FF" + "".join(f"%{c:02X}" for c in KEY.encode()),
+        "".join(f"\\x{c:02x}" for c in b"\xff\xfe" + KEY.encode()),
+        urllib.parse.quote(zlib.compress(KEY.encode()), safe=""),
+        "x/" + b64(("y/" + b64(gzip.compress(lines_of(b64(KEY.encode()), 20).encode()))).encode()),
+        b64(lzma.compress(PACKED)),
+        b64(gzip.compress(bytes(40 << 20) + KEY.encode())),  # three windows
+    ],
+    ids=range(16),
+)
+def test_secrets_in_layers_that_are_not_whole(text):
+    got = [(s, e, v) for k, s, e, _, _, v in secret_scan.scan_text(f"é before {text} after") if k == "access"]
+    assert [v for *_, v in got] == [KEY] and 9 <= got[0][0] < got[0][1] <= 9 + len(text)
+
+
+def test_compressed_secret_of_few_letters():
+    assert [f[5] for f in secret_scan.scan_text(b64(zlib.compress(b"a" * 16)))] == ["a" * 16]
+
+
+def test_compressed_data_that_holds_itself_ends(monkeypatch):
+    held = bytes.fromhex("1f8b0800")
+    monkeypatch.setattr(secret_scan, "inflated", lambda data, start=0: iter([(held + f" {KEY} ".encode(), len(data))]))
+    assert [f[5] for f in secret_scan.scan_text("x " + b64(held + f" {KEY} ".encode()))].count(KEY) >= 1
+
+
 def test_url_and_base64_spans_are_exact():
     text = "x " + f"%20{KEY[:4]}%42{KEY[5:]}%20"
     assert spans(text) == [("access", 5, 5 + len(KEY) + 2)]
