@@ -52,6 +52,8 @@ class Kept:
         self.path, self.schema = scratch_path(self.spark, name), df.schema
         df.write.parquet(self.path)
         self.df = self.read()
+        # the driver's collector ends the shuffles of plans that nothing refers to, whose files else stay on the executors' disks
+        self.spark.sparkContext._jvm.System.gc()
 
     def read(self) -> DataFrame:
         """The table once more, with columns of its own, as a side of a join with itself."""

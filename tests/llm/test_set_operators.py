@@ -3,6 +3,7 @@
 import gzip
 import io
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -121,7 +122,7 @@ def near(item, words):
 def test_decontamination_by_brute_force(spark):
     rng = random.Random(7)
     word = lambda: rng.choice(["the", "of", "and"]) if rng.random() < 0.4 else f"w{rng.randrange(400)}"
-    items = [(i, " ".join(word() for _ in range(rng.randint(8, 50)))) for i in range(30)] + [(98, None), (99, ""), (97, "too short")]
+    items = [(i, " ".join(word() for _ in range(rng.randint(8, 50)))) for i in range(30)] + [(98, None), (99, ""), (97, "w1 w2 w3"), (96, "w7"), (95, "w1 w2 w3 w4 w5")]
     docs = []
     for d in range(150):
         body = [word() for _ in range(rng.randint(0, 200))]
@@ -134,7 +135,7 @@ def test_decontamination_by_brute_force(spark):
             at = rng.randint(0, len(body))
             body[at:at] = copy
         docs.append((d, " ".join(body).capitalize() + "."))
-    want = {(d, i) for d, t in docs for i, x in items if x and len(x.split()) >= 5 and near(x.lower().split(), decontaminate.words_of(t)) <= decontaminate.allowed(len(x.split()), 0.75)}
+    want = {(d, i) for d, t in docs for i, x in items if x and near(x.lower().split(), decontaminate.words_of(t)) <= decontaminate.allowed(len(x.split()), 0.75)}
     df = spark.createDataFrame([*docs, (None, docs[1][1]), (777, None), (778, "")], "doc_id long, text string")
     rows = decontaminate.contaminated(df, spark.createDataFrame(items, "item_id long, text string")).collect()
     got = {(r.doc_id, r.item_id) for r in rows if r.doc_id is not None}
@@ -147,6 +148,37 @@ def test_decontamination_by_brute_force(spark):
     assert decontaminate.contaminated(df, spark.createDataFrame([], "item_id long, text string")).count() == 0
 
 
+def test_decontamination_recall_at_the_most_edits():
+    rng = random.Random(17)
+    word = lambda: f"w{rng.randrange(5000)}"
+    for n in (5, 8, 20, 47, 60, 100, 300, 600):
+        items = [(i, [word() for _ in range(n)]) for i in range(40)]
+        own = decontaminate.Items([(i, " ".join(w)) for i, w in items])
+        found = 0
+        for i, w in items:
+            e = decontaminate.allowed(n, 0.75)
+            copy = list(w)
+            for at in sorted(rng.sample(range(n), e), reverse=True):
+                copy[at : at + 1] = rng.choice(([], ["zz"], ["yy", copy[at]]))
+            text = [word() for _ in range(rng.randint(0, 300))]
+            text[len(text) // 2 : len(text) // 2] = copy
+            found += i in {m[1] for m in own.matches([" ".join(text)])}
+        assert found >= 38, (n, found)
+
+
+def test_long_short_and_unspaced_items():
+    rng = random.Random(18)
+    long = " ".join(f"w{rng.randrange(6000)}" for _ in range(20_000))
+    chinese = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(66))
+    tracemalloc.start()
+    own = decontaminate.Items([(1, long), (2, chinese), (3, "yes"), (4, "one two three four"), (5, "no no")])
+    edited = long.replace("w1", "v1", 3000)
+    got = [(t, i) for t, i, *_ in own.matches([edited, "abc" + chinese[:30] + "x" + chinese[31:] + "def", "Yes, one x four y", "one two three.", "no. No!", "eyes on"])]
+    assert tracemalloc.get_traced_memory()[1] < 300 << 20
+    tracemalloc.stop()
+    assert got == [(0, 1), (1, 2), (2, 3), (3, 4), (4, 5)]
+
+
 def test_edit_search_by_brute_force():
     rng = random.Random(8)
     for _ in range(300):
@@ -246,6 +278,23 @@ def test_alike_lines_by_brute_force(spark):
     assert got == {i for i in range(len(root)) if root[i] == i} and len(got) < len(lines) / 2
 
 
+def test_recall_of_alike_lines_at_the_most_edits(spark):
+    rng = random.Random(22)
+    vocab = [f"w{i}" for i in range(3000)]
+    for low, high in ((5, 10), (10, 40), (40, 300)):
+        lines = []
+        for i in range(400):
+            base = rng.choices(vocab, k=rng.randint(low, high))
+            copy = list(base)
+            most = len(base) // 5
+            for k in range(most):  # every fifth word, which leaves the fewest pairs
+                copy[5 * k + 2] = "new" + str(rng.randrange(10**6))
+            lines += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(copy))]
+        out = line_dedup.dedup_lines(spark.createDataFrame(lines, "doc_id long, text string"))
+        gone = [r.doc_id for r in out.where("n_removed > 0").select("doc_id").collect()]
+        assert all(d % 2 for d in gone) and len(gone) >= 0.98 * 400, (low, len(gone))
+
+
 def test_short_lines_and_short_words_repeat(spark):
     text = "the cat sat on the mat and saw a dog in the big old box"
     rows = [(1, text), (2, text.replace("dog", "cow")), (3, "a b c d e"), (4, "a b c d"), (5, "a b c x y"), (6, "甲乙丙丁戊"), (7, "甲乙丙丁己"), (8, "甲乙丙子丑")]
