@@ -2,7 +2,8 @@
 
 Texts are sequences of lower-case words. A window of an item's length is a candidate where it shares a
 run of words that no text within the allowed edits can lack; the run's place in the item gives the
-window's place. The walk embeds candidate windows and items so that edit distance becomes Hamming
+window's place. Of an item of many words each segment has windows: a text within its edits is within the
+edits of some segment. The walk embeds candidate windows and items so that edit distance becomes Hamming
 distance; sampled positions of the embeddings are compared, often enough for the target recall; what
 agrees once is verified by the exact edit distance of the item to the text around the window.
 """
@@ -22,14 +23,16 @@ from lociframe.llm.common import batches_of, keep
 
 #: Word edits divided by the item's words are at most one less this.
 SIMILARITY = 0.75
-#: Items of fewer words are no evidence of a copy, and match nothing.
-ITEM_WORDS = 5
 #: Independent walks, positions sampled together, and samples from each walk.
 WALKS, SAMPLED, SAMPLES = 8, 3, 10
-#: UTF-8 bytes of benchmark texts that are broadcast at a time; a larger benchmark is searched in parts.
-PART_BYTES = 8 << 20
+#: Items of more words have windows of equal parts of at most so many: walks of long texts drift apart with their edits.
+SEGMENT = 48
+#: UTF-8 bytes and segments of benchmark texts that are broadcast at a time; a larger benchmark is searched in parts.
+PART_BYTES, PART_SEGMENTS = 4 << 20, 1 << 15
 
-WORD = re.compile(r"[^\W_]+")
+#: Letters of scripts that are written without spaces are words each.
+UNSPACED = "\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+WORD = re.compile(rf"(?=[^\W_])[{UNSPACED}]|(?:(?![{UNSPACED}])[^\W_])+")
 
 
 def lowered(text: str | None) -> str:
@@ -72,38 +75,59 @@ def search(item: list[int], text: list[int]) -> tuple[int, int]:
     return best
 
 
+def segments(n: int) -> list[tuple[int, int]]:
+    """(first word, words) of the parts of an item of n words that have windows."""
+    m = -(-n // SEGMENT)
+    cuts = [n * i // m for i in range(m + 1)] if m else []
+    return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
+
+
+def step(walk: int, at: int, words: np.ndarray) -> np.ndarray:
+    """The random bits by which a walk goes on from words at one step: the same for equal words, in whatever text."""
+    x = words.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((walk * 0x10001 + at) * 0xBF58476D1CE4E5B9 & (1 << 64) - 1)
+    x ^= x >> np.uint64(31)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    return (x >> np.uint64(63)).astype(np.int64)
+
+
 class Items:
-    """A part of the benchmark: words as numbers, runs of words to look up, and embedded items."""
+    """A part of the benchmark: words as numbers, runs of words to look up, and embedded segments of items."""
 
     def __init__(self, items: list[tuple[int, str]], similarity: float = SIMILARITY, seed: int = 7, walks: int = WALKS, sampled: int = SAMPLED, samples: int = SAMPLES):
         rng = np.random.default_rng(seed)
         self.vocab: dict[str, int] = {}
         self.ids, self.words = [], []
         for item_id, text in items:
-            w = words_of(text)
-            if len(w) >= ITEM_WORDS:
+            if w := words_of(text):
                 self.ids.append(item_id)
                 self.words.append([self.vocab.setdefault(x, len(self.vocab) + 1) for x in w])
-        self.lengths = np.array([len(w) for w in self.words], np.int64)
-        self.edits = np.array([allowed(len(w), similarity) for w in self.words], np.int64)
+        self.edits = [allowed(len(w), similarity) for w in self.words]
         self.base = len(self.vocab) + 1
+        self.walks, self.sampled = walks, sampled
+        # the item of each segment, its first word in the item and its words
+        cut = [(i, a, n) for i, w in enumerate(self.words) for a, n in segments(len(w))]
+        self.item, self.first, self.lengths = (np.array(c, np.int64) for c in (zip(*cut) if cut else ([], [], [])))
+        edits = [allowed(n, similarity) for _, _, n in cut]
         # a text within e edits of n words keeps a run of this many, at least: e edits leave n - e words in e + 1 runs
-        run = [max(1, min(3, -(-(n - e) // (e + 1)))) for n, e in zip(self.lengths.tolist(), self.edits.tolist())]
+        run = [max(1, min(3, -(-(n - e) // (e + 1)))) for (_, _, n), e in zip(cut, edits)]
         self.runs = {}
         for q in sorted(set(run)):
-            rows = [(self._code(w[o : o + q]), i, o) for i, w in enumerate(self.words) if run[i] == q for o in range(len(w) - q + 1)]
+            rows = [(self._code(self.words[i][o : o + q]), k, o - a) for k, (i, a, n) in enumerate(cut) if run[k] == q for o in range(a, a + n - q + 1)]
             rows = np.array(sorted(rows), np.int64).reshape(-1, 3)
             keys, starts, counts = np.unique(rows[:, 0], return_index=True, return_counts=True)
-            self.runs[q] = (keys, starts, counts, rows[:, 1], rows[:, 2])
-        # the walk: at step j it shows the word it stands on, and goes on by bit j of that word
-        longest = int(self.lengths.max(initial=0))
-        self.steps = 3 * longest
-        self.bits = rng.integers(0, 2, (walks, max(1, self.steps), self.base + 1), np.int8)
-        shown = [[self._walk(w, self.bits[k]) for k in range(walks)] for w in self.words]
-        # sampled steps of each item and walk, and what the item shows there: of the first 2n steps, for later ones show the padding of most texts
-        self.walks, self.sampled = walks, sampled
-        self.steps_at = np.array([rng.integers(0, 2 * n, (walks, samples * sampled)) for n in self.lengths.tolist()], np.int64).reshape(-1, walks, samples * sampled)
-        self.wanted = np.array([[np.array(shown[i][k])[self.steps_at[i, k]] for k in range(walks)] for i in range(len(self.words))], np.int64).reshape(self.steps_at.shape)
+            self.runs[q] = (keys, starts, counts, rows[:, 1].astype(np.int32), rows[:, 2].astype(np.int32))
+        # sampled steps of each segment and walk, and what it shows there: of the first 2n steps, for later ones show the padding of most texts
+        self.steps_at = rng.integers(0, np.maximum(1, 2 * self.lengths)[:, None, None], (len(cut), walks, samples * sampled)).astype(np.int16)
+        self.wanted = np.zeros(self.steps_at.shape, np.int32)
+        for at in range(0, len(cut), 4096):
+            part = cut[at : at + 4096]
+            window = np.full((len(part), SEGMENT + 1), self.base, np.int64)
+            for k, (i, a, n) in enumerate(part):
+                window[k, :n] = self.words[i][a : a + n]
+            for k in range(walks):
+                self.wanted[at : at + 4096, k] = np.take_along_axis(self._shown(window, self.lengths[at : at + 4096], k), self.steps_at[at : at + 4096, k].astype(np.int64), 1)
 
     def _code(self, run) -> int:
         c = 0
@@ -111,22 +135,26 @@ class Items:
             c = c * self.base + w
         return c
 
-    def _walk(self, words: list[int], bits: np.ndarray) -> list[int]:
-        """What one walk over words shows, padded by the number that no word has."""
-        out, i, n, pad = [], 0, len(words), self.base
-        for j in range(3 * n):
-            w = words[i] if i < n else pad
-            out.append(w)
-            i += int(bits[j, w])
-        return out
+    def _shown(self, window: np.ndarray, n: np.ndarray, walk: int) -> np.ndarray:
+        """What a walk shows over each row of window in its first steps: at each the word it stands on, going on by the word's bit.
+
+        Rows have n words and are padded by the number that no word has.
+        """
+        on, lanes = np.zeros(len(window), np.int64), np.arange(len(window))
+        shown = np.empty((len(window), 2 * int(n.max(initial=0))), np.int64)
+        for j in range(shown.shape[1]):
+            w = window[lanes, on]
+            shown[:, j] = w
+            on = np.minimum(on + step(walk, j, w), n)
+        return shown
 
     def candidates(self, stream: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Distinct (item, text, window start) that share a run with a text, starts possibly before its first word.
+        """Distinct (segment, text, window start) that share a run with a text, starts possibly before its first word.
 
         stream has the words of all texts, each followed by a 0; starts has where each begins.
         """
         found = []
-        for q, (keys, rows_from, counts, items, offsets) in self.runs.items():
+        for q, (keys, rows_from, counts, owner, offsets) in self.runs.items():
             m = len(stream) - q + 1
             if m <= 0:
                 continue
@@ -144,33 +172,33 @@ class Items:
             n = counts[at]
             row = np.repeat(rows_from[at], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             place = np.repeat(places, n)
-            found.append(np.stack((items[row], np.searchsorted(starts, place, "right") - 1, place - offsets[row]), 1))
+            found.append(np.stack((owner[row], np.searchsorted(starts, place, "right") - 1, place - offsets[row]), 1))
         if not found:
             return np.empty((0, 3), np.int64)
         both = np.concatenate(found)
         both = both[np.lexsort((both[:, 2], both[:, 1], both[:, 0]))]
-        return both[np.concatenate(([True], (both[1:] != both[:-1]).any(1)))]
+        new = (both[1:] != both[:-1]).any(1)
+        # a segment of few words that allows no edit is found by its run, and the first place is as good as others
+        new &= (both[1:, :2] != both[:-1, :2]).any(1) | (self.lengths[both[1:, 0]] > 3)
+        return both[np.concatenate(([True], new))]
 
     def alike(self, stream: np.ndarray, ends: np.ndarray, starts: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-        """Which candidates agree with their item on all positions of at least one sample."""
+        """Which candidates agree with their segment on all positions of at least one sample."""
         good = np.zeros(len(pairs), bool)
         for at in range(0, len(pairs), 4096):
-            item, text, start = pairs[at : at + 4096].T
-            n = self.lengths[item]
+            own, text, start = pairs[at : at + 4096].T
+            n = self.lengths[own]
             index = start[:, None] + np.arange(int(n.max()) + 1)
             inside = (index >= starts[text][:, None]) & (index < ends[text][:, None]) & (np.arange(index.shape[1]) < n[:, None])
             window = np.where(inside, stream[np.clip(index, 0, len(stream) - 1)], self.base)
-            lanes = np.arange(len(item))
-            hit = np.zeros(len(item), bool)
+            hit = np.zeros(len(own), bool)
             for k in range(self.walks):
-                on = np.zeros(len(item), np.int64)
-                shown = np.empty((len(item), 2 * int(n.max())), np.int64)
-                for j in range(shown.shape[1]):
-                    w = window[lanes, on]
-                    shown[:, j] = w
-                    on = np.minimum(on + self.bits[k, j, w], n)
-                seen = shown[lanes[:, None], self.steps_at[item, k]]
-                hit |= (seen == self.wanted[item, k]).reshape(len(item), -1, self.sampled).all(2).any(1)
+                left = np.flatnonzero(~hit)  # those that no walk before has found
+                if not len(left):
+                    break
+                shown = self._shown(window[left], n[left], k)
+                seen = np.take_along_axis(shown, self.steps_at[own[left], k].astype(np.int64), 1)
+                hit[left] = (seen == self.wanted[own[left], k]).reshape(len(left), -1, self.sampled).all(2).any(1)
             good[at : at + 4096] = hit
         return good
 
@@ -188,10 +216,19 @@ class Items:
             stream.append(0)
         words, first, last = np.array(stream, np.int64), np.array(starts, np.int64), np.array(ends, np.int64)
         pairs = self.candidates(words, first)
+        pairs = pairs[self.alike(words, last, first, pairs)]
+        # where the whole item would begin; places that are near each other are searched together
+        whole = np.stack((self.item[pairs[:, 0]], pairs[:, 1], pairs[:, 2] - self.first[pairs[:, 0]]), 1)
+        whole = whole[np.lexsort((whole[:, 2], whole[:, 1], whole[:, 0]))].tolist()
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for i, text, start in pairs[self.alike(words, last, first, pairs)].tolist():
-            item, e = self.words[i], int(self.edits[i])
-            lo, hi = max(starts[text], start - e), min(ends[text], start + len(item) + e)
+        at = 0
+        while at < len(whole):
+            i, text, start = whole[at]
+            item, e, end = self.words[i], self.edits[i], start
+            while at < len(whole) and whole[at][:2] == [i, text] and whole[at][2] <= end + len(item):
+                end = whole[at][2]
+                at += 1
+            lo, hi = max(starts[text], start - e), min(ends[text], end + len(item) + e)
             around = stream[lo:hi]
             far, end = search(item, around)
             if far > e:
@@ -207,8 +244,9 @@ def parts(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[t
     """The benchmark's (item, text) rows in lists of bounded size, by a hash of the text."""
     own = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text")).where("text IS NOT NULL").distinct()
     own = keep(own, "benchmark")
-    size = own.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    n = -(-int(size) // PART_BYTES)
+    # a segment may have few letters more than words
+    size, rows = own.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0)), F.sum(1 + F.octet_length("text") / (2 * SEGMENT))).first()
+    n = max(-(-int(size) // PART_BYTES), -(-int(rows or 0) // PART_SEGMENTS))
     for k in range(n):
         yield [(r.item, r.text) for r in own.where(F.pmod(F.xxhash64("text", "item"), F.lit(n)) == k).orderBy("item", "text").collect()]
 
@@ -217,8 +255,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """(id_col, item_id, start, end, edits, similarity): the benchmark items each document holds.
 
     start and end are code points of the document's text, end exclusive, of the place nearest to the item;
-    similarity is one less word edits by item words, ``similarity`` or more. Texts that are null, empty or
-    without a word match nothing, nor do items under ITEM_WORDS words; repeated rows give rows each; an
+    similarity is one less word edits by item words, ``similarity`` or more, so items under four words are found
+    word for word; each letter of a script without spaces is a word. Texts that are null, empty or
+    without a word match nothing; repeated rows give rows each; an
     item id that has several texts may give several rows; other columns are not read; empty tables give
     no rows. Documents are not shuffled. The benchmark is searched in broadcast parts of PART_BYTES.
     """
