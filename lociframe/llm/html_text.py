@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import html
 import math
+import random
 import re
 from collections import Counter
 from collections.abc import Iterable
 from functools import cache
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +22,7 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 BLOCKS = set("address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split())
 DROPPED = set("head nav footer aside form dialog menu search button select option datalist label fieldset canvas audio video map".split())
 ROLES = set("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar form".split())
-# Words of class and id attributes that mark what is not the article.
+#: Words of class and id attributes that mark what is not the article; an own list.
 MARKS = set(
     "ad ads adv advert adverts advertisement advertising adsense adslot banner sponsor sponsored sponsors promo promoted promotion outbrain taboola "
     "nav navbar navigation menu submenu breadcrumb breadcrumbs pagination pager skip "
@@ -39,6 +41,8 @@ TOKEN = re.compile(
     re.S | re.I,
 )
 ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|(?<![\w-])(hidden)(?![\w-])")
+#: Marks that stand alone, such as those between links, are no words.
+MARK = re.compile(r"(?<!\S)[^\w\s]+(?!\S)")
 PIECE = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
 
 
@@ -63,33 +67,45 @@ def unwanted(name: str, attrs: str, within: list[str]) -> bool:
     return False
 
 
-class Page:
-    """A page as blocks of text outside unwanted elements, with the tags between them.
+class Block(NamedTuple):
+    """A block's text, the words of it in links, the tags since the block before, its article or main element or 0, and whether it is marked as no part of one."""
+
+    text: str
+    linked: int
+    tags: list[str]
+    inside: int
+    off: bool
 
-    ``blocks`` holds (words, tags before the block, number of the article or main element it is in, or 0).
-    """
+
+class Page:
+    """A page as blocks of text with the tags between them. Marked elements inside a paragraph are left out at once."""
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, list[str], int]] = []
+        self.blocks: list[Block] = []
         self._buffer: list[str] = []
         self._tags: list[str] = []
-        stack: list[tuple[str, bool, int]] = []  # open elements: name, unwanted or inside such, article number
+        self._linked = links = 0
+        stack: list[tuple[str, bool, int, bool]] = []  # open elements: name, marked or inside such, article number, left out
         at = articles = 0
         for m in TOKEN.finditer(source):
-            if m.start() > at and not (stack and stack[-1][1]):
-                self._buffer.append(source[at : m.start()])
+            if m.start() > at and not (stack and stack[-1][3]):
+                self._add(source[at : m.start()], links > 0)
             at = m.end()
             name = (m["name"] or "").lower()
             if not name:
                 continue
-            off, inside = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
+            if name == "a":
+                links = 0 if m["end"] else 1
+            off, inside, out = stack[-1][1:] if stack else (False, 0, False)
             if name in BLOCKS:
-                self._flush(inside)
-            if not off:
+                self._flush(inside, off)
+            if not out:
                 self._tags.append(name)
             if m["end"]:
                 names = [x[0] for x in stack]
                 if name in names:
+                    if name in DROPPED:
+                        self._flush(inside, off)
                     del stack[len(names) - 1 - names[::-1].index(name) :]
                 continue
             if name in BLOCKS and stack and name != "br":  # these end an open paragraph; an item ends the item before it
@@ -97,26 +113,48 @@ class Page:
                     if stack[-1][0] == closed and (closed == "p" or name == closed or {closed, name} <= {"dt", "dd"} or {closed, name} <= {"td", "th"}):
                         stack.pop()
                         break
-                off, inside = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
+                off, inside, out = stack[-1][1:] if stack else (False, 0, False)
             if name in VOID or m["attrs"].endswith("/") and name not in BLOCKS:
                 continue
-            off = off or unwanted(name, m["attrs"], [x[0] for x in stack])
+            if not off and unwanted(name, m["attrs"], [x[0] for x in stack]):
+                off = True
+                out = name not in BLOCKS
             if name in ("article", "main") and not off and not inside:
                 articles += 1
                 inside = articles
             if name in BLOCKS or name in DROPPED or off:
-                stack.append((name, off, inside))
-        if not (stack and stack[-1][1]):
-            self._buffer.append(source[at:])
-        self._flush(stack[-1][2] if stack else 0)
+                stack.append((name, off, inside, out))
+        if not (stack and stack[-1][3]):
+            self._add(source[at:], links > 0)
+        self._flush(stack[-1][2] if stack else 0, bool(stack and stack[-1][1]))
+        held = Counter()
+        for b in self.blocks:
+            held[b.inside] += 0 if b.off else len(b.text)
+        #: The article or main element that most text is in, or 0.
+        self.article = max((n for n in held if n), key=lambda n: (held[n], -n), default=0)
+
+    def _add(self, text: str, linked: bool) -> None:
+        self._buffer.append(text)
+        if linked:
+            self._linked += len(text.split())
 
-    def _flush(self, inside: int) -> None:
+    def _flush(self, inside: int, off: bool) -> None:
         text = "".join(self._buffer)
         self._buffer.clear()
         text = " ".join((html.unescape(text) if "&" in text else text).split())
         if text:
-            self.blocks.append((text, self._tags, inside))
+            self.blocks.append(Block(text, self._linked, self._tags, inside, off))
             self._tags = []
+        self._linked = 0
+
+    def features(self, b: Block) -> Counter:
+        """What a block is scored by: tags, words and words in links, each by where it stands."""
+        where = "off" if b.off else "" if not self.article else "in" if b.inside == self.article else "out"
+        n = b.text.count(" ") + 1 - len(MARK.findall(b.text))
+        found = Counter((t, where) for t in b.tags)
+        found["LINKED", where] += min(n, b.linked)
+        found["WORD", where] += n - min(n, b.linked)
+        return found
 
 
 def best_run(scores: Iterable[float]) -> tuple[int, int]:
@@ -131,64 +169,89 @@ def best_run(scores: Iterable[float]) -> tuple[int, int]:
     return found
 
 
-def labelled_pages() -> list[tuple[str, str]]:
-    """Pages with the article's text, made by a rule: page furniture around and after paragraphs of several lengths."""
+def labelled_pages() -> list[tuple[str, set[str]]]:
+    """Pages with the words of their articles, made by a rule.
+
+    They differ in the length and number of paragraphs, headings, lists, quotes and tables in the article, in whether an
+    article or main element or only a div holds it, in the furniture before and after it, in
+    whether that is marked by names, and in the length of words. Words of the article begin with x.
+    """
     out = []
-    for k in range(24):
-        word = lambda i, n: " ".join(f"w{(i * 31 + j * 17 + k) % 97}" for j in range(n))
-        menu = "".join(f'<li><a href="/{i}">{word(i, 1 + i % 2)}</a></li>' for i in range(5 + k % 6))
-        body = "".join(f"<p>{word(i, 12 + (7 * i + k) % 60)} <a>{word(i, 2)}</a> <b>{word(i, 1)}</b> {word(i, 9)}</p>" for i in range(3 + k % 5))
-        if k % 3 == 0:
-            items = "".join(f"<li>{word(i, 4 + (5 * i + k) % 9)}</li>" for i in range(4))
-            body += f"<h2>{word(4, 3)}</h2><ul>{items}</ul><div><blockquote><p>{word(6, 25)}</p></blockquote></div><p>{word(7, 30)}</p>"
-        title = f"<h1>{word(1, 6)}</h1>"
-        furniture = f"<div><ul>{menu}</ul></div>", f"<div><span><a>{word(3, 3)}</a></span> <span>{word(5, 2)}</span></div>", f"<table><tr><td><a>{word(8, 2)}</a></td><td>{word(9, 1)}</td></tr></table>"
-        inner = title + body
-        out.append((f"<html><body>{furniture[0]}{furniture[1]}<div>{inner}</div>{furniture[2]}{furniture[k % 2]}</body></html>", inner))
+    for k in range(96):
+        rng = random.Random(k)
+        letters = rng.choice(("abcdefgh", "ñóéaiosr", "деносталк", "的一是不了人我"))
+        word = lambda mark="": mark + "".join(rng.choices(letters, k=rng.randint(1, 9)))
+        some = lambda n, mark="": " ".join(word(mark) for _ in range(n))
+        links = lambda n: "".join(f'<li><a href="/{i}">{some(rng.randint(1, 3))}</a></li>' for i in range(n))
+
+        def paragraph(rng=rng, some=some):
+            kind, text = rng.random(), some(rng.choice((3, 8, 20, 40, 90)), "x")
+            if kind < 0.7:
+                return f"<p>{text} <a href='/'>{some(rng.randint(1, 4), 'x')}</a> <b>{some(1, 'x')}</b> {some(4, 'x')}</p>" if kind < 0.4 else f"<p>{text}</p>"
+            if kind < 0.8:
+                return "<ul>" + "".join(f"<li>{some(rng.randint(2, 14), 'x')}</li>" for _ in range(rng.randint(2, 5))) + "</ul>"
+            if kind < 0.9:
+                return f"<blockquote><p>{text}</p></blockquote>"
+            return f"<h2>{some(3, 'x')}</h2><p>{text}</p>" if kind < 0.96 else f"<table><tr><td>{some(4, 'x')}</td><td>{text}</td></tr></table>"
+
+        inner = f"<h1>{some(rng.randint(2, 9), 'x')}</h1>" + "".join(paragraph() for _ in range(rng.randint(2, 9)))
+        name = rng.choice(("article", "main", "div", "div", "div"))
+        marked = rng.random() < 0.6
+        held = lambda tag, cls, text, marked=marked: f"<{tag} class='{cls}'>{text}</{tag}>" if marked else f"<div>{text}</div>"
+        before = [held("nav", "menu", f"<ul>{links(rng.randint(3, 9))}</ul>"), held("div", "banner", some(rng.randint(2, 8))), f"<div><span><a>{some(2)}</a></span> <span>{some(2)}</span></div>"]
+        after = [held("div", "related", f"<ul>{links(rng.randint(2, 6))}</ul>"), held("footer", "footer", f"<p>{some(rng.randint(3, 7))}</p><ul>{links(3)}</ul>"), f"<table><tr><td><a>{some(2)}</a></td><td>{word()}</td></tr></table>"]
+        if marked:
+            after.append("<div class='comments'>" + "".join(f"<div><b>{word()}</b><p>{some(rng.randint(5, 40))}</p></div>" for _ in range(rng.randint(1, 5))) + "</div>")
+            cut = inner.split("</p>", 1)
+            inner = cut[0] + "</p>" + rng.choice(("", f"<div class='ad'>{some(6)}</div>")) + cut[1] if len(cut) > 1 else inner
+        before, after = (rng.sample(x, rng.randint(1, len(x))) for x in (before, after))
+        out.append(f"<html><body>{''.join(before)}<{name}>{inner}</{name}>{''.join(after)}</body></html>")
     return out
 
 
 @cache
-def weights() -> tuple[float, dict[str, float], float]:
-    """(weight of a word, weights of tags, weight of other tags), the log odds of each in an article of the labelled pages.
+def weights() -> tuple[dict[tuple[str, str], float], dict[str, float]]:
+    """(weights of features, weights of tags that no page has, by place): the log odds of each in an article of the labelled pages.
 
-    A word's is above and a tag's below zero, whatever the pages say.
+    Words score positive and tags negative: a sign that says otherwise is cut to nearly nothing, but for words that are marked,
+    linked, or outside of the article element.
     """
     within, outside = Counter(), Counter()
-    for page, inner in labelled_pages():
-        for source, into in ((page, outside), (inner, within)):
-            for words, tags, _ in Page(source).blocks:
-                into["word"] += len(words.split())
-                into.update(tags)
-    outside.subtract(within)
-    a, b, kinds = sum(within.values()), sum(outside.values()), len(within | outside)
-    odds = {k: math.log((within[k] + 1) / (a + kinds) * (b + kinds) / (max(0, outside[k]) + 1)) for k in {*within, *outside}}
-    word = max(0.1, odds.pop("word"))
-    tags = {k: min(-0.05, v) for k, v in odds.items()}
-    return word, tags, min(-0.5, min(tags.values()) / 2)
+    for source in labelled_pages():
+        page = Page(source)
+        for b in page.blocks:
+            (within if b.text.startswith("x") else outside).update(page.features(b))
+    a, b = sum(within.values()), sum(outside.values())
+    odds = {k: math.log((within[k] + 0.5) / a * b / (outside[k] + 0.5)) for k in {*within, *outside}}
+    for k, v in odds.items():
+        if k[0] not in ("WORD", "LINKED"):
+            odds[k] = min(-0.05, v)
+        elif k == ("WORD", ""):
+            odds[k] = max(0.1, v)
+    other = {w: min([-0.05, *(v / 2 for (t, x), v in odds.items() if x == w and t not in ("WORD", "LINKED"))]) for w in ("", "in", "out", "off")}
+    return odds, other
 
 
 def main_text(source: str | None) -> str:
-    """The article of a page: the best run of its blocks, and all of the article or main element the run lies in."""
+    """The article of a page: the run of blocks with the largest score, less those in it that are marked as no part of it."""
     if not source:
         return ""
-    blocks = Page(source).blocks
-    word, tags, other = weights()
+    page = Page(source)
+    known, other = weights()
     scores: list[float] = []  # by turns a block's tags and its words
-    for words, before, _ in blocks:
-        scores += [sum(tags.get(t, other) for t in before), word * (words.count(" ") + 1)]
+    for b in page.blocks:
+        tags = words = 0.0
+        for k, n in page.features(b).items():
+            if k[0] in ("WORD", "LINKED"):
+                words += n * known.get(k, 0.0)
+            else:
+                tags += n * known.get(k, other[k[1]])
+        scores += [tags, words]
     start, end = best_run(scores)
     first, last = start // 2, -(-end // 2)
-    held = Counter()
-    for words, _, inside in blocks[first:last]:
-        held[inside] += len(words)
-    articles = [n for n in held if n]
-    if articles:  # the marked article that most of the run is in
-        chosen = max(articles, key=lambda n: (held[n], -n))
-        return " ".join(b[0] for b in blocks if b[2] == chosen)
-    if first and HEADINGS & set(blocks[first - 1][1]):  # a title stands right before
+    if first < last and first and HEADINGS & set(page.blocks[first - 1].tags) and not page.blocks[first - 1].off:  # a title stands right before
         first -= 1
-    return " ".join(b[0] for b in blocks[first:last])
+    return " ".join(b.text for b in page.blocks[first:last] if not b.off)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", more: tuple[str, ...] = ("url",)) -> DataFrame:

@@ -9,6 +9,7 @@ import re
 import tracemalloc
 import urllib.parse
 import zlib
+from collections import Counter
 
 import public_tokenizers
 import pytest
@@ -156,8 +157,6 @@ def test_language_learns_and_predicts(spark):
 
 
 def test_grams_by_counting():
-    from collections import Counter
-
     text = "Aé b, ab"
     want = Counter()
     for w in ("aé", "b", "ab"):
@@ -175,6 +174,34 @@ def test_grams_by_counting():
         language_id.CHUNK = old
 
 
+def overlap_f1(got, want):
+    g, w = Counter(got.split()), Counter(want.split())
+    return 2 * sum((g & w).values()) / (sum(g.values()) + sum(w.values()) or 1)
+
+
+def test_pages_of_layouts_not_learned_from():
+    rng = random.Random(99)
+    words = lambda n: " ".join("".join(rng.choices("etaoinshrdlu", k=rng.randint(1, 10))) for _ in range(n))
+    scores = {}
+    for _ in range(60):
+        paragraphs = [words(rng.choice((6, 15, 30, 60, 120))) for _ in range(rng.randint(3, 12))]
+        title = words(rng.randint(3, 9))
+        want = f"{title} {' '.join(paragraphs)}"
+        body = f"<h1>{title}</h1>" + "".join(f"<p>{p}</p>" for p in paragraphs)
+        menu = "".join(f"<a href=x>{words(2)}</a> | " for _ in range(8))
+        side = "".join(f"<dt><a href=x>{words(3)}</a></dt>" for _ in range(5))
+        layouts = {
+            "article": f"<html><head><title>t</title></head><body><header>{words(4)}</header><p>{menu}</p><article>{body}</article><section id='comments'><p>{words(30)}</p></section><footer>{words(9)}</footer></body></html>",
+            "main": f"<body><nav>{menu}</nav><main><div>{body}</div><aside>{words(20)}</aside></main><form>{words(4)}<input></form></body>",
+            "named divs": f"<body><div id=top>{menu}</div><div class=content><div class=inner>{body}</div></div><dl>{side}</dl><div class='site-footer'>{words(8)}</div></body>",
+            "plain divs": f"<body><p>{menu}</p><div><section>{body}</section></div><div><dl>{side}</dl></div><div><span>{words(5)}</span></div></body>",
+        }
+        for k, page in layouts.items():
+            scores.setdefault(k, []).append(overlap_f1(html_text.main_text(page), want))
+    mean = {k: sum(v) / len(v) for k, v in scores.items()}
+    assert mean["article"] == mean["main"] == 1 and min(mean.values()) > 0.97, mean
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body class="has-sidebar">
 <header><h1>Site</h1><nav><ul><li><a href="/">Home</a></li></ul></nav></header><div class="cookie-notice">We use cookies all day and all night</div>
 %s<aside>Side words here</aside><section id="comments"><article class="comment"><p>What a long comment this is, longer than the text itself, on and on and on.</p></article></section>
