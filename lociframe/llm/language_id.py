@@ -106,8 +106,13 @@ def learn(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held_out("id"))
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    chosen = keep(rows.select("id", "lang").withColumn("nth", nth).where(F.col("nth") <= docs).select("id", "lang").distinct(), "sample")
+    # only rows of a hash below what about four times as many have are ordered, so no language is one task's
+    order = F.shiftrightunsigned(F.xxhash64("id"), 1)
+    counts = keep(rows.groupBy("lang").agg(F.approx_count_distinct("id").alias("n")), "languages")
+    counts = counts.select("lang", F.least(F.lit(float(2**63)), F.lit(4.0 * docs * 2**63) / F.greatest(F.lit(1), "n")).alias("most"))
+    few = rows.select("id", "lang", order.alias("order")).join(small(counts, 64), "lang").where(F.col("order") <= F.col("most")).select("id", "lang", "order").distinct()
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("order", "id"))
+    chosen = keep(few.withColumn("nth", nth).where(F.col("nth") <= docs).select("id", "lang"), "sample")
     sample = rows.join(small(chosen, 80), ["id", "lang"], "left_semi")
 
     def count(batches):

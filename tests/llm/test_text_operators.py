@@ -13,6 +13,7 @@ from collections import Counter
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from lociframe.llm import bpe, html_text, language_id, license_scan, secret_scan
 
@@ -156,6 +157,15 @@ def test_language_learns_and_predicts(spark):
     assert {(r.lang_pred, r.score) for r in language_id.identify(df, none).collect()} == {("und", 0.0)}
 
 
+def test_held_out_documents_are_told_apart(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = language_id.identify(docs, language_id.learn(docs), more=("lang", "text")).where(language_id.held_out("doc_id") & F.col("lang").isNotNull())
+    rows = [r for r in found.collect() if sum(c.isalpha() for c in r.text or "") >= 40]
+    right = [r for r in rows if r.lang == r.lang_pred]
+    assert len(rows) > 100 and len(right) >= 0.97 * len(rows), len(right) / len(rows)
+    assert all(r.score >= 0.2 for r in right)
+
+
 def test_grams_by_counting():
     text = "Aé b, ab"
     want = Counter()
