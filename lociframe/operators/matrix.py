@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from lociframe.functions import arrays as ar
+from lociframe.sources.scratch import keep
 
 
 def cells(vectors: DataFrame) -> DataFrame:
@@ -179,17 +180,17 @@ def uncorrelated(vectors_: DataFrame, c: float) -> DataFrame:
     """Rows in order of label of which none correlates over c with one kept before.
 
     The correlated pairs come from a distributed join; a row goes if one kept before it is its partner, which
-    is settled in rounds: rows without an earlier undecided partner are decided in each.
+    is settled in rounds: rows without an earlier undecided partner are decided in each. Every round's table is kept
+    in the shared folder.
     """
     m = cells(vectors_)
     edges = correlations(m).where(F.col("r") > c).select("row1", "row2")
     state = vectors_.select("label").withColumn("kept", F.lit(None).cast("boolean"))
-    edges = edges.checkpoint() if vectors_.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else edges.persist()
+    edges = keep(edges, "edges")
     while True:
         left = edges.join(state.select(F.col("label").alias("row1"), F.col("kept").alias("k1")), "row1")
         verdict = left.groupBy(F.col("row2").alias("label")).agg(F.max(F.coalesce(F.col("k1"), F.lit(False))).alias("beaten"), F.max(F.col("k1").isNull()).alias("open"))
-        state2 = state.join(verdict, "label", "left").select("label", F.coalesce("kept", F.when(F.col("beaten"), F.lit(False)).when(~F.coalesce("open", F.lit(False)), F.lit(True))).alias("kept"))
-        state = state2.persist()
+        state = keep(state.join(verdict, "label", "left").select("label", F.coalesce("kept", F.when(F.col("beaten"), F.lit(False)).when(~F.coalesce("open", F.lit(False)), F.lit(True))).alias("kept")), "kept")
         if not state.where("kept IS NULL").take(1):
             break
     return vectors_.join(state.where("kept"), "label", "left_semi")

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from lociframe.sources.scratch import keep
+
 
 def pivot(df: DataFrame, columns: list | None = None, missing: float | None = 0.0) -> DataFrame:
     """(k1, one column for each k2) of triples (k1, k2, value): repeated keys add up; absent ones are ``missing``."""
@@ -42,8 +44,12 @@ def number_rows(df: DataFrame, order: list[str], prefix: str = "") -> DataFrame:
 
 
 def with_index(df: DataFrame, order: list[str]) -> DataFrame:
-    """``index`` of each row from 0 by order."""
-    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
+    """``index`` of each row from 0 by order.
+
+    Rows and the numbers of their ranges are kept in the shared folder first: ranges are cut by a sample, and both
+    readings, or a repeated task, must see the same ones.
+    """
+    placed = keep(df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()), "ranges")
     spread = placed.groupBy("_p").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = spread.select("_p", before.alias("_s"))

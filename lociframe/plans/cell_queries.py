@@ -33,8 +33,12 @@ add("sc01_counts_any_strand", lambda s, d: sc.counts(READS(s, d), GENOME(s, d),
 add("sc01_counts_in_refs", lambda s, d: sc.counts(READS(s, d), GENOME(s, d), 500, 25, 10, ref=REFS(s, d)), _ctes("reads", "refs") + WINDOWS.format(strand="strand", pos="start_") + "SELECT * FROM win WHERE n >= 10 AND EXISTS (SELECT 1 FROM refs r WHERE r.chrom = win.chrom AND r.strand = win.strand AND r.start_ <= win.stop AND r.stop_ >= win.start)")
 add("sc02_covered", lambda s, d: sc.covered(READS(s, d), GENOME(s, d), 500, 100, 200), _ctes("reads") + """, p AS (SELECT chrom, strand, start_, stop_, unnest(generate_series((start_ - 1) // 100, (stop_ - 1) // 100)) AS m FROM reads), c AS (SELECT chrom, strand, m, least(stop_, 100 * m + 100) - greatest(start_, 100 * m + 1) + 1 AS v FROM p)
 SELECT * FROM (SELECT chrom, strand, 100 * (m - b) + 1 AS start, 100 * (m - b) + 500 AS stop, cast(sum(v) AS bigint) AS n FROM c CROSS JOIN range(5) AS bs(b) WHERE m - b >= 0 AND m - b < 1000100 // 100 - 4 GROUP BY chrom, strand, m - b) AS w WHERE n >= 200""")
-add("sc03_peaks", lambda s, d: sc.peaks(READS(s, d), GENOME(s, d), None, 500, 25, 10, "poisson", 1e-3).select("chrom", "start", "stop", "v1"))
-add("sc03_peaks_control", lambda s, d: sc.peaks(READS(s, d).where("strand = '+'"), GENOME(s, d), READS(s, d).where("strand = '-'"), 500, 25, 10, "binomial", 1e-2).select("chrom", "start", "stop", "v1", "v2"))
+add("sc03_peaks", lambda s, d: sc.peaks(READS(s, d), GENOME(s, d), None, 500, 25, 10, "poisson", 1e-3).select("chrom", "start", "stop", "v1"), _ctes("reads") + WINDOWS.format(strand="'+'", pos="start_") + """, q AS (SELECT chrom, start, stop, least(n, 500) AS v1 FROM win WHERE n >= 10), l AS (SELECT 500.0::double * count(*) / 5000500 AS l FROM reads)
+SELECT chrom, start, stop, v1 FROM q CROSS JOIN l WHERE 1 - list_sum([exp(t * ln(l) - l - lgamma(t + 1)) FOR t IN range(v1)]) <= 1e-3""")
+ONE = WINDOWS.format(strand="'+'", pos="start_")
+TWO = ONE.replace(", p AS", ", p2 AS").replace("FROM p ", "FROM p2 ").replace(", w AS (", ", w2 AS (").replace("FROM w ", "FROM w2 ").replace("win AS", "win2 AS")
+add("sc03_peaks_control", lambda s, d: sc.peaks(READS(s, d).where("strand = '+'"), GENOME(s, d), READS(s, d).where("strand = '-'"), 500, 25, 10, "binomial", 1e-2).select("chrom", "start", "stop", "v1", "v2"), _ctes("reads") + ONE.replace("FROM reads", "FROM reads WHERE strand = '+'") + TWO.replace("FROM reads", "FROM reads WHERE strand = '-'") + """, q AS (SELECT a.chrom, a.start, a.stop, least(a.n, 500) AS v1, cast(least(coalesce(b.n, 0), 500) AS double) AS v2 FROM win a LEFT JOIN win2 b ON a.chrom = b.chrom AND a.start = b.start WHERE a.n >= 10), l AS (SELECT avg(CASE strand WHEN '+' THEN 1.0 ELSE 0.0 END) AS p FROM reads)
+SELECT chrom, start, stop, v1, v2 FROM q CROSS JOIN l WHERE list_sum([exp(lgamma(v1 + v2 + 1) - lgamma(t + 1) - lgamma(v1 + v2 - t + 1) + t * ln(p) + (v1 + v2 - t) * ln(1 - p)) FOR t IN range(v1, cast(v1 + v2 AS bigint) + 1)]) <= 1e-2""")
 add("sc04_tails", lambda s, d: s.range(60).select("id", F.round(sc.tail("poisson", F.col("id") - 1, F.lit(100), F.lit(0.2)), 9).alias("poisson"), F.round(sc.tail("binomial", F.col("id") - 1, F.lit(60), F.lit(0.3)), 9).alias("binomial"), F.round(sc.tail("normal", F.col("id"), F.lit(100), F.lit(0.2)), 9).alias("normal")))
 PV = lambda col: lambda s, d: PAIRS(s, d).select(((F.col(col) % 9973 + 1) / 9974.0).alias("p"))
 OBS = lambda s, d: PAIRS(s, d).select((((F.col("pos1") % 9973 + 1) / 9974.0) * ((F.col("pos2") % 97 + 1) / 98.0)).alias("p"))
@@ -73,14 +77,14 @@ AREA = ", r(label, chrom, start, stop) AS (VALUES ('A', 'chr1', 1, 400000), ('B'
 add("h07_region_matrix", lambda s, d: pr.region_matrix(PAIRS(s, d), AREAS(s, d), 10000), _ctes("pairs") + AREA + "SELECT region, i, j, count(*) AS n FROM (SELECT * FROM z UNION ALL SELECT region, j, i FROM z WHERE i <> j) AS y GROUP BY region, i, j")
 add("h07_region_band", lambda s, d: pr.region_matrix(PAIRS(s, d), AREAS(s, d), 10000, 30000, "band"), _ctes("pairs") + AREA + "SELECT region, i, 3 + j - i AS j, count(*) AS n FROM (SELECT * FROM z UNION ALL SELECT region, j, i FROM z WHERE i <> j) AS y WHERE abs(i - j) <= 3 GROUP BY region, i, 3 + j - i")
 add("h07_region_rotated", lambda s, d: pr.region_matrix(PAIRS(s, d), AREAS(s, d), 10000, None, "rotated"), _ctes("pairs") + AREA + "SELECT region, (i + j) // 2 AS i, abs(i - j) AS j, count(*) AS n FROM z GROUP BY 1, 2, 3")
-add("h08_track", lambda s, d: pr.long_range_track(CELLS(s, d).withColumn("n", F.col("x").cast("long")), 10000, 1), None)
+CON = _ctes("pairs") + ", cells AS (SELECT chrom, cast(i_ AS bigint) AS i, cast(j_ AS bigint) AS j, cast(count(*) AS double) AS x FROM (" + SQL["contacts"] + ") AS c GROUP BY chrom, i_, j_), other AS (SELECT chrom, i, j, x * (1 + i % 2) AS x FROM cells WHERE (i + j) % 3 <> 0), ex AS (SELECT chrom, j - i AS d, sum(x) / (101 - (j - i)) AS e FROM cells GROUP BY chrom, j - i), ful AS (SELECT chrom, i, j, x FROM cells UNION ALL SELECT chrom, j, i, x FROM cells WHERE i <> j) "
+add("h08_track", lambda s, d: pr.long_range_track(CELLS(s, d).withColumn("n", F.col("x").cast("long")), 10000, 1), CON + "SELECT chrom, i * 10000 AS start, (i + 1) * 10000 AS stop, concat(chrom, ':', j * 10000, '-', (j + 1) * 10000, ',', cast(x AS bigint)) AS target, cast(row_number() OVER (PARTITION BY chrom ORDER BY i, j) AS int) AS id, CASE WHEN i < j THEN '+' WHEN i > j THEN '-' ELSE '.' END AS flag FROM cells WHERE abs(x) > 1")
 add("h09_best", lambda s, d: pr.best_alignments(READS(s, d).select(F.split("label", r"\.")[0].alias("name"), (F.col("stop") - F.col("start")).alias("length"), "chrom", F.col("start").alias("pos"))).select("name", "length"), _ctes("reads") + "SELECT split_part(label, '.', 1) AS name, max(stop_ - start_) AS length FROM reads GROUP BY 1")
 
 # contact matrices: 101 bins a chromosome ----------------------------------------------------------
 CELLS = lambda s, d: fixture(s, d, "contacts").select("chrom", "i", "j", F.col("n").cast("double").alias("x"))
 SIZES = lambda s, d: ct.sizes(GENOME(s, d), 10000)
 OTHER = lambda s, d: CELLS(s, d).where("(i + j) % 3 <> 0").withColumn("x", F.col("x") * (1 + F.col("i") % 2))
-CON = _ctes("pairs") + ", cells AS (SELECT chrom, cast(i_ AS bigint) AS i, cast(j_ AS bigint) AS j, cast(count(*) AS double) AS x FROM (" + SQL["contacts"] + ") AS c GROUP BY chrom, i_, j_), other AS (SELECT chrom, i, j, x * (1 + i % 2) AS x FROM cells WHERE (i + j) % 3 <> 0), ex AS (SELECT chrom, j - i AS d, sum(x) / (101 - (j - i)) AS e FROM cells GROUP BY chrom, j - i), ful AS (SELECT chrom, i, j, x FROM cells UNION ALL SELECT chrom, j, i, x FROM cells WHERE i <> j) "
 cell = lambda name, f, sql: add(name, lambda s, d: f(CELLS(s, d), SIZES(s, d)), CON + sql)
 cell("c01_none", lambda c, z: ct.preprocess(c, z), "SELECT * FROM cells")
 cell("c01_max", lambda c, z: ct.preprocess(c, z, "max"), "SELECT chrom, i, j, x / max(x) OVER (PARTITION BY chrom) AS x FROM cells")
@@ -123,8 +127,13 @@ ROUND = ["intra_left", "intra_right", "intra_max", "intra_min", "inter", "diff",
 cell("c17_scores", lambda c, z: ct.boundary_scores(c, z, 6).select("chrom", "i", *[(F.round(x, 6) + F.lit(0.0)).alias(x) for x in ROUND]), SCORES + "SELECT chrom, i, " + ", ".join(f"round({x}, 6) + cast(0 AS double) AS {x}" for x in ROUND) + " FROM sco")
 LMAX = SCORES + ", lm AS (SELECT chrom, i, ratio AS score, ratio - greatest(min(ratio) OVER (PARTITION BY chrom ORDER BY i ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), min(ratio) OVER (PARTITION BY chrom ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)) AS lmax FROM sco) "
 cell("c18_lmax", lambda c, z: ct.local_maxima_scores(ct.boundary_scores(c, z, 6), "ratio", 4).select("chrom", "i", (F.round("score", 6) + F.lit(0.0)).alias("score"), (F.round("lmax", 6) + F.lit(0.0)).alias("lmax")), LMAX + "SELECT chrom, i, round(score, 6) + cast(0 AS double) AS score, round(lmax, 6) + cast(0 AS double) AS lmax FROM lm")
-add("c19_maxima", lambda s, d: ct.local_maxima(ct.boundary_scores(CELLS(s, d), SIZES(s, d), 6), "ratio", 4, 0.5))
-add("c20_domains", lambda s, d: ct.domains(CELLS(s, d), SIZES(s, d), 6, 4))
+GREEDY = """, wide AS (SELECT chrom, i, {x} AS x, list({x}) OVER (PARTITION BY chrom ORDER BY i ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS a, list({x}) OVER (PARTITION BY chrom ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS b FROM {t}),
+slopes AS (SELECT chrom, i, x, i - len(a) + list_position(a, list_min(a)) AS low, i + list_position(b, list_min(b)) - 1 AS high, row_number() OVER (PARTITION BY chrom ORDER BY x DESC, i) AS n FROM wide),
+walk AS (SELECT chrom, cast(0 AS bigint) AS n, list_transform(range(101), lambda v: 0) AS y FROM (SELECT DISTINCT chrom FROM slopes) AS c UNION ALL SELECT walk.chrom, s.n, CASE WHEN y[s.i + 1] <> 0 THEN y ELSE
+list_transform(range(101), lambda v: CASE WHEN v = s.i AND s.x >= {least} THEN 1 WHEN v BETWEEN s.low AND s.high AND y[v + 1] = 0 THEN -1 ELSE y[v + 1] END) END FROM walk JOIN slopes s ON s.chrom = walk.chrom AND s.n = walk.n + 1),
+marked AS (SELECT chrom, unnest(range(101)) AS i, unnest(y) AS y FROM walk WHERE n = 101) """
+add("c19_maxima", lambda s, d: ct.local_maxima(ct.boundary_scores(CELLS(s, d), SIZES(s, d), 6), "ratio", 4, 0.5), CON.replace("WITH", "WITH RECURSIVE", 1) + SCORES + GREEDY.format(x="ratio", t="sco", least=0.5) + "SELECT chrom, i, cast(CASE WHEN y = 1 THEN 1 ELSE 0 END AS int) AS boundary FROM marked")
+add("c20_domains", lambda s, d: ct.domains(CELLS(s, d), SIZES(s, d), 6, 4), CON.replace("WITH", "WITH RECURSIVE", 1) + LMAX + ", qs AS (SELECT chrom, quantile_cont(lmax, 0.99) AS q FROM lm GROUP BY chrom), dom AS (SELECT lm.chrom, i, score, coalesce(least(lmax / nullif(q, 0), 1.0), 0.0) AS lmax FROM lm JOIN qs ON lm.chrom = qs.chrom)" + GREEDY.format(x="lmax", t="dom", least=0.1) + "SELECT chrom, i, score, lmax, cast(CASE WHEN y = 1 THEN 1 ELSE 0 END AS int) AS boundary FROM marked JOIN dom USING (chrom, i)")
 DOM = lambda s, d: ct.boundary_scores(CELLS(s, d), SIZES(s, d), 6).select("chrom", "i", F.round("ratio", 5).alias("lmax"), (F.col("i") % 7 == 0).cast("int").alias("boundary"))
 DOM2 = lambda s, d: ct.boundary_scores(OTHER(s, d), SIZES(s, d), 6).select("chrom", "i", F.round("ratio", 5).alias("lmax"), (F.col("i") % 11 == 0).cast("int").alias("boundary"))
 OTHERS = SCORES.replace("FROM cells)", "FROM other)").replace("LEFT JOIN cells", "LEFT JOIN other").replace(", b AS (", ", b2 AS (").replace("FROM b LEFT", "FROM b2 b LEFT").replace(", s AS (SELECT b", ", s2 AS (SELECT b").replace("FROM s), u AS", "FROM s2), u2 AS").replace("\nt AS (", "\nt2 AS (").replace("FROM t),", "FROM t2),").replace("sco AS (", "sco2 AS (").replace("FROM u) ", "FROM u2) ")

@@ -74,8 +74,13 @@ seqs AS (SELECT label, min(strand) AS strand, string_agg(piece, '' ORDER BY k, c
 dna AS (SELECT label, CASE strand WHEN '-' THEN reverse(translate(seq, 'ACGT', 'TGCA')) ELSE seq END AS seq FROM seqs) """
 add("r27_extract", lambda s, d: rg.extract(regions(s, d), _dna(s)).select("label", F.md5("seq").alias("seq_md5"), F.length("seq").cast("long").alias("n")), _ctes("exons") + _SEQ + "SELECT label, md5(seq) AS seq_md5, length(seq) AS n FROM dna")
 add("r29_len", lambda s, d: rg.known_length(rg.extract(regions(s, d), _dna(s))).select("label", "n"), _ctes("exons") + _SEQ + "SELECT label, length(replace(seq, 'N', '')) AS n FROM dna")
-add("r16_search", lambda s, d: rg.flat(rg.search(rg.extract(rg.select(regions(s, d), first=True), _dna(s)), "ACGTA|GNTTC")), None)
-add("r30_known", lambda s, d: rg.flat(rg.known_runs(rg.extract(rg.select(regions(s, d), first=True), _dna(s)))), None)
+_FIRST = _ctes("exons") + _SEQ.replace("FROM exons", "FROM exons WHERE k = 0")
+add("r16_search", lambda s, d: rg.flat(rg.search(rg.extract(rg.select(regions(s, d), first=True), _dna(s)), "ACGTA|GNTTC")), _FIRST + """, spots AS (SELECT label, seq, unnest(range(1, length(seq) - 3)) AS p FROM dna)
+SELECT label, cast(0 AS int) AS k, chrom, strand, CASE strand WHEN '-' THEN stop_ - p - 3 ELSE start_ + p - 1 END AS start, CASE strand WHEN '-' THEN stop_ - p + 1 ELSE start_ + p + 3 END AS stop
+FROM spots JOIN few USING (label) WHERE regexp_matches(substr(seq, p, 5), '^(ACGTA|G.TTC)$')""")
+add("r30_known", lambda s, d: rg.flat(rg.known_runs(rg.extract(rg.select(regions(s, d), first=True), _dna(s)))), _FIRST + """, spots AS (SELECT label, seq, unnest(range(1, length(seq) + 1)) AS p FROM dna),
+known AS (SELECT label, p, p - row_number() OVER (PARTITION BY label ORDER BY p) AS run FROM spots WHERE substr(seq, p, 1) <> 'N'), runs AS (SELECT label, min(p) AS a, max(p) AS b FROM known GROUP BY label, run)
+SELECT label, cast(row_number() OVER (PARTITION BY label ORDER BY a) - 1 AS int) AS k, chrom, strand, start_ + a - 1 AS start, start_ + b - 1 AS stop FROM runs JOIN few USING (label)""")
 add("r31_verify", lambda s, d: rg.verify(rg.extract(regions(s, d), _dna(s)).select(F.col("seq").alias("label"), "intervals"), _dna(s)).agg(F.count("*").alias("n"), F.sum(F.col("ok").cast("long")).alias("n_ok")), _ctes("exons") + "SELECT count(DISTINCT label) AS n, cast(count(DISTINCT label) AS bigint) AS n_ok FROM exons")
 
 # sets -------------------------------------------------------------------------------------------
@@ -96,7 +101,10 @@ add("v05_link", lambda s, d: st.link(READS(s, d), 5), _ctes("reads") + f"SELECT
 add("v05_link_labels", lambda s, d: st.link(REFS(s, d), 0, True, ","), _ctes("refs") + f"SELECT string_agg(label, ',' ORDER BY start_, stop_, label) AS label, chrom, strand, min(start_) AS start, max(stop_) AS stop FROM {LINKED(0, 'chrom, strand')} GROUP BY chrom, strand, chain")
 add("v05_link_max", lambda s, d: st.link(READS(s, d).withColumn("label", (F.col("stop") - F.col("start")).cast("string")), 20, True, "max").select(F.col("label").cast("double").alias("v"), "chrom", "strand", "start", "stop"), _ctes("reads") + f"SELECT cast(max(stop_ - start_) AS double) AS v, chrom, strand, min(start_) AS start, max(stop_) AS stop FROM {LINKED(20, 'chrom, strand', 'reads')} GROUP BY chrom, strand, chain")
 add("v06_test", lambda s, d: st.test_sorted(REFS(s, d)), _ctes("refs") + "SELECT count(*) AS n, cast(sum(CASE WHEN start_ >= s0 AND stop_ <= e0 THEN 1 ELSE 0 END) AS bigint) AS inclusions, cast(sum(CASE WHEN start_ <= e0 THEN 1 ELSE 0 END) AS bigint) AS overlaps FROM (SELECT *, lag(start_) OVER w AS s0, lag(stop_) OVER w AS e0 FROM refs WINDOW w AS (PARTITION BY chrom, strand ORDER BY start_, stop_, label)) AS x")
-add("v07_cluster", lambda s, d: st.leaders(REFS(s, d)))
+add("v07_cluster", lambda s, d: st.leaders(REFS(s, d)), _ctes("refs").replace("WITH", "WITH RECURSIVE", 1) + """, o AS (SELECT *, row_number() OVER (PARTITION BY chrom, strand ORDER BY start_, stop_ DESC, label) AS n FROM refs),
+nx AS (SELECT o.chrom, o.strand, o.n, min(p.n) AS m FROM o LEFT JOIN o p ON p.chrom = o.chrom AND p.strand = o.strand AND p.start_ > o.stop_ GROUP BY o.chrom, o.strand, o.n),
+w AS (SELECT chrom, strand, n FROM nx WHERE n = 1 UNION ALL SELECT w.chrom, w.strand, nx.m FROM w JOIN nx ON w.chrom = nx.chrom AND w.strand = nx.strand AND w.n = nx.n WHERE nx.m IS NOT NULL)
+SELECT label, chrom, strand, start_ AS start, stop_ AS stop FROM o JOIN w USING (chrom, strand, n)""")
 add("v08_partition", lambda s, d: st.partition(REFS(s, d)), _ctes("refs") + """, cuts AS (SELECT chrom, strand, start_ AS p FROM refs UNION SELECT chrom, strand, stop_ + 1 FROM refs), segs AS (SELECT chrom, strand, p AS start, lead(p) OVER (PARTITION BY chrom, strand ORDER BY p) - 1 AS stop FROM cuts)
 SELECT s.chrom, s.strand, start, stop, string_agg(label, ',' ORDER BY label) AS label FROM segs s JOIN refs r ON s.chrom = r.chrom AND s.strand = r.strand AND start <= stop_ AND stop >= start_ GROUP BY s.chrom, s.strand, start, stop""")
 add("v09_rev", lambda s, d: st.reverse_minus(REFS(s, d)), _ctes("refs") + f"SELECT label, {RANGE} FROM refs")

@@ -131,7 +131,10 @@ add("m17_diag", lambda s, d: mx.diagonal_band(CELLS(s, d, 64), 5).where(~F.isnan
 add("m18_rel", lambda s, d: mx.relative(CELLS(s, d).withColumn("value", F.col("value") + 200)), MAT + f"SELECT {R}, col, value FROM (SELECT {R}, col, (value + 200) / (lag(value) OVER (PARTITION BY {R} ORDER BY col) + 200) AS value FROM m) AS c WHERE col > 0")
 add("m18_rel_first", lambda s, d: mx.relative(CELLS(s, d).withColumn("value", F.col("value") + 200), "first"), MAT + f"SELECT {R}, col, value FROM (SELECT {R}, col, (value + 200) / (first_value(value) OVER (PARTITION BY {R} ORDER BY col) + 200) AS value FROM m) AS c WHERE col > 0")
 add("m18_rel_all", lambda s, d: mx.relative_all(CELLS(s, d, 40).withColumn("value", F.col("value") + 200)), MAT + f"SELECT a.{R}, a.col AS col1, b.col AS col2, (b.value + 200) / (a.value + 200) AS value FROM few a JOIN few b ON a.{R} = b.{R} AND a.col < b.col")
-add("m19_del", lambda s, d: mx.uncorrelated(_vectors(s, d, 120), 0.3).select("label"))
+add("m19_del", lambda s, d: mx.uncorrelated(_vectors(s, d, 120), 0.3).select("label"), VEC.replace("WITH", "WITH RECURSIVE", 1) + """, few AS (SELECT * FROM cell WHERE label < 120), e AS (SELECT a.label AS l1, b.label AS l2 FROM few a JOIN few b ON a.i = b.i AND a.label < b.label GROUP BY 1, 2 HAVING corr(a.x, b.x) > 0.3),
+o AS (SELECT l.label, row_number() OVER (ORDER BY l.label) AS n, (SELECT list(l1) FROM e WHERE l2 = l.label) AS earlier FROM (SELECT DISTINCT label FROM few) AS l),
+w AS (SELECT cast(0 AS bigint) AS n, cast([] AS bigint[]) AS kept UNION ALL SELECT o.n, CASE WHEN coalesce(list_has_any(kept, earlier), false) THEN kept ELSE list_append(kept, label) END FROM w JOIN o ON o.n = w.n + 1)
+SELECT unnest(kept) AS label FROM (SELECT arg_max(kept, n) AS kept FROM w) AS x""")
 add("m20_corr", lambda s, d: mx.correlations(CELLS(s, d, 40)), MAT + "SELECT a.\"row\" AS row1, b.\"row\" AS row2, corr(a.value, b.value) AS r FROM few a JOIN few b ON a.col = b.col AND a.\"row\" < b.\"row\" GROUP BY 1, 2")
 add("m21_corrp", lambda s, d: mx.bootstrap_correlations(CELLS(s, d, 12), 20, 3))
 add("m22_diff", lambda s, d: mx.differences(CELLS(s, d, 40).withColumn("value", F.abs("value")), CELLS(s, d, 20).withColumn("value", F.abs("value")), 2.0, 1.0), MAT + "SELECT a.\"row\" AS row1, b.\"row\" AS row2, cast(sum(CASE WHEN abs(a.value) + 1 > 2 * (abs(b.value) + 1) OR abs(b.value) + 1 > 2 * (abs(a.value) + 1) THEN 1 ELSE 0 END) AS bigint) AS n FROM few a JOIN few b ON a.col = b.col AND b.\"row\" < 20 GROUP BY 1, 2")
@@ -193,10 +196,18 @@ f AS (SELECT x, ((SELECT count(*) FROM b WHERE b.x >= v.x) / cast((SELECT count(
 g AS (SELECT x, least(1.0, min(f) OVER (ORDER BY x)) AS fdr FROM f) """
 add("a03_fdr", lambda s, d: sx.fdr(OBS(s, d), BACK(s, d)), FDR + "SELECT x, fdr FROM g")
 add("a03_fdr_cutoff", lambda s, d: sx.fdr_cutoff(OBS(s, d), BACK(s, d), 0.3), FDR + "SELECT min(x) AS x FROM g WHERE fdr <= 0.3")
-add("a04_binned_fdr", lambda s, d: sx.binned_fdr(OBS(s, d).withColumn("level", F.col("x") + 1), BACK(s, d).withColumn("level", F.col("x") + 1), 1.0))
+add("a04_binned_fdr", lambda s, d: sx.binned_fdr(OBS(s, d).withColumn("level", F.col("x") + 1), BACK(s, d).withColumn("level", F.col("x") + 1), 1.0), """WITH o AS (SELECT cast(p_size + p_partkey % 7 AS double) AS x FROM part), b AS (SELECT cast(p_partkey % 40 AS double) AS x FROM part),
+ob AS (SELECT x, floor(log2(x + 1)) AS own FROM o), bb AS (SELECT x, floor(log2(x + 1)) AS own FROM b), bins AS (SELECT DISTINCT own + k AS bin FROM ob CROSS JOIN range(-2, 3) AS ks(k)),
+v AS (SELECT DISTINCT bin, x FROM bins JOIN (SELECT * FROM ob UNION ALL SELECT * FROM bb) AS u ON abs(u.own - bin) <= 2),
+f AS (SELECT bin, x, (SELECT count(*) FROM bb WHERE abs(own - bin) <= 2 AND bb.x >= v.x) / greatest((SELECT count(*) FROM bb WHERE abs(own - bin) <= 2), 1) / ((SELECT count(*) FROM ob WHERE abs(own - bin) <= 2 AND ob.x >= v.x) / cast((SELECT count(*) FROM ob WHERE abs(own - bin) <= 2) AS double)) AS f FROM v),
+g AS (SELECT bin, x, least(1.0, min(f) OVER (PARTITION BY bin ORDER BY x)) AS fdr FROM f) SELECT cast(bin AS bigint) AS bin, x, fdr FROM g WHERE EXISTS (SELECT 1 FROM ob WHERE own = bin AND ob.x = g.x)""")
 REPS = lambda s, d: _vectors(s, d).select(F.col("label").alias("row"), *[(F.col("v")[k] + 100).alias(f"c{k}") for k in range(4)])
-add("a05_differential", lambda s, d: sx.differential(REPS(s, d), ["c0", "c1"], ["c2", "c3"], 1.0, 1.2, 0.5))
-add("a06_outliers", lambda s, d: sx.without_outliers(REPS(s, d), "c0", "c1", 0.25, 2.0).select("row"))
+add("a05_differential", lambda s, d: sx.differential(REPS(s, d), ["c0", "c1"], ["c2", "c3"], 1.0, 1.2, 0.5), VEC + """, c AS (SELECT label AS "row", greatest(v[1] + 100, 1) AS c0, greatest(v[2] + 100, 1) AS c1, greatest(v[3] + 100, 1) AS c2, greatest(v[4] + 100, 1) AS c3 FROM vec), o AS (SELECT "row", f AS fold, greatest(f, 1 / f) AS x FROM (SELECT "row", (c2 + c3) / (c0 + c1) AS f FROM c) AS g),
+b AS (SELECT greatest(c0 / c1, c1 / c0) AS x FROM c UNION ALL SELECT greatest(c2 / c3, c3 / c2) FROM c), v AS (SELECT DISTINCT x FROM o),
+f AS (SELECT x, ((SELECT count(*) FROM b WHERE b.x >= v.x) / cast((SELECT count(*) FROM b) AS double)) / ((SELECT count(*) FROM o WHERE o.x >= v.x) / cast((SELECT count(*) FROM o) AS double)) AS f FROM v), g AS (SELECT x, least(1.0, min(f) OVER (ORDER BY x)) AS fdr FROM f)
+SELECT "row", fold, fdr, CASE WHEN o.x < 1.2 OR fdr > 0.5 THEN 'none' WHEN fold > 1 THEN 'gain' ELSE 'loss' END AS change FROM o JOIN g ON o.x = g.x""")
+add("a06_outliers", lambda s, d: sx.without_outliers(REPS(s, d), "c0", "c1", 0.25, 2.0).select("row"), VEC + """, c AS (SELECT label AS "row", v[1] + 100 AS c0, v[2] + 100 AS c1 FROM vec), r AS (SELECT "row", floor((log2(c0) + log2(c1)) / 2 / 0.25) AS b, log2(c1 / c0) AS r FROM c WHERE c0 > 0 AND c1 > 0),
+near AS (SELECT b + k AS b, avg(r) AS m, stddev_pop(r) AS s FROM r CROSS JOIN (VALUES (-1), (0), (1)) AS ks(k) GROUP BY b + k) SELECT "row" FROM r JOIN near USING (b) WHERE s = 0 OR abs(r - m) <= 2 * s""")
 add("a08_pca", lambda s, d: sx.principal_components(_vectors(s, d).withColumnRenamed("label", "row"), 2).select("row", F.round(F.col("pc")[0], 4).alias("pc1"), F.round(F.col("pc")[1], 4).alias("pc2")))
 add("a09_heat_rows", lambda s, d: sx.heat_rows(_vectors(s, d).select(F.col("label").alias("row"), F.transform("v", lambda x: x + 200).alias("v")), "rowmax", True, 0.5, 0.3, 100).select("row", F.array_max("v").alias("hi")), VEC + "SELECT label AS \"row\", log2(2) AS hi FROM (SELECT label, log2((min(x) + 200) / (max(x) + 200) + 1) AS lo FROM cell GROUP BY label) AS c WHERE 1 - lo >= 0.3 ORDER BY 1 - lo DESC, label LIMIT 100")
 add("a09_clusters", lambda s, d: sx.clusters(_vectors(s, d).withColumnRenamed("label", "row"), 4))
