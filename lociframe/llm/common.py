@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 #: Rows of at most this many bytes in all may be broadcast; the size is counted first.
 BROADCAST_BYTES = 16 << 20
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -50,10 +51,13 @@ class Kept:
     def __init__(self, df: DataFrame, name: str):
         self.spark = df.sparkSession
         self.path, self.schema = scratch_path(self.spark, name), df.schema
-        df.write.parquet(self.path)
+        before = self.spark.conf.get(CLEANUP, None)
+        self.spark.conf.set(CLEANUP, "true")  # a shuffle's files end with its write, for the table is read from now on
+        try:
+            df.write.parquet(self.path)
+        finally:
+            self.spark.conf.unset(CLEANUP) if before is None else self.spark.conf.set(CLEANUP, before)
         self.df = self.read()
-        # the driver's collector ends the shuffles of plans that nothing refers to, whose files else stay on the executors' disks
-        self.spark.sparkContext._jvm.System.gc()
 
     def read(self) -> DataFrame:
         """The table once more, with columns of its own, as a side of a join with itself."""
