@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from lociframe.functions import interval as iv
 
@@ -224,3 +225,28 @@ def breakpoint_distances(pairs: DataFrame, points: DataFrame, reach: int) -> Dat
         return overlap_join(p, q, True).groupBy(F.col("a_id").alias("id")).agg(F.min_by(d, F.struct(F.abs(d), F.col("b_start"))).alias(f"d{k}"))
 
     return pairs.join(end(1), "id", "left").join(end(2), "id", "left")
+
+
+def shuffled_into(df: DataFrame, ref: DataFrame, seed: int) -> DataFrame:
+    """Each row at a random place in the reference rows of its chromosome and strand, as if these stood end to end.
+
+    A row that passes the end of a reference row goes on in the next, so it may give several rows. Rows longer than all
+    their reference rows together, or without any, go. The same seed and rows give the same places; equal rows get places
+    of their own. The reference is laid end to end by sums of tiles, rows find their pieces by the overlap join.
+    """
+    at = ["chrom", "strand"]
+    sized = ref.select(*at, "start", "stop", "label", (F.col("stop") - F.col("start") + 1).alias("n"), F.shiftright("start", 20).alias("tile"))
+    tiles = sized.groupBy(*at, "tile").agg(F.sum("n").alias("all"))
+    before = F.coalesce(F.sum("all").over(Window.partitionBy(*at).orderBy("tile").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    tiles = tiles.select(*at, "tile", before.alias("before"))
+    inside = F.sum("n").over(Window.partitionBy(*at, "tile").orderBy("start", "stop", "label").rowsBetween(Window.unboundedPreceding, 0))
+    laid = sized.join(tiles, [*at, "tile"]).select(*at, "label", F.col("start").alias("at"), (F.col("before") + inside - F.col("n") + 1).alias("start"), (F.col("before") + inside).alias("stop"))
+    room = laid.groupBy(*at).agg(F.max("stop").alias("room"))
+
+    rows = df.groupBy("label", *at, "start", "stop").agg(F.count("*").alias("copies")).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    rows = rows.select("label", *at, (F.col("stop") - F.col("start") + 1).alias("n"), F.xxhash64(F.lit(seed), "label", *at, "start", "stop", "copy").alias("draw"))
+    rows = rows.join(room, at).where("n <= room").withColumn("start", 1 + F.pmod("draw", F.col("room") - F.col("n") + 1))
+    rows = rows.select("label", *at, "start", (F.col("start") + F.col("n") - 1).alias("stop"))
+    both = overlap_join(rows, laid)
+    moved = lambda c: F.col("b_at") + c - F.col("b_start")
+    return both.select(F.col("a_label").alias("label"), F.col("a_chrom").alias("chrom"), F.col("a_strand").alias("strand"), moved(F.greatest("a_start", "b_start")).alias("start"), moved(F.least("a_stop", "b_stop")).alias("stop"))

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lociframe.operators import alignments as al
 from lociframe.operators import contact as ct
+from lociframe.operators import overlap as ov
 from lociframe.operators import pairs as pr
 from lociframe.operators import regions as rg
 from lociframe.plans import pipelines as pl
@@ -50,6 +52,27 @@ READSAM = lambda s, d: fm.parse_sam(PAIRS(s, d).select(F.explode(F.array(*[F.con
 add("s03_fastq", lambda s, d: fm.fastq_lines(READSAM(s, d)).select(F.md5("value").alias("m")), _ctes("pairs") + ", r AS (SELECT id, strand1 AS strand FROM pairs UNION ALL SELECT id, strand2 FROM pairs) SELECT md5(concat('@', id, chr(10), 'ACGT', chr(10), '+', chr(10), CASE strand WHEN '-' THEN concat('III', chr(cast(40 + id % 30 AS int))) ELSE concat(chr(cast(40 + id % 30 AS int)), 'III') END)) AS m FROM r")
 add("s08_fixmate", lambda s, d: fm.mates(READSAM(s, d)).where("flag IN (65, 81)").select("label", "rnext", "pnext"), _ctes("pairs") + "SELECT cast(id AS varchar) AS label, CASE WHEN chrom1 = chrom2 THEN '=' ELSE chrom2 END AS rnext, pos2 // 50 * 50 + 1 AS pnext FROM pairs")
 add("s09_rmdup", lambda s, d: fm.without_duplicates(READSAM(s, d)).groupBy("chrom").agg(F.count("*").alias("n")), _ctes("pairs") + ", r AS (SELECT chrom1 AS chrom, strand1 AS strand, pos1 // 50 AS p FROM pairs UNION ALL SELECT chrom2, strand2, pos2 // 50 FROM pairs) SELECT chrom, count(DISTINCT concat(strand, p)) AS n FROM r GROUP BY chrom")
+
+# alignments with bases, and files that keep their columns --------------------------------------------
+BASES = "AACCGGTTACGTACGTAGGATTCCAGTGACTTGACCATGCA"  # 41: 5 clipped, 20 + 10 + 4 along the reference, 2 inserted
+WITH_BASES = lambda s, d, cigar: fm.parse_sam(REFS(s, d).select(F.concat_ws("\t", "label", F.when(F.col("strand") == "-", "16").otherwise("0"), "chrom", F.col("start").cast("string"), F.lit("30"), F.lit(cigar), F.lit("*"), F.lit("0"), F.lit("9"), F.lit(BASES), F.lit(BASES.lower())).alias("value")))
+CUTS = lambda: (F.col("pos") + F.col("pos") % 23, F.col("pos") + 36 - F.col("pos") % 4)
+add("f02_clip", lambda s, d: al.clip(WITH_BASES(s, d, "5S20M3D10M2I4="), *CUTS()).select("label", "pos", "cigar", "seq", "qual"), _ctes("refs") + f""", c AS (SELECT label, start_, start_ % 23 AS a, start_ % 4 AS b, '{BASES}' AS q FROM refs), x AS (SELECT *, CASE WHEN a = 0 THEN 0 ELSE least(a, 5) + least(a, 20) END AS f FROM c)
+SELECT label, start_ + a AS pos, concat(CASE WHEN a = 0 THEN '5S20M3D' WHEN a < 20 THEN concat(20 - a, 'M3D') ELSE concat(23 - a, 'D') END, '10M2I', 4 - b, '=') AS cigar, substr(q, cast(f + 1 AS int), cast(41 - f - b AS int)) AS seq, lower(substr(q, cast(f + 1 AS int), cast(41 - f - b AS int))) AS qual FROM x""")
+add("f03_strand", lambda s, d: al.strand(WITH_BASES(s, d, "5S20M3D10M2I4="), "+").select("label", "flag", "seq"), _ctes("refs") + f"SELECT label, cast(0 AS int) AS flag, CASE strand WHEN '-' THEN reverse(translate('{BASES}', 'ACGT', 'TGCA')) ELSE '{BASES}' END AS seq FROM refs")
+add("f04_split", lambda s, d: al.split(WITH_BASES(s, d, "5S20M7N3D10M2I90N4=")).select("label", "pos", "cigar", "seq", "qual", "tlen"), _ctes("refs") + f", p AS (SELECT * FROM (VALUES (0, '5S20M', 1, 25), (27, '3D10M2I', 26, 12), (130, '4=', 38, 4)) AS v(o, cigar, f, n)) SELECT label, start_ + o AS pos, cigar, substr('{BASES}', f, n) AS seq, lower(substr('{BASES}', f, n)) AS qual, cast(9 AS bigint) AS tlen FROM refs CROSS JOIN p")
+add("f05_sort_union", lambda s, d: rg.flat(rg.union(rg.sort(WITH_BASES(s, d, "5S20M3D10M2I4=")))), _ctes("refs") + "SELECT label, 0 AS k, chrom, strand, start_ AS start, start_ + 36 AS stop FROM refs")
+BED = lambda s, d, n: fm.parse_bed(REFS(s, d).select(F.array_join(F.slice(F.array("chrom", (F.col("start") - 1).cast("string"), F.col("stop").cast("string"), "label", F.lit("7"), "strand", (F.col("start") + 9).cast("string"), (F.col("start") + 499).cast("string"), F.lit("1,2,3")), 1, n), "\t").alias("value")))
+add("f07_bed_thick", lambda s, d: fm.bed_rows(rg.shift(BED(s, d, 9), 100, 0)), _ctes("refs") + "SELECT concat(chrom, chr(9), start_ + 99, chr(9), stop_, chr(9), label, chr(9), '7', chr(9), strand, chr(9), start_ + 99, chr(9), CASE WHEN least(stop_, start_ + 499) <= start_ + 99 THEN start_ + 99 ELSE least(stop_, start_ + 499) END, chr(9), '1,2,3') AS value FROM refs")
+add("f07_bed_columns", lambda s, d: fm.bed_rows(rg.shift(BED(s, d, 5), 0, 10)), _ctes("refs") + "SELECT concat(chrom, chr(9), start_ - 1, chr(9), stop_ + 10, chr(9), label, chr(9), '7') AS value FROM refs")
+GFF = lambda s, d: fm.parse_gff(REFS(s, d).select(F.concat_ws("\t", "chrom", F.lit("src"), F.lit("gene"), F.col("start").cast("string"), F.col("stop").cast("string"), F.lit("5.5"), "strand", F.lit("0"), "label", F.lit("note")).alias("value")))
+add("f09_gff_clip", lambda s, d: fm.gff_lines(fm.clipped_gff(GFF(s, d), F.lit(100_000), F.lit(400_000), F.lit("win"))), _ctes("refs") + "SELECT concat(chrom, chr(9), 'src', chr(9), 'gene', chr(9), greatest(start_, 100000), chr(9), least(stop_, 400000), chr(9), '5.5', chr(9), strand, chr(9), '0', chr(9), label, ':win', chr(9), 'note') AS value FROM refs WHERE start_ <= 400000 AND stop_ >= 100000")
+add("s05_merge", lambda s, d: al.merge(SAM(s, d).where("pos % 2 = 0"), SAM(s, d).where("pos % 2 = 1")).select("label", "chrom", "pos"), _ctes("refs") + "SELECT label, chrom, start_ AS pos FROM refs")
+HEAD = lambda s: s.createDataFrame([("@HD\tVN:1.0",), ("@SQ\tSN:chr1\tLN:1000100",)], "value string")
+add("s13_cat", lambda s, d: al.with_header(HEAD(s), fm.sam_lines(SAM(s, d).where("flag = 0")).union(HEAD(s)), fm.sam_lines(SAM(s, d).where("flag = 16"))).select(F.get(F.split("value", "\t"), F.lit(0)).alias("first")), _ctes("refs") + "SELECT label AS first FROM refs UNION ALL SELECT '@HD' UNION ALL SELECT '@SQ'")
+add("r20_shuffle", lambda s, d: ov.shuffled_into(READS(s, d), REFS(s, d), 5))
+add("r20_shuffle_bases", lambda s, d: ov.shuffled_into(READS(s, d), REFS(s, d), 5).groupBy("label").agg(F.sum(F.col("stop") - F.col("start") + 1).alias("n")), _ctes("reads") + "SELECT label, cast(sum(stop_ - start_ + 1) AS bigint) AS n FROM reads GROUP BY label")
+
 add("r01_align", lambda s, d: rg.align(REFS(s, d).select("label", F.lit("2S3M1I2M2D1M3N2M").alias("cigar"), F.lit("ggACGTTTACC").alias("seq"), F.lit("!!IIIIIIIII").alias("qual"), F.lit("ACCTTGGANNNCC").alias("ref"))).select("label", "query", "target", "ops"), None)
 
 # composed queries -----------------------------------------------------------------------------------

@@ -199,6 +199,38 @@ def bed_lines(df: DataFrame, score: int = 1000, color: str = "0,0,0", prefix: bo
     return df.select(F.when(n > 1, twelve).otherwise(six).alias("value"))
 
 
+def bed_rows(df: DataFrame) -> DataFrame:
+    """BED lines of the rows of parse_bed after edits, with as many columns as came in (``n_columns``).
+
+    The thick part shrinks to the new ends; where nothing of it is left it is empty at the start.
+    """
+    first = F.col("intervals")[0]
+    start, stop = first.start - 1, F.element_at("intervals", -1).stop
+    thick, end = F.greatest(F.coalesce("thick_start", start), start), F.least(F.coalesce("thick_end", stop), stop)
+    text = lambda c: F.coalesce(c.cast("string"), F.lit("0"))
+    sizes = F.array_join(F.transform("intervals", lambda i: iv.size(i).cast("string")), ",")
+    begins = F.array_join(F.transform("intervals", lambda i: (i.start - 1 - start).cast("string")), ",")
+    all_ = F.array(
+        first.chrom, text(start), text(stop), F.col("label"), text(F.col("score").cast("long")), first.strand, text(F.when(end <= thick, start).otherwise(thick)), text(F.when(end <= thick, start).otherwise(end)),
+        F.coalesce("item_rgb", F.lit("0")), F.size("intervals").cast("string"), sizes, begins,
+    )
+    return df.where(F.size("intervals") > 0).select(F.array_join(F.slice(all_, F.lit(1), F.least(F.lit(12), "n_columns")), "\t").alias("value"))
+
+
+def gff_lines(df: DataFrame) -> DataFrame:
+    """Lines of the rows of parse_gff after edits, one for each interval; label and comment stand where they are."""
+    i = F.col("i")
+    return df.withColumn("i", F.explode("intervals")).select(F.concat_ws("\t", i.chrom, "source", "feature", i.start.cast("string"), i.stop.cast("string"), "score", i.strand, "frame", "label", "comment").alias("value"))
+
+
+def clipped_gff(df: DataFrame, start: Column, stop: Column, label: Column | None = None) -> DataFrame:
+    """Rows of parse_gff cut to bases start to stop; those that do not reach there go; a label is joined by a colon."""
+    i = F.col("intervals")[0]
+    rows = df.withColumns({"_a": F.greatest(i.start, start), "_b": F.least(i.stop, stop)}).where("_a <= _b")
+    rows = rows.withColumn("intervals", F.array(iv.interval(i.chrom, i.strand, F.col("_a"), F.col("_b"))))
+    return (rows if label is None else rows.withColumn("label", F.concat_ws(":", "label", label))).select(df.columns)
+
+
 def wiggle_values(df: DataFrame, scale: float = 1.0, center: bool = False) -> DataFrame:
     """(chrom, start, value): labels as numbers, at starts or middles."""
     i = F.col("i")

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from lociframe.operators import contact as ct
 from lociframe.operators import overlap as ov
@@ -28,13 +29,23 @@ def brute(a, b, ignore=False):
     return sorted((x[0], y[0]) for x in a for y in b if x[1] == y[1] and (ignore or x[2] == y[2]) and x[3] <= y[4] and x[4] >= y[3])
 
 
-@pytest.mark.parametrize("levels", [(14,), (4,), (3, 6, 9), ov.LEVELS])
-def test_binned_join_is_the_theta_join(spark, levels):
-    a, b = rows(80, 1), rows(60, 2)
-    got = ov.overlap_join(spark.createDataFrame(a, ROW), spark.createDataFrame(b, ROW), levels=levels).select("a_label", "b_label").collect()
-    assert sorted(map(tuple, got)) == brute(a, b)
-    got = ov.overlap_join(spark.createDataFrame(a, ROW), spark.createDataFrame(b, ROW), True, levels).select("a_label", "b_label").collect()
-    assert sorted(map(tuple, got)) == brute(a, b, True)
+@pytest.mark.parametrize("span,longest", [(5000, 400), (3_000_000, 400), (3_000_000, 30_000)])
+def test_binned_join_is_the_theta_join(spark, span, longest):
+    a, b = rows(80, 1, span, longest), rows(60, 2, span, longest)
+    for ignore in (False, True):
+        got = ov.overlap_join(spark.createDataFrame(a, ROW), spark.createDataFrame(b, ROW), ignore).select("a_label", "b_label").collect()
+        assert sorted(map(tuple, got)) == brute(a, b, ignore)
+
+
+def test_few_pairs_meet_that_do_not_overlap(spark):
+    rng = random.Random(3)
+    reads = [(f"r{k}", "c", "+", s, s + 49) for k in range(4000) for s in [rng.randint(1, 20_000_000)]]
+    features = [(f"f{k}", "c", "+", s, s + n) for k in range(300) for s, n in [(rng.randint(1, 20_000_000), rng.choice([200, 3000, 40_000, 1_000_000]))]]
+    a, b, on = ov._sides(spark.createDataFrame(reads, ROW), spark.createDataFrame(features, ROW), False, False)
+    keys = "a_chrom = b_chrom AND a_strand = b_strand AND a_own = b_other AND a_other = b_own AND a_bin = b_bin"
+    assert keys.split(" AND ")[0] in on
+    meet, hits = a.join(b, F.expr(keys)).count(), len(brute(reads, features))
+    assert hits <= meet <= 10 * hits
 
 
 def test_touching_and_single_bases(spark):
