@@ -9,12 +9,16 @@ from lociframe.operators import contact as ct
 from lociframe.operators import overlap as ov
 from lociframe.operators import pairs as pr
 from lociframe.operators import regions as rg
+from lociframe.functions import arrays as ar
+from lociframe.operators import matrix as mx
+from lociframe.operators import tables as tb
 from lociframe.plans import pipelines as pl
 from lociframe.plans.cell_queries import CELLS, CON, DOM, OTHER, SIZES, _ctes
 from lociframe.plans.region_queries import ANY, HIT, LINKED
 from lociframe.plans.table_queries import SHEET, SHEET_SQL
 from lociframe.sources import formats as fm
 from lociframe.sources.fixtures import fixture, regions, single, table
+from lociframe.sources.scratch import folder
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -53,6 +57,40 @@ add("s03_fastq", lambda s, d: fm.fastq_lines(READSAM(s, d)).select(F.md5("value"
 add("s08_fixmate", lambda s, d: fm.mates(READSAM(s, d)).where("flag IN (65, 81)").select("label", "rnext", "pnext"), _ctes("pairs") + "SELECT cast(id AS varchar) AS label, CASE WHEN chrom1 = chrom2 THEN '=' ELSE chrom2 END AS rnext, pos2 // 50 * 50 + 1 AS pnext FROM pairs")
 add("s09_rmdup", lambda s, d: fm.without_duplicates(READSAM(s, d)).groupBy("chrom").agg(F.count("*").alias("n")), _ctes("pairs") + ", r AS (SELECT chrom1 AS chrom, strand1 AS strand, pos1 // 50 AS p FROM pairs UNION ALL SELECT chrom2, strand2, pos2 // 50 FROM pairs) SELECT chrom, count(DISTINCT concat(strand, p)) AS n FROM r GROUP BY chrom")
 
+
+def on_disk(lines, name, compression="none", files=None):
+    """A new path in the shared folder that holds the lines as text files."""
+    path = folder(lines.sparkSession, name)
+    (lines if files is None else lines.coalesce(files)).write.text(path, compression=compression)
+    return path
+
+
+def with_heads(lines, *heads):
+    return lines.sparkSession.createDataFrame([(h,) for h in heads], "value string").union(lines)
+
+
+REFLAT = _ctes("refs") + "SELECT label, 0 AS k, chrom, strand, start_ AS start, stop_ AS stop FROM refs"
+add("io01_text", lambda s, d: rg.flat(fm.read_regions(s, on_disk(with_heads(fm.reg_lines(single(REFS(s, d))), "# notes"), "text"))), REFLAT)
+add("io02_gzip", lambda s, d: rg.flat(fm.read_regions(s, on_disk(fm.reg_lines(single(REFS(s, d))), "zipped", "gzip"))), REFLAT)
+add("io04_factory", lambda s, d: rg.flat(fm.read_regions(s, on_disk(with_heads(fm.bed_lines(single(REFS(s, d))), "track name=x", "browser position chr1"), "bed", files=1))), REFLAT)
+add("io10_seq", lambda s, d: fm.read_seq(s, on_disk(REFS(s, d).select(F.concat(F.lit(">"), "label", F.lit("\t"), F.concat_ws(" ", "chrom", "strand", F.col("start").cast("string"), F.col("stop").cast("string")), F.lit("\nACGT"), F.lpad(F.lit(""), 3, "N"), "label").alias("value")), "seq")).select("label", "seq", F.explode("intervals").alias("i")).select("label", "seq", "i.*"), _ctes("refs") + "SELECT label, concat('ACGTNNN', label) AS seq, chrom, strand, start_ AS start, stop_ AS stop FROM refs")
+add("io11_bounds", lambda s, d: fm.read_bounds(s, on_disk(GENOME(s, d).select(F.concat_ws("\t", "chrom", F.concat_ws(" ", "chrom", F.lit("+"), F.lit("1"), F.col("size").cast("string"))).alias("value")), "bounds")), _ctes("bounds") + "SELECT chrom, size FROM bounds")
+add("io12_fasta", lambda s, d: fm.read_chromosomes(s, on_disk(GENOME(s, d).select(F.concat(F.lit(">"), "chrom", F.lit(" note\n"), F.repeat(F.lit("ACGTT\n"), 40)).alias("value")), "fasta"), 64).select("chrom", "chunk", "seq"), _ctes("bounds") + "SELECT chrom, k AS chunk, substr(repeat('ACGTT', 40), cast(64 * k + 1 AS int), 64) AS seq FROM bounds CROSS JOIN range(4) AS ks(k)")
+add("io13_header", lambda s, d: fm.header_lines(s, on_disk(with_heads(fm.bed_lines(single(REFS(s, d))), "track name=x", "# y", "@SQ\tSN:chr1"), "heads")), "SELECT * FROM (VALUES ('track name=x'), ('# y'), (concat('@SQ', chr(9), 'SN:chr1'))) AS v(value)")
+add("io24_concat", lambda s, d: rg.flat(fm.read_regions(s, [on_disk(fm.reg_lines(single(REFS(s, d).where("strand = '+'"))), "plus", "gzip"), on_disk(fm.reg_lines(single(REFS(s, d).where("strand = '-'"))), "minus")], "reg")), REFLAT)
+add("io25_skip", lambda s, d: fm.read_lines(s, on_disk(with_heads(REFS(s, d).select("label"), "a", "b").coalesce(1).sortWithinPartitions("value"), "skip"), skip=2).agg(F.count("*").alias("n"), F.min("value").alias("first")), _ctes("refs") + "SELECT count(*) AS n, min(label) AS first FROM refs")
+add("m13_shuffle", lambda s, d: mx.shuffled(table(s, d, "embeddings").select(F.col("vec_id").alias("label"), F.transform("embedding", lambda x: x.cast("double")).alias("v")), 3).select("label", F.posexplode(F.array_sort("v")).alias("i", "x")), "SELECT vec_id AS label, cast(generate_subscripts(embedding, 1) - 1 AS int) AS i, unnest(list_sort([cast(x AS double) FOR x IN embedding])) AS x FROM embeddings")
+add("t04_numbers", lambda s, d: tb.numbers(table(s, d, "part").select("p_partkey", F.when(F.col("p_size") % 3 == 0, "").when(F.col("p_size") % 3 == 1, "NAN").otherwise(F.col("p_size").cast("string")).alias("x")), ["x"]).select("p_partkey", F.isnan("x").alias("none"), F.when(~F.isnan("x"), F.col("x")).alias("x")), "SELECT p_partkey, p_size % 3 <> 2 AS \"none\", CASE WHEN p_size % 3 = 2 THEN cast(p_size AS double) END AS x FROM part")
+add("t04_triangle", lambda s, d: tb.upper_triangle(fixture(s, d, "triples").select(F.col("k2").alias("k1"), F.lower("k2").alias("k2"), "value").union(fixture(s, d, "triples").select(F.lit("A").alias("k1"), "k2", "value"))).groupBy("k1", "k2").agg(F.count("*").alias("n")), _ctes("triples") + "SELECT k1, k2, count(*) AS n FROM (SELECT k2 AS k1, lower(k2) AS k2 FROM triples UNION ALL SELECT 'A', k2 FROM triples) AS t WHERE k1 < k2 GROUP BY k1, k2")
+BAGS = lambda s, d: table(s, d, "orders").select("o_orderkey", *[ar.parsed(F.concat_ws(" ", *[(F.col("o_orderkey") * m % n).cast("string") for m, n in x])).alias(c) for c, x in (("a", ((3, 5), (7, 4), (1, 3), (11, 6))), ("b", ((1, 5), (5, 7), (2, 3))))])
+BAGS_SQL = "WITH bags AS (SELECT o_orderkey, [o_orderkey * 3 % 5, o_orderkey * 7 % 4, o_orderkey % 3, o_orderkey * 11 % 6] AS a, [o_orderkey % 5, o_orderkey * 5 % 7, o_orderkey * 2 % 3] AS b FROM orders) "
+add("l01_sorted", lambda s, d: BAGS(s, d).select("o_orderkey", ar.is_sorted(F.col("a")).alias("ok"), F.array_join(F.array_sort("a"), " ").alias("v")), BAGS_SQL + "SELECT o_orderkey, a = list_sort(a) AS ok, array_to_string(list_sort(a), ' ') AS v FROM bags")
+add("l02_bag", lambda s, d: BAGS(s, d).select("o_orderkey", F.explode(ar.bag(F.col("a"))).alias("x")).select("o_orderkey", "x.value", F.col("x.n").cast("long").alias("n")), BAGS_SQL + "SELECT o_orderkey, value, count(*) AS n FROM (SELECT o_orderkey, unnest(a) AS value FROM bags) AS u GROUP BY o_orderkey, value")
+add("l03_unique", lambda s, d: BAGS(s, d).select("o_orderkey", F.array_join(ar.unique(F.col("a")), " ").alias("v")), BAGS_SQL + "SELECT o_orderkey, array_to_string(list_sort(list_distinct(a)), ' ') AS v FROM bags")
+add("l04_intersection", lambda s, d: BAGS(s, d).select("o_orderkey", F.array_join(ar.bag_intersection(F.col("a"), F.col("b")), " ").alias("v")), BAGS_SQL + "SELECT o_orderkey, array_to_string(list_sort(list_concat([x FOR x IN a IF list_contains(b, x)], [x FOR x IN b IF list_contains(a, x)])), ' ') AS v FROM bags")
+add("l05_union", lambda s, d: BAGS(s, d).select("o_orderkey", F.array_join(ar.bag_union(F.col("a"), F.col("b")), " ").alias("v")), BAGS_SQL + "SELECT o_orderkey, array_to_string(list_sort(list_concat(a, b)), ' ') AS v FROM bags")
+add("l06_product", lambda s, d: BAGS(s, d).select("o_orderkey", F.arrays_overlap("a", "b").alias("meet"), ar.product(F.col("a")).alias("p")), BAGS_SQL + "SELECT o_orderkey, list_has_any(a, b) AS meet, a[1] * a[2] * a[3] * a[4] AS p FROM bags")
+
 # alignments with bases, and files that keep their columns --------------------------------------------
 BASES = "AACCGGTTACGTACGTAGGATTCCAGTGACTTGACCATGCA"  # 41: 5 clipped, 20 + 10 + 4 along the reference, 2 inserted
 WITH_BASES = lambda s, d, cigar: fm.parse_sam(REFS(s, d).select(F.concat_ws("\t", "label", F.when(F.col("strand") == "-", "16").otherwise("0"), "chrom", F.col("start").cast("string"), F.lit("30"), F.lit(cigar), F.lit("*"), F.lit("0"), F.lit("9"), F.lit(BASES), F.lit(BASES.lower())).alias("value")))

@@ -21,7 +21,10 @@ def read_lines(spark: SparkSession, paths: str | list[str], skip_header: bool =
         first = df.select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("n"))
         start = first.where("b = 0").groupBy("f").agg(F.min("n").alias("s"))
         df = first.join(F.broadcast(start), "f").where(F.col("n") >= F.col("s") + skip).select("value")
-    return df.where(~F.col("value").rlike(HEADER) & (F.trim("value") != "")) if skip_header else df
+    if not skip_header:
+        return df
+    # null where it is a header, so that no filter that is moved before this one can try to parse it
+    return df.select(F.when(~F.col("value").rlike(HEADER) & (F.trim("value") != ""), F.col("value")).alias("value")).where("value IS NOT NULL")
 
 
 def header_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
