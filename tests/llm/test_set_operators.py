@@ -210,6 +210,25 @@ def test_vectors(spark):
     assert vector_search.nearest(df.limit(0), df, 20).count() == vector_search.nearest(df, df.limit(0), 20).count() == 0
 
 
+def test_recall_in_a_full_shard():
+    rng = np.random.default_rng(4)
+    n, dim = vector_search.SHARD_ROWS + 300, 48
+    centres = rng.normal(size=(60, dim))
+    x = centres[rng.integers(0, 60, n)] + rng.normal(size=(n, dim)) * 0.6
+    x *= rng.uniform(0.3, 2.0, n)[:, None]  # unequal norms
+    x[-200:] = x[:200] * 1.0001  # all but copies
+    edges, start = vector_search.build(x)
+    edges = np.concatenate((edges, np.full((1, edges.shape[1]), n)))
+    asked = x[rng.integers(0, n, 200)]
+    found, _ = vector_search.beam_search(x.astype(np.float32), edges, start, asked.astype(np.float32), vector_search.QUERY_BEAM)
+    hit = 0
+    for q, mine in zip(asked, found):
+        mine = mine[mine < n]
+        mine = mine[np.argsort(-(x[mine] @ q), kind="stable")[:20]]
+        hit += len(set(mine.tolist()) & set(np.argsort(-(x @ q), kind="stable")[:20].tolist()))
+    assert hit >= 0.9 * 20 * len(asked), hit / 20 / len(asked)
+
+
 def test_archives(spark):
     big = "é" * 600
     rows = [(1, "http://a/ ü\n", big), (5, None, big), (3, "u", big), (2, "u", "small"), (4, "u", "small"), (6, "u", None), (7, "u", ""), (None, "u", big), (5, "v", big), (8, "u", "x" * 700_000)]
@@ -233,6 +252,25 @@ def test_broken_archives():
             read(gzip.compress(bad))
 
 
+def test_foreign_records():
+    page = "é".encode("latin-1") * 20
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=ISO-8859-1\r\n\r\n" + page
+    head = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: http://x/\r\nContent-Length: {len(http)}\r\n\r\n".encode()
+    r = warc.read_record([head + http + b"\r\n\r\n"])
+    assert r["payload"] == "é" * 20 and r["page_id"] is None and r["payload_bytes"] == 20 and len(r["payload_digest"]) == 40
+    assert warc.read_record(next(warc.members(io.BytesIO(warc.about("x.warc.gz")))))["record_type"] == "warcinfo"
+    text = gzip.decompress(warc.record(2, "u", b"p" * 2000, 9)).decode()
+    assert f"WARC-Refers-To: {warc._record_id(9, 'any')}" in text
+
+
+def test_references_without_broadcast(spark, monkeypatch):
+    rows = [(i, "u", "x" * 1500 if i % 3 else f"y{i}" * 600) for i in range(60)] + [(None, "u", "x" * 1500), (59, "u", "x" * 1500)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = sorted(map(str, warc.with_references(df).collect()))
+    monkeypatch.setattr(warc, "BROADCAST_BYTES", 0)
+    assert sorted(map(str, warc.with_references(df).collect())) == want
+
+
 def edits(a, b):
     last = list(range(len(b) + 1))
     for i, w in enumerate(a):
