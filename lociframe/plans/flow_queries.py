@@ -13,7 +13,7 @@ from lociframe.functions import arrays as ar
 from lociframe.operators import matrix as mx
 from lociframe.operators import tables as tb
 from lociframe.plans import pipelines as pl
-from lociframe.plans.cell_queries import CELLS, CON, DOM, OTHER, SIZES, _ctes
+from lociframe.plans.cell_queries import CELLS, CON, DOM, FRAG, KIND, OTHER, SIZES, _ctes
 from lociframe.plans.region_queries import ANY, HIT, LINKED
 from lociframe.plans.table_queries import SHEET, SHEET_SQL
 from lociframe.sources import formats as fm
@@ -111,7 +111,7 @@ add("s13_cat", lambda s, d: al.with_header(HEAD(s), fm.sam_lines(SAM(s, d).where
 add("r20_shuffle", lambda s, d: ov.shuffled_into(READS(s, d), REFS(s, d), 5))
 add("r20_shuffle_bases", lambda s, d: ov.shuffled_into(READS(s, d), REFS(s, d), 5).groupBy("label").agg(F.sum(F.col("stop") - F.col("start") + 1).alias("n")), _ctes("reads") + "SELECT label, cast(sum(stop_ - start_ + 1) AS bigint) AS n FROM reads GROUP BY label")
 
-add("r01_align", lambda s, d: rg.align(REFS(s, d).select("label", F.lit("2S3M1I2M2D1M3N2M").alias("cigar"), F.lit("ggACGTTTACC").alias("seq"), F.lit("!!IIIIIIIII").alias("qual"), F.lit("ACCTTGGANNNCC").alias("ref"))).select("label", "query", "target", "ops"), None)
+add("r01_align", lambda s, d: rg.align(REFS(s, d).select("label", F.lit("2S3M1I2M2D1M3N2M").alias("cigar"), F.lit("ggACGTTTACC").alias("seq"), F.lit("!!IIIIIIIII").alias("qual"), F.lit("ACCTTGGANNNCC").alias("ref"))).select("label", "query", "target", "ops"), _ctes("refs") + "SELECT label, 'ggACGTTT**A...CC' AS query, '**ACC*TTGGA...CC' AS target, 'SS==XI==DD=NNN==' AS ops FROM refs")
 
 # composed queries -----------------------------------------------------------------------------------
 HALF = lambda s, d, k: REFS(s, d).where(f"cast(substring(label, 2) AS bigint) % 2 = {k}")
@@ -123,13 +123,19 @@ add("q04_reference_matrix", lambda s, d: pl.reference_matrix(REFS(s, d), {"a": R
 h AS (SELECT w.label, cast(floor(4 * CASE w.strand WHEN '-' THEN hi - p ELSE p - lo END / cast(hi - lo + 1 AS double)) AS int) AS bin FROM p JOIN w ON p.chrom = w.chrom AND p BETWEEN lo AND hi), g AS (SELECT label, hi - lo + 1 AS total, cast(b AS int) AS bin FROM w CROSS JOIN range(4) AS bs(b))
 SELECT g.label AS ref, g.bin, count(h.bin) / ((SELECT count(*) FROM reads) / 1e6) / (total / 4.0 / 1000) AS value FROM g LEFT JOIN h ON h.label = g.label AND h.bin = g.bin GROUP BY g.label, g.bin, total""")
 AREAS = lambda s, d: s.createDataFrame([("A", "chr1", 1, 400000), ("B", "chr2", 500001, 900000)], "label string, chrom string, start bigint, stop bigint")
-add("q05_filtered_matrix", lambda s, d: pl.filtered_matrix(PAIRS(s, d), pr.tiles(GENOME(s, d), 4000), AREAS(s, d), 20000, mapq=25, min_dist=3000, max_offset=2500).groupBy("region").agg(F.sum("n").alias("n")))
+add("q05_filtered_matrix", lambda s, d: pl.filtered_matrix(PAIRS(s, d), pr.tiles(GENOME(s, d), 4000), AREAS(s, d), 20000, mapq=25, min_dist=3000, max_offset=2500).groupBy("region").agg(F.sum("n").alias("n")), _ctes("pairs", "bounds") + FRAG + KIND + """, d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY chrom1, strand1, chrom2, strand2, pos2, pos1 ORDER BY id) AS n FROM k WHERE class LIKE 'ds-accepted%') AS y WHERE n = 1),
+z AS (SELECT region, (pos1 - lo) // 20000 AS i, (pos2 - lo) // 20000 AS j FROM d JOIN (VALUES ('A', 'chr1', 1, 400000), ('B', 'chr2', 500001, 900000)) AS a(region, chrom, lo, hi) ON chrom1 = chrom AND chrom2 = chrom AND pos1 BETWEEN lo AND hi AND pos2 BETWEEN lo AND hi)
+SELECT region, cast(sum(CASE WHEN i = j THEN 1 ELSE 2 END) AS bigint) AS n FROM z GROUP BY region""")
 add("q06_annotated", lambda s, d: pl.annotated_interactions(CELLS(s, d).where("x >= 3 AND j - i >= 2"), REFS(s, d).where("stop - start > 4500"), 10000), CON.replace("WITH ", _ctes("refs") + ", ", 1) + ", n AS (SELECT chrom, b, string_agg(DISTINCT label, ',' ORDER BY label) AS note FROM (SELECT chrom, label, unnest(generate_series((start_ - 1) // 10000, (stop_ - 1) // 10000)) AS b FROM refs WHERE stop_ - start_ > 4500) AS q GROUP BY chrom, b) SELECT c.chrom, i, j, x, coalesce(a.note, 'N/A') AS note_i, coalesce(b.note, 'N/A') AS note_j FROM cells c LEFT JOIN n a ON a.chrom = c.chrom AND a.b = i LEFT JOIN n b ON b.chrom = c.chrom AND b.b = j WHERE x >= 3 AND j - i >= 2")
 add("q07_features", lambda s, d: pl.bin_features(GENOME(s, d), 10000, REFS(s, d), READS(s, d).withColumn("score", (F.col("stop") - F.col("start")).cast("double"))), _ctes("refs", "reads", "bounds") + ", t AS (SELECT chrom, g AS start_, least(g + 9999, size) AS stop_ FROM (SELECT *, unnest(generate_series(1::bigint, size, 10000::bigint)) AS g FROM bounds) AS b), c AS (SELECT t.chrom, t.start_, cast(coalesce(sum(CASE WHEN r.label IS NULL THEN 0 ELSE least(t.stop_, r.stop_) - greatest(t.start_, r.start_) + 1 END), 0) AS bigint) AS effective FROM t LEFT JOIN refs r ON " + ANY + " GROUP BY t.chrom, t.start_), m AS (SELECT t.chrom, t.start_, avg(r.stop_ - r.start_) AS score FROM t JOIN reads r ON " + ANY + " GROUP BY t.chrom, t.start_) SELECT c.chrom, c.start_ AS start, effective, coalesce(score, 0) AS score FROM c LEFT JOIN m ON m.chrom = c.chrom AND m.start_ = c.start_")
 add("q08_domains", lambda s, d: pl.domains_between(DOM(s, d).where("boundary = 1"), GENOME(s, d), 10000).drop("label"), _ctes("bounds") + "SELECT chrom, '+' AS strand, 70000 * b + 10001 AS start, 70000 * (b + 1) AS stop FROM bounds CROSS JOIN range(14) AS bs(b) UNION ALL SELECT chrom, '+', 70000 * 14 + 10001, size FROM bounds")
 add("q09_components", lambda s, d: pl.score_components(ct.boundary_scores(CELLS(s, d), SIZES(s, d), 6).select(F.col("chrom").alias("row"), F.col("i").alias("col"), F.col("ratio").alias("value"))).select("row", F.round(F.col("pc")[0], 5).alias("pc1")))
 THIRDS = lambda s, d: {k: READS(s, d).where(f"start % 4 = {i}") for i, k in enumerate(("x1", "x2", "y1", "y2"))}
-add("q10_differential", lambda s, d: (lambda t: pl.differential_peaks(REFS(s, d), {k: t[k] for k in ("x1", "x2")}, {k: t[k] for k in ("y1", "y2")}, REFS(s, d)))(THIRDS(s, d)).select("row", "fold", "change"))
+add("q10_differential", lambda s, d: (lambda t: pl.differential_peaks(REFS(s, d), {k: t[k] for k in ("x1", "x2")}, {k: t[k] for k in ("y1", "y2")}, REFS(s, d)))(THIRDS(s, d)).select("row", "fold", "change"), _ctes("reads", "refs") + """, c AS (SELECT r.label AS "row", greatest(count(*) FILTER (t.start_ % 4 = 0), 1) AS c0, greatest(count(*) FILTER (t.start_ % 4 = 1), 1) AS c1, greatest(count(*) FILTER (t.start_ % 4 = 2), 1) AS c2, greatest(count(*) FILTER (t.start_ % 4 = 3), 1) AS c3
+FROM refs r LEFT JOIN reads t ON t.chrom = r.chrom AND t.start_ <= r.stop_ AND t.stop_ >= r.start_ GROUP BY r.label), o AS (SELECT "row", f AS fold, greatest(f, 1 / f) AS x FROM (SELECT "row", (c2 + c3) / (c0 + c1) AS f FROM c) AS g),
+b AS (SELECT greatest(c0 / c1, c1 / c0) AS x FROM c UNION ALL SELECT greatest(c2 / c3, c3 / c2) FROM c), v AS (SELECT DISTINCT x FROM o),
+f AS (SELECT x, ((SELECT count(*) FROM b WHERE b.x >= v.x) / cast((SELECT count(*) FROM b) AS double)) / ((SELECT count(*) FROM o WHERE o.x >= v.x) / cast((SELECT count(*) FROM o) AS double)) AS f FROM v), g AS (SELECT x, least(1.0, min(f) OVER (ORDER BY x)) AS fdr FROM f)
+SELECT "row", fold, CASE WHEN o.x < 2 OR fdr > 0.05 THEN 'none' WHEN fold > 1 THEN 'gain' ELSE 'loss' END AS change FROM o JOIN g ON o.x = g.x""")
 add("q11_change_track", lambda s, d: pl.change_track(DOM(s, d).select("chrom", "i", F.when(F.col("boundary") == 1, 1).otherwise(0).alias("change")), 10000, 500), _ctes("bounds") + "SELECT chrom, cast(greatest(1, 70000 * b + 1 - 500) AS bigint) AS start, 70000 * b + 10500 AS stop, 1 AS change FROM bounds CROSS JOIN range(15) AS bs(b)")
 add("q12_browser_track", lambda s, d: pl.browser_track(PAIRS(s, d), 10000, 3).drop("id"), CON + "SELECT chrom, i * 10000 AS start, (i + 1) * 10000 AS stop, concat(chrom, ':', j * 10000, '-', (j + 1) * 10000, ',', cast(x AS bigint)) AS target, CASE WHEN i < j THEN '+' WHEN i > j THEN '-' ELSE '.' END AS flag FROM ful WHERE x > 3")
 add("q13_coverage_track", lambda s, d: pl.coverage_track(READS(s, d), 1e6), _ctes("reads") + ORACLE_SQL["s12_depth"].removeprefix(_ctes("reads")).replace("SELECT * FROM r WHERE depth > 0", "SELECT chrom, start, stop, cast(depth AS double) AS value FROM r WHERE depth > 0"))
