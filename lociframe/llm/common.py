@@ -2,32 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lociframe.sources.scratch import shared_dir
+
 #: Rows of at most this many bytes in all may be broadcast; the size is counted first.
 BROADCAST_BYTES = 16 << 20
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or where that is unset a folder of our own.
-
-    Unset, a local master gets a temporary folder (driver and executors are one process) and a
-    cluster the warehouse, which its executors share by definition.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        local = spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
-        folder = "file://" + tempfile.mkdtemp(prefix="scratch-") if local else spark.conf.get("spark.sql.warehouse.dir") + "/_scratch"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
 def _remove(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
