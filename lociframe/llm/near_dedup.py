@@ -148,18 +148,22 @@ def forest(group: list[dict]) -> Iterator[tuple[int, int]]:
 
 
 def links(group: list[dict], percent: int = PERCENT) -> Iterator[tuple[int, int]]:
-    """Links of verified sets that connect what any verified links would: most alike first, none inside a component."""
+    """Links of verified sets that connect what any verified links would: most alike first, none inside a component.
+
+    Those that are settled are of one component already.
+    """
     n = len(group)
     sets = [np.frombuffer(r["shingles"], np.uint64) for r in group]
     size = np.array([len(s) for s in sets])
     marks = np.frombuffer(b"".join(r["sketch"] for r in group), np.uint8).reshape(n, HASHES)
+    settled = np.array([r["settled"] for r in group], bool)
     found = []
     for i in range(n - 1):
         same = (marks[i + 1 :] == marks[i]).sum(1)
-        fits = (same >= AGREE) & (100 * np.minimum(size[i + 1 :], size[i]) >= percent * np.maximum(size[i + 1 :], size[i]))
+        fits = (same >= AGREE) & (100 * np.minimum(size[i + 1 :], size[i]) >= percent * np.maximum(size[i + 1 :], size[i])) & ~(settled[i + 1 :] & settled[i])
         j = np.flatnonzero(fits)
         found.append(np.stack((same[j], np.full(len(j), i), j + i + 1), 1))
-    root = list(range(n))
+    root = np.where(settled, settled.argmax(), np.arange(n)).tolist()
 
     def top(i: int) -> int:
         while root[i] != i:
@@ -177,14 +181,23 @@ def links(group: list[dict], percent: int = PERCENT) -> Iterator[tuple[int, int]
                     yield group[i]["node"], group[j]["node"]
 
 
-def _in_groups(df: DataFrame, key: str, size: str, found) -> DataFrame:
-    """Links (u, v) that ``found`` gives for the rows of each key; keys of over 2 BLOCK rows go as pairs of parts of about BLOCK."""
+def _in_groups(df: DataFrame, key: str, size: str, found, open_: str | None = None) -> DataFrame:
+    """Links (u, v) that ``found`` gives for the rows of each key; keys of over 2 BLOCK rows go as pairs of parts of about BLOCK.
+
+    Rows that are ``settled`` need no comparison with each other: with ``open_``, the number of the key's rows that are not,
+    their parts meet only the parts of those.
+    """
     import pyarrow as pa
 
-    blocks = F.when(F.col(size) <= 2 * BLOCK, F.lit(1)).otherwise(F.ceil(F.col(size) / BLOCK)).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    df = df.withColumns({"own": own, "other": F.explode(F.sequence(F.lit(0), blocks - 1))})
-    df = df.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("own", "other", size)
+    parts = lambda n: F.when(n <= 2 * BLOCK, F.lit(1)).otherwise(F.ceil(n / BLOCK)).cast("int")
+    free = F.col(size) if open_ is None else F.col(open_)
+    fixed = F.lit(0) if open_ is None else F.when(F.col(size) > free, parts(F.col(size) - free)).otherwise(0)
+    settled = F.lit(False) if open_ is None else F.col("settled")
+    df = df.withColumns({"fixed": fixed, "free": parts(free), "settled": settled})
+    own = F.when(F.col("settled"), F.pmod(F.xxhash64("node"), "fixed")).otherwise(F.col("fixed") + F.pmod(F.xxhash64("node"), "free")).cast("int")
+    other = F.explode(F.sequence(F.when(F.col("settled"), F.col("fixed")).otherwise(0), F.col("fixed") + F.col("free") - 1))
+    df = df.withColumns({"own": own, "other": other})
+    df = df.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("own", "other", "fixed", "free", size, *([open_] if open_ else []))
 
     def run(batches):
         schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
@@ -193,6 +206,31 @@ def _in_groups(df: DataFrame, key: str, size: str, found) -> DataFrame:
     return df.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "node").mapInArrow(run, "u bigint, v bigint")
 
 
+def like_first(docs: DataFrame, large: DataFrame, words: int, percent: int) -> DataFrame:
+    """(doc_id, settled) of the rows (doc_id, root) of large components: whether the exact set is linked with that of the component's first."""
+    import pyarrow as pa
+
+    def one(batches):
+        yield from batches_of(((r["root"], shingles(r["text"], words).tobytes()) for r in rows_of(batches, 32)), pa.schema([("root", pa.int64()), ("first", pa.binary())]), 128)
+
+    roots = large.where("doc_id = root").distinct()
+    first = docs.join(small(roots, 16), "doc_id").select("root", "text").mapInArrow(one, "root bigint, first binary").groupBy("root").agg(F.min("first").alias("first"))
+    first = keep(first, "first")
+    size = first.agg(F.coalesce(F.sum(F.octet_length("first") + 64), F.lit(0))).first()[0]
+
+    def compare(batches):
+        def rows():
+            for r in rows_of(batches, 32):
+                a, b = shingles(r["text"], words), np.frombuffer(r["first"], np.uint64)
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                yield r["doc_id"], 100 * both >= percent * (len(a) + len(b) - both)
+
+        yield from batches_of(rows(), pa.schema([("doc_id", pa.int64()), ("settled", pa.bool_())]))
+
+    rows = docs.join(small(large.distinct(), 32), "doc_id").join(small(first, 1, rows=size), "root").select("doc_id", "text", "first")
+    return rows.mapInArrow(compare, "doc_id bigint, settled boolean").groupBy("doc_id").agg(F.min("settled").alias("settled"))
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(id_col long, n_shingles, component_id, kept) of every row.
 
@@ -224,24 +262,30 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     close = keep(close, "close")
     sizes = close.groupBy("root").agg(F.count("*").alias("size"))
     chosen = keep(close.join(sizes, "root").select(F.col("node").alias("doc_id"), "root", "size"), "chosen")
-    again = docs.join(small(chosen, 64), "doc_id")
+    large = keep(chosen.where(F.col("size") > 2 * BLOCK).select("doc_id", "root"), "large")
+    begun = keep(like_first(docs, large, words, percent).join(small(large.distinct(), 32), "doc_id"), "begun")
+    left = begun.where("NOT settled").groupBy("root").agg(F.count("*").alias("open"))
+    open_ = chosen.join(begun.drop("root"), "doc_id", "left").join(left, "root", "left").withColumns({"settled": F.coalesce("settled", F.lit(False)), "open": F.when(F.col("size") > 2 * BLOCK, F.coalesce("open", F.lit(0))).otherwise(F.col("size"))})
+    open_ = keep(open_.where("open > 0").select("doc_id", "root", "size", "settled", "open"), "open")
+    again = docs.join(small(open_, 64), "doc_id")
 
     def whole(batches):
-        schema = pa.schema([("root", pa.int64()), ("size", pa.int64()), ("node", pa.int64()), ("shingles", pa.binary()), ("sketch", pa.binary())])
+        schema = pa.schema([("root", pa.int64()), ("size", pa.int64()), ("settled", pa.bool_()), ("open", pa.int64()), ("node", pa.int64()), ("shingles", pa.binary()), ("sketch", pa.binary())])
 
         def rows():
             for r in rows_of(batches):
                 own = shingles(r["text"], words)
                 if len(own):
-                    yield r["root"], r["size"], r["doc_id"], own.tobytes(), sketch(minima(own)).tobytes()
+                    yield r["root"], r["size"], r["settled"], r["open"], r["doc_id"], own.tobytes(), sketch(minima(own)).tobytes()
 
         yield from batches_of(rows(), schema, 128)
 
-    sets = again.mapInArrow(whole, "root bigint, size bigint, node bigint, shingles binary, sketch binary")
+    sets = again.mapInArrow(whole, "root bigint, size bigint, settled boolean, open bigint, node bigint, shingles binary, sketch binary")
+    sure = begun.where("settled AND doc_id <> root").select(F.col("doc_id").alias("u"), F.col("root").alias("v"))
     # an id whose rows have several texts links their classes
     several = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b").select("doc_id")
     tied = member.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
-    linked = components(_in_groups(sets, "root", "size", lambda g: links(g, percent)).union(tied), "linked")
+    linked = components(_in_groups(sets, "root", "size", lambda g: links(g, percent), "open").union(sure).union(tied), "linked")
 
     found = member.join(linked.withColumnsRenamed({"node": "rep"}), "rep", "left").select("doc_id", "n_shingles", F.coalesce("root", "rep").alias("component_id"))
     rest = signed.where("digest IS NULL OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
