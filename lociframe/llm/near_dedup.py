@@ -21,6 +21,8 @@ HASHES = BANDS * ROWS
 AGREE = 74
 #: Members that one task compares with each other; larger groups are split and every two parts compared.
 BLOCK = 512
+#: Hashes of words that a worker keeps; only a cache.
+WORDS_KEPT = 200_000
 
 _rng = np.random.default_rng(20240101)
 _A = _rng.integers(0, 1 << 63, HASHES, np.uint64) << np.uint64(1) | np.uint64(1)
@@ -36,12 +38,12 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class _Words(dict):
-    """64-bit hashes of words, kept for the words seen last."""
+    """64-bit hashes of words, kept for the words seen last: a worker lives on through the stages that follow."""
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 1_000_000:
+        if len(self) > WORDS_KEPT:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
