@@ -172,11 +172,13 @@ class Vocabulary:
         missing = words.difference(self.words)
         again = missing & self.older.keys()
         self.words.update((w, self.older[w]) for w in again)
-        new = self.encode_words(missing - again)
-        long = {w: ids for w, ids in new.items() if len(w) > CACHED_LETTERS}
-        self.words.update((w, ids) for w, ids in new.items() if w not in long)
-        get = self.words.__getitem__ if not long else lambda w: self.words[w] if w in self.words else long[w]
-        return [b"".join([p if isinstance(p, bytes) else b"".join(map(get, p)) for p in pieces]) for pieces in cut]
+        self.words.update(self.encode_words(missing - again))
+        get = self.words.__getitem__
+        out = [b"".join([p if isinstance(p, bytes) else b"".join(map(get, p)) for p in pieces]) for pieces in cut]
+        for w in missing:
+            if len(w) > CACHED_LETTERS:
+                del self.words[w]
+        return out
 
     def decode(self, packed: bytes) -> str:
         """The text of packed ids; bytes that are not UTF-8 give U+FFFD."""
