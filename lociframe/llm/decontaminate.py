@@ -32,7 +32,9 @@ PART_BYTES, PART_SEGMENTS = 4 << 20, 1 << 15
 
 #: Letters of scripts that are written without spaces are words each.
 UNSPACED = "\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+APART = re.compile(f"[{UNSPACED}]")
 WORD = re.compile(rf"(?=[^\W_])[{UNSPACED}]|(?:(?![{UNSPACED}])[^\W_])+")
+PLAIN = re.compile(r"[^\W_]+")  # the same in texts without such letters, and faster
 
 
 def lowered(text: str | None) -> str:
@@ -41,8 +43,13 @@ def lowered(text: str | None) -> str:
     return low if len(low) == len(text or "") else "".join(x if len(x := c.lower()) == 1 else c for c in text)
 
 
+def word_pattern(low: str) -> re.Pattern:
+    return PLAIN if low.isascii() or not APART.search(low) else WORD
+
+
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall(lowered(text))
+    low = lowered(text)
+    return word_pattern(low).findall(low)
 
 
 def allowed(n: int, similarity: float) -> int:
@@ -284,7 +291,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                         spans, of = [], -1
                         for k, item, s, e, far, n in items.matches(texts):
                             if k != of:
-                                spans, of = [m.span() for m in WORD.finditer(lowered(texts[k]))], k
+                                low, of = lowered(texts[k]), k
+                                spans = [m.span() for m in word_pattern(low).finditer(low)]
                             yield ids[k], item, spans[s][0], spans[e - 1][1], far, 1 - far / n
 
             yield from batches_of(rows(), schema)
