@@ -22,7 +22,7 @@ AGREE = 74
 #: Members that one task compares with each other; larger groups are split and every two parts compared.
 BLOCK = 512
 #: Hashes of words that a worker keeps; only a cache.
-WORDS_KEPT = 200_000
+WORDS_KEPT = 50_000
 
 _rng = np.random.default_rng(20240101)
 _A = _rng.integers(0, 1 << 63, HASHES, np.uint64) << np.uint64(1) | np.uint64(1)
