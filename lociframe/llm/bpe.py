@@ -19,7 +19,7 @@ from lociframe.llm.common import batches_of, rows_of
 #: Splits text before the merges, as byte-level tokenizers do.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: A worker remembers about so many words of at most so many letters, the last ones seen, and so many answers to may_follow; all are only caches.
-CACHED_WORDS, CACHED_LETTERS, CACHED_ANSWERS = 100_000, 64, 150_000
+CACHED_WORDS, CACHED_LETTERS, CACHED_ANSWERS = 200_000, 64, 150_000
 #: Texts are cut into words together until they have so many characters; a longer text is alone.
 BATCH_CHARS = 1 << 19
 
