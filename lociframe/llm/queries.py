@@ -6,11 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociframe.llm import bpe, decontaminate, html_text, language_id, license_scan, line_dedup, near_dedup, secret_scan, vector_search, warc
-from lociframe.llm.common import table
+from lociframe.llm import best_fit, bpe, decontaminate, filter_audit, html_text, importance, language_id, license_scan, line_dedup, near_dedup, secret_scan, vector_search, warc
+from lociframe.llm.common import keep, table
 
 #: The byte-level BPE file.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+#: The BPE file with word ends.
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +68,19 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licenses", ",").alias("licenses"))
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = best_fit.pieces(spark, table(spark, sf_dir, "documents"), bpe.read_vocabulary(WORD_VOCABULARY))
+    return best_fit.place(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))  # the ids themselves need not be shuffled for their digest
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(filter_audit.flags(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_language_id": op2_language_id,
@@ -77,6 +92,9 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_bpe": op9_bpe,
     "op10_license_scan": op10_license_scan,
+    "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 
@@ -118,4 +136,24 @@ least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT n.doc_id, n AS n_shingles, component_id, n.doc_id = component_id AS kept FROM n JOIN least ON n.doc_id = least.doc_id
 """,
     "op10_license_scan": _license_sql(),
+    "op12_filter_audit": r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS first FROM d),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+             CASE WHEN len(words) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END
+             || CASE WHEN 100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * len(text) THEN 'C' ELSE '' END
+             || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN first < w.doc_id THEN 'E' ELSE '' END AS fails
+      FROM w LEFT JOIN l ON w.doc_id = l.doc_id),
+x(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+      WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+r AS (SELECT f.*, filter_order, step, filter_order[step] AS own, list_min([strpos(filter_order, y) FOR y IN string_split(fails, '') IF y <> '']) AS hit
+      FROM f, o, range(1, 6) s(step)),
+s AS (SELECT part, filter_order, step, own, count(*) FILTER (hit IS NULL OR hit > step) AS kept, count(*) FILTER (hit = step) AS removed,
+             count(*) FILTER (hit < step AND contains(fails, own)) AS redundant, count(*) FILTER (fails = own) AS unique_fails,
+             count(*) FILTER (hit = step AND good) AS good_lost, count(*) FILTER (hit = step AND toxic) AS toxic_lost
+      FROM r GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM s
+""",
 }
