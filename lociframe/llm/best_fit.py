@@ -4,24 +4,40 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lociframe.llm.bpe import byte_letters
 from lociframe.llm.common import batches_of, keep, rows_of, small
 
 #: Tokens of a sequence, and the id that ends each document.
 SIZE, END = 2048, 0
 #: How the tokenizer's file cuts normalised text into words; other files are given to the library text by text.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+#: The same for lower-case ASCII, in the faster standard library.
+SPLIT_ASCII = r"[a-z]+|'(?:[stmd]|re|ve|ll)|[0-9]|[^ \t-\ra-z0-9]+"
 #: A worker remembers about so many words; a text is cut into words in parts of about so many characters, at white space.
 CACHED_WORDS, PART_CHARS = 300_000, 1 << 18
 #: Pieces of one length that are numbered together; a length with more is split.
 NUMBERED = 100_000
 
 
+class _Words(dict):
+    """A word's ids, made when it is first asked for."""
+
+    def __init__(self, made):
+        super().__init__()
+        self.made = made
+
+    def __missing__(self, word: str) -> bytes:
+        self[word] = ids = self.made(word)
+        return ids
+
+
 class Tokens:
     """Ids of texts by the tokenizers library, each distinct word encoded once.
 
@@ -45,15 +61,19 @@ class Tokens:
         rule = SPLIT.replace(r"\p{L}+", r"[\p{L}]+").replace(r"\p{N}|", r"[\p{N}]|")
         by_word = kinds == ["NFC", "Replace", "Lowercase"] and len(cuts) == 2 and cuts[0].get("pattern") == {"Regex": rule} and cuts[0].get("invert")
         self.by_word = bool(by_word and not cuts[1].get("use_regex") and not spec.get("post_processor"))
+        self.model, self.letters = self.library.model, {b: c for c, b in byte_letters().items()}
+        self.packed = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size())]
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         self.find = regex.compile(SPLIT).findall
         self.border = regex.compile(r"[ \n](?=[A-Za-z0-9])")
-        self.words: dict[str, bytes] = {}
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
+        self.find_ascii = re.compile(SPLIT_ASCII).findall
+        self.words = _Words(self._word)
 
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+    def _word(self, word: str) -> bytes:
+        """A normalised word's ids by the library's model, which takes bytes as the letters that stand for them."""
+        if not (word.isascii() and word.isprintable()):
+            word = "".join(map(self.letters.__getitem__, word.encode("utf-8")))
+        return b"".join([self.packed[t.id] for t in self.model.tokenize(word)])
 
     @staticmethod
     def normalised(text: str) -> str:
@@ -80,14 +100,13 @@ class Tokens:
         if not text:
             return b""
         if not self.by_word or any(s in text for s in self.special):
-            return self._library([text])[0]
+            return b"".join(map(self.packed.__getitem__, self.library.encode(text, add_special_tokens=False).ids))
         out = []
         for part in self.parts(text):
-            words = self.find(self.normalised(part))
+            part = self.normalised(part)
+            words = (self.find_ascii if part.isascii() else self.find)(part)
             if len(self.words) > CACHED_WORDS:
                 self.words.clear()
-            missing = list(set(words).difference(self.words))
-            self.words.update(zip(missing, self._library(missing)))
             out.append(b"".join(map(self.words.__getitem__, words)))
         return b"".join(out)
 
