@@ -136,6 +136,22 @@ least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT n.doc_id, n AS n_shingles, component_id, n.doc_id = component_id AS kept FROM n JOIN least ON n.doc_id = least.doc_id
 """,
     "op10_license_scan": _license_sql(),
+    "op13_importance_resampling": r"""
+WITH b AS (SELECT true AS own, doc_id, text FROM documents UNION ALL SELECT false, NULL, text FROM benchmark),
+w AS (SELECT own, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM b),
+f AS (SELECT own, doc_id, unnest(list_concat(w, [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))], [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)])) AS f FROM w),
+crcs AS (SELECT list(list_reduce(list_prepend(n::BIGINT, [0, 0, 0, 0, 0, 0, 0, 0]), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY n) AS t FROM range(256) r(n)),
+h AS (SELECT f, xor(list_reduce(list_prepend(4294967295, [('0x' || x)::BIGINT FOR x IN regexp_extract_all(hex(encode(f)), '..')]), lambda a, b: xor(a >> 8, t[1 + (xor(a, b) & 255)])), 4294967295) % 10000 AS bucket FROM (SELECT DISTINCT f FROM f), crcs),
+g AS (SELECT own, doc_id, bucket FROM f JOIN h ON f.f = h.f),
+s AS (SELECT count(*) FILTER (own) AS s, count(*) FILTER (NOT own) AS t FROM g),
+gain AS (SELECT bucket, floor(1000 * ln((count(*) FILTER (NOT own) + 1.0::DOUBLE) * (any_value(s.s) + 10000.0::DOUBLE) / ((count(*) FILTER (own) + 1.0::DOUBLE) * (any_value(s.t) + 10000.0::DOUBLE)))) AS gain FROM g, s GROUP BY bucket),
+docs AS (SELECT doc_id, len(w) AS n_words FROM w WHERE own),
+sums AS (SELECT doc_id, count(*) AS n, sum(gain) AS weight FROM g JOIN gain ON g.bucket = gain.bucket WHERE own GROUP BY doc_id),
+scored AS (SELECT d.doc_id, n_words, coalesce(n, 0) AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+           (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('42:' || d.doc_id)[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE))))::BIGINT AS score FROM docs d LEFT JOIN sums ON d.doc_id = sums.doc_id),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scored WHERE n_words >= 20 QUALIFY rank <= 5 * count(*) OVER () // 100)
+SELECT scored.doc_id, n_features, weight, score, rank FROM scored LEFT JOIN ranked ON scored.doc_id = ranked.doc_id
+""",
     "op12_filter_audit": r"""
 WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
 w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS first FROM d),
