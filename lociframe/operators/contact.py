@@ -6,7 +6,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -17,6 +17,11 @@ def sizes(genome: DataFrame, bin_size: int) -> DataFrame:
     return genome.select("chrom", F.ceil(F.col("size") / bin_size).cast("long").alias("n"))
 
 
+def correlation(a: str, b: str) -> Column:
+    """Pearson's correlation of two columns, as an aggregate; null where one of them is constant."""
+    return F.covar_pop(a, b) / F.nullif(F.stddev_pop(a) * F.stddev_pop(b), F.lit(0.0))
+
+
 def full(cells: DataFrame) -> DataFrame:
     """Both triangles."""
     return cells.union(cells.where("i <> j").select("chrom", F.col("j").alias("i"), F.col("i").alias("j"), *cells.columns[3:]))
@@ -156,7 +161,7 @@ def correlate(a: DataFrame, b: DataFrame, max_dist: int | None = None) -> DataFr
     both = x.join(y, ["chrom", "i", "j"], "full").na.fill(0.0, ["a", "b"])
     if max_dist is not None:
         both = both.where(F.col("j") - F.col("i") <= max_dist)
-    return both.groupBy("chrom").agg(F.corr("a", "b").alias("r"), F.count("*").alias("n"))
+    return both.groupBy("chrom").agg(correlation("a", "b").alias("r"), F.count("*").alias("n"))
 
 
 def compare_by_distance(a: DataFrame, b: DataFrame, distances: list[int]) -> DataFrame:
@@ -164,7 +169,7 @@ def compare_by_distance(a: DataFrame, b: DataFrame, distances: list[int]) -> Dat
     x, y = (m.select("chrom", "i", "j", F.col("x").alias(c)) for m, c in ((a, "a"), (b, "b")))
     both = x.join(y, ["chrom", "i", "j"], "full").na.fill(0.0, ["a", "b"])
     each = F.explode(F.filter(F.array(*map(F.lit, distances)), lambda t: F.col("j") - F.col("i") <= t)).alias("dist")
-    return both.select("chrom", "a", "b", "i", "j", each).groupBy("chrom", "dist").agg(F.corr("a", "b").alias("r"))
+    return both.select("chrom", "a", "b", "i", "j", each).groupBy("chrom", "dist").agg(correlation("a", "b").alias("r"))
 
 
 def overlap_curve(a: DataFrame, b: DataFrame, cutoffs: list[float]) -> DataFrame:
