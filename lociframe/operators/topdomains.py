@@ -192,17 +192,17 @@ def tests(cells: DataFrame, sizes_: DataFrame, bins: DataFrame, window: int) ->
 def domain_signal(cells: DataFrame, sizes_: DataFrame, window: int, cut: float | None = 0.05) -> DataFrame:
     """(chrom, i, x, extreme, p) of every bin: diamond mean, and -1 at boundaries, 1 at maxima, 0 at other bins, null in gaps and short stretches.
 
-    Minima whose test has no p under ``cut`` are no boundaries; without a cut nothing is tested and p is 0.
+    Minima whose test has no p under ``cut`` are no boundaries; without a cut nothing is tested and p is 1.
     """
     bins = keep(stretches(gaps(cells, sizes_)), "stretches")
     signal = keep(extremes(bins.join(diamond_means(cells, sizes_, window), ["chrom", "i"])), "extremes")
     if cut is None:
-        rows = signal.select("chrom", "i", "x", "extreme", F.lit(0.0).alias("p"))
+        rows = signal.select("chrom", "i", "x", "extreme", F.lit(1.0).alias("p"))
     else:
         rows = signal.join(tests(cells, sizes_, bins, window).select("chrom", "i", "p"), ["chrom", "i"])
         rows = rows.select("chrom", "i", "x", F.when((F.col("extreme") == -1) & (F.col("p") >= cut), 0).otherwise(F.col("extreme")).alias("extreme"), "p")
     rows = grid(sizes_).select("chrom", "i").join(rows, ["chrom", "i"], "left")
-    return rows.withColumn("p", F.coalesce("p", F.lit(1.0 if cut is not None else 0.0)))
+    return rows.withColumn("p", F.coalesce("p", F.lit(1.0)))
 
 
 def domains(signal: DataFrame, bin_size: int, cut: float = 0.05) -> DataFrame:

@@ -61,7 +61,7 @@ news AS (SELECT *, kind <> 'end' AND kind IS DISTINCT FROM lag(kind) OVER (PARTI
 parts AS (SELECT *, count(*) FILTER (new) OVER (PARTITION BY chrom ORDER BY i) AS part FROM news)
 SELECT chrom, min(i) * 10000 AS start, (max(i) + 1) * 10000 AS stop, CASE WHEN arg_min(kind, i) = 'domain' AND bool_and(low) THEN 'boundary' ELSE arg_min(kind, i) END AS tag FROM parts WHERE part > 0 GROUP BY chrom, part"""
 add("c30_domains", lambda s, d: td.domains(td.domain_signal(HOLED(s, d), SIZES(s, d), WINDOW), 10000).select("chrom", "start", "stop", "tag"), GAPS + SCALED + RANKS + BENDS + DOMAINS)
-add("c30_domains_untested", lambda s, d: td.domains(td.domain_signal(HOLED(s, d), SIZES(s, d), WINDOW, None), 10000, 0.0).select("chrom", "start", "stop", "tag"), GAPS + SCALED + RANKS + BENDS + DOMAINS.replace(f"CASE WHEN extreme = -1 AND (z IS NULL OR z >= {Z05}) THEN 0 ELSE extreme END", "extreme").replace("bool_and(low)", "false"))
+add("c30_domains_untested", lambda s, d: td.domains(td.domain_signal(HOLED(s, d), SIZES(s, d), WINDOW, None), 10000).select("chrom", "start", "stop", "tag"), GAPS + SCALED + RANKS + BENDS + DOMAINS.replace(f"CASE WHEN extreme = -1 AND (z IS NULL OR z >= {Z05}) THEN 0 ELSE extreme END", "extreme").replace("bool_and(low)", "false"))
 
 # marks on a matrix ---------------------------------------------------------------------------------
 SIGNAL = lambda s, d: ct.connectivity_difference(CELLS(s, d), SIZES(s, d), 4)
