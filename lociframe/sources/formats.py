@@ -116,11 +116,33 @@ def parse_sam(lines: DataFrame) -> DataFrame:
         p[0].alias("label"), p[1].cast("int").alias("flag"), p[2].alias("chrom"), p[3].cast("long").alias("pos"), p[4].cast("int").alias("mapq"), p[5].alias("cigar"),
         p[6].alias("rnext"), p[7].cast("long").alias("pnext"), p[8].cast("long").alias("tlen"), p[9].alias("seq"), p[10].alias("qual"), F.get(p, F.lit(11)).alias("optional"),
     )
+    return with_intervals(df)
+
+
+def with_intervals(df: DataFrame) -> DataFrame:
+    """Alignments' columns with their reference intervals."""
     strand = F.when(F.col("flag").bitwiseAND(16) != 0, "-").otherwise("+")
     cigar = F.when(F.col("cigar") == "*", F.concat(F.length("seq").cast("string"), F.lit("M"))).otherwise(F.col("cigar"))
     return df.withColumn("intervals", cigar_intervals(F.col("chrom"), strand, F.col("pos"), cigar))
 
 
+def read_bam(spark: SparkSession, path: str, split: int | None = None) -> DataFrame:
+    """Alignments of a BAM file, or a folder of them, as ``read_sam`` gives them; files are read in ranges of ``split`` bytes."""
+    from lociframe.sources import bam
+
+    spark.dataSource.register(bam.BamSource)
+    return with_intervals(spark.read.format("bam").option("split", split or bam.SPLIT).load(path))
+
+
+def write_bam(df: DataFrame, path: str, references: dict[str, int]) -> None:
+    """Alignments as BAM files in a folder, one for each task; references are the header's names and sizes."""
+    from lociframe.sources import bam
+
+    df.sparkSession.dataSource.register(bam.BamSource)
+    columns = [c.split()[0] for c in bam.SCHEMA.split(", ")]
+    df.select(*columns).write.format("bam").option("references", ",".join(f"{n}:{s}" for n, s in references.items())).mode("append").save(path)
+
+
 def read_sam(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return parse_sam(read_lines(spark, paths))
 
