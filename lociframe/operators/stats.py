@@ -86,16 +86,86 @@ def differential(df: DataFrame, x: list[str], y: list[str], least: float = 1.0,
     return out.select("row", "fold", "fdr", change.alias("change"))
 
 
-def without_outliers(df: DataFrame, x: str, y: str, width: float = 0.25, sds: float = 3.0) -> DataFrame:
-    """Rows whose log ratio lies within ``sds`` deviations of the mean of rows of about their level.
+def nearest_distances(rows: DataFrame, q: int) -> dict[int, float]:
+    """The q-th smallest ``d`` of each ``k`` of rows (k, d), for a few k: counts in ever finer parts of the distances, the last part by value.
 
-    The local mean and deviation come from bins of the mean logarithm, a bin at either side added: sums,
-    not a curve fitted to all rows in one place.
+    Only one row for each k comes to the driver in a round.
     """
-    level, ratio = (F.log2(x) + F.log2(y)) / 2, F.log2(F.col(y) / F.col(x))
-    rows = df.withColumns({"_b": F.floor(level / width).cast("long"), "_r": ratio})
-    near = rows.select("_r", F.explode(F.array(*[F.col("_b") + k for k in (-1, 0, 1)])).alias("_b")).groupBy("_b").agg(F.avg("_r").alias("_m"), F.stddev_pop("_r").alias("_s"))
-    return rows.join(near, "_b").where((F.col("_s") == 0) | (F.abs(F.col("_r") - F.col("_m")) <= sds * F.col("_s"))).select(df.columns)
+    parts, fine = 4096, 100_000
+    ends = {r["k"]: (0.0, r["most"], q, r["n"]) for r in rows.groupBy("k").agg(F.max("d").alias("most"), F.count("*").alias("n")).collect()}
+    for _ in range(8):
+        if all(n <= fine or hi <= lo for lo, hi, _, n in ends.values()):
+            break
+        known = rows.sparkSession.createDataFrame([(k, lo, hi, rest) for k, (lo, hi, rest, _) in ends.items()], "k int, lo double, hi double, rest bigint")
+        own = rows.join(F.broadcast(known), "k").where((F.col("d") >= F.col("lo")) & (F.col("d") <= F.col("hi")))
+        part = F.when(F.col("hi") > F.col("lo"), F.least(F.lit(parts - 1), F.floor((F.col("d") - F.col("lo")) / (F.col("hi") - F.col("lo")) * parts))).otherwise(0)
+        counts = own.groupBy("k", "rest", part.alias("part")).agg(F.count("*").alias("n"), F.min("d").alias("lo"), F.max("d").alias("hi"))
+        counts = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("k").orderBy("part"))).where((F.col("upto") >= F.col("rest")) & (F.col("upto") - F.col("n") < F.col("rest")))
+        ends = {r["k"]: (r["lo"], r["hi"], r["rest"] - (r["upto"] - r["n"]), r["n"]) for r in counts.collect()}
+    known = rows.sparkSession.createDataFrame([(k, lo, hi, rest) for k, (lo, hi, rest, _) in ends.items()], "k int, lo double, hi double, rest bigint")
+    own = rows.join(F.broadcast(known), "k").where((F.col("d") >= F.col("lo")) & (F.col("d") <= F.col("hi"))).groupBy("k", "rest", "d").agg(F.count("*").alias("n"))
+    own = own.withColumn("upto", F.sum("n").over(Window.partitionBy("k").orderBy("d"))).where("upto >= rest").groupBy("k").agg(F.min("d").alias("d"))
+    return {r["k"]: r["d"] for r in own.collect()}
+
+
+def local_lines(df: DataFrame, x: str, y: str, span: float = 0.5, points: int = 33) -> list[tuple[float, float, float]]:
+    """(place, value, slope) of local regression at evenly spaced places from the least x to the greatest.
+
+    At each place a line is fitted to the nearest ``span`` of all rows, weighted by the tricube of their distances by the farthest one's; where those
+    have one x it is their mean, level. All rows count at every place, as sums made before the shuffle; rows with a null do not. No rows give no places.
+    """
+    rows = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).where("x IS NOT NULL AND y IS NOT NULL")
+    lo, hi, n = rows.agg(F.min("x"), F.max("x"), F.count("*")).first()
+    if not n:
+        return []
+    places = [lo + (hi - lo) * k / (points - 1) for k in range(points)] if hi > lo else [lo]
+    near = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("v")) for k, v in enumerate(places)])).alias("p")
+    rows = rows.select("x", "y", near).select(F.col("p.k").alias("k"), (F.col("x") - F.col("p.v")).alias("dx"), "y")
+    widths = nearest_distances(rows.select("k", F.abs("dx").alias("d")), max(1, min(n, int(n * span + 1e-5))))
+    h = F.element_at(F.array(*[F.lit(widths[k]) for k in range(len(places))]), F.col("k") + 1)
+    d = F.abs("dx")
+    w = F.when(h == 0, (d == 0).cast("double")).when(d < h, F.pow(1 - F.pow(d / F.nullif(h, F.lit(0.0)), F.lit(3)), F.lit(3))).otherwise(0.0)
+    sums = rows.withColumn("w", w).where("w > 0").groupBy("k").agg(*[F.sum(c).alias(name) for name, c in (("s", F.col("w")), ("sx", F.expr("w * dx")), ("sxx", F.expr("w * dx * dx")), ("sy", F.expr("w * y")), ("sxy", F.expr("w * dx * y")))])
+    found = {r["k"]: r for r in sums.collect()}
+    out = []
+    for k, v in enumerate(places):
+        r = found.get(k)
+        if r is None:  # only rows as far as the farthest one, whose weight is 0: they are alike
+            r = rows.where((F.col("k") == k) & (d <= widths[k])).agg(F.count("*").alias("s"), F.lit(0.0).alias("sx"), F.lit(0.0).alias("sxx"), F.sum("y").alias("sy"), F.lit(0.0).alias("sxy")).first()
+        spread = r["s"] * r["sxx"] - r["sx"] ** 2
+        slope = (r["s"] * r["sxy"] - r["sx"] * r["sy"]) / spread if spread > 1e-9 * r["s"] * r["sxx"] else 0.0
+        out.append((v, (r["sy"] - slope * r["sx"]) / r["s"], slope))
+    return out
+
+
+def along_lines(x: Column, lines: list[tuple[float, float, float]]) -> Column:
+    """The curve through local_lines' places with their slopes: a cubic between every two of them."""
+    if len(lines) < 2:
+        return F.lit(lines[0][1] if lines else None).cast("double")
+    lo, step = lines[0][0], (lines[-1][0] - lines[0][0]) / (len(lines) - 1)
+    cell = F.greatest(F.lit(0), F.least(F.lit(len(lines) - 2), F.floor((x - lo) / step))).cast("int")
+    at = lambda j, k: F.element_at(F.array(*[F.lit(line[j]) for line in lines]), cell + 1 + k)
+    t = (x - at(0, 0)) / step
+    return (2 * t * t * t - 3 * t * t + 1) * at(1, 0) + (t * t * t - 2 * t * t + t) * step * at(2, 0) + (3 * t * t - 2 * t * t * t) * at(1, 1) + (t * t * t - t * t) * step * at(2, 1)
+
+
+def without_outliers(df: DataFrame, x: str, y: str, least_density: float, span: float = 0.5, scale: str = "none", points: int = 33) -> DataFrame:
+    """Rows whose y differs from local regression on x by what has a normal density over ``least_density``, with all differences' mean and deviation.
+
+    Values under the least positive one of both columns count as that; scale is none, or log2 of them. A density of 0 or less keeps all rows; rows with
+    a null go, and if all differences are equal all others stay. Curve: ``along_lines`` of ``local_lines``.
+    """
+    if least_density <= 0:
+        return df
+    least = df.agg(F.least(F.min(F.when(F.col(x) > 0, F.col(x))), F.min(F.when(F.col(y) > 0, F.col(y))))).first()[0]
+    value = {"none": lambda c: c, "log2": F.log2}[scale]
+    raised = lambda c: value(F.when(F.col(c).isNotNull(), F.greatest(F.col(c), F.lit(least))).cast("double"))
+    rows = df.withColumns({"_x": raised(x), "_y": raised(y)}).where("_x IS NOT NULL AND _y IS NOT NULL")
+    rows = rows.withColumn("_r", F.col("_y") - along_lines(F.col("_x"), local_lines(rows, "_x", "_y", span, points)))
+    whole = rows.agg(F.avg("_r").alias("_m"), F.stddev_samp("_r").alias("_s"))
+    z = (F.col("_r") - F.col("_m")) / F.nullif("_s", F.lit(0.0))
+    density = F.exp(-z * z / 2) / (F.nullif("_s", F.lit(0.0)) * F.sqrt(2 * F.pi()))
+    return rows.join(F.broadcast(whole)).where(F.coalesce(density > least_density, F.lit(True))).select(df.columns)
 
 
 def principal_components(df: DataFrame, k: int) -> DataFrame:
@@ -135,16 +205,44 @@ def heat_rows(df: DataFrame, norm: str = "none", log: bool = True, least: float
     return rows if top is None else rows.orderBy(F.desc(F.array_max("v") - F.array_min("v")), "row").limit(top)
 
 
-def clusters(df: DataFrame, k: int, seed: int = 1) -> DataFrame:
-    """(row, cluster) of vectors (row, v) by k-means; clusters are numbered by size, then by centre."""
+def leaf_order(points: list[tuple[float, ...]]) -> list[int]:
+    """Points in the order of a tree's leaves: of all clusters the two nearest are joined, by the farthest two of their points, until one is left.
+
+    Of two that are joined, a single point stands left of a cluster, an earlier cluster left of a later one, and of two points the first. For a
+    few points, such as the centres of clusters.
+    """
+    import math
+
+    own = [(k,) for k in range(len(points))]
+    age = [(0, k) for k in range(len(points))]
+    step = 0
+    while len(own) > 1:
+        far = lambda a, b: max(math.dist(points[i], points[j]) for i in a for j in b)
+        _, i, j = min((far(own[i], own[j]), i, j) for i in range(len(own)) for j in range(i + 1, len(own)))
+        step += 1
+        first, second = sorted((i, j), key=lambda k: age[k])
+        joined = own[first] + own[second]
+        own = [c for k, c in enumerate(own) if k not in (i, j)] + [joined]
+        age = [c for k, c in enumerate(age) if k not in (i, j)] + [(1, step)]
+    return list(own[0]) if own else []
+
+
+def clusters(df: DataFrame, k: int, seed: int = 1, starts: int = 10) -> DataFrame:
+    """(row, cluster) of vectors (row, v) by k-means, the best of several starts; clusters are numbered from 0 in the order of their centres' tree.
+
+    The tree is ``leaf_order`` of the centres, which are sorted by their values first, so numbers depend on the clusters alone.
+    """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    rows = df.select("row", array_to_vector("v").alias("features"))
-    model = KMeans(k=k, seed=seed, maxIter=30).fit(rows)
-    centres = [tuple(c) for c in model.clusterCenters()]
-    order = sorted(range(len(centres)), key=lambda i: (-model.summary.clusterSizes[i], centres[i]))
-    number = F.create_map(*[F.lit(x) for i, c in enumerate(order) for x in (c, i)])
+    rows = df.select("row", array_to_vector("v").alias("features")).persist()
+    models = [KMeans(k=k, seed=seed + j, maxIter=30).fit(rows) for j in range(starts)]
+    model = min(models, key=lambda m: m.summary.trainingCost)
+    rows.unpersist()
+    centres = [tuple(map(float, c)) for c in model.clusterCenters()]
+    sorted_ = sorted(range(len(centres)), key=lambda i: centres[i])
+    order = [sorted_[i] for i in leaf_order([centres[i] for i in sorted_])]
+    number = F.create_map(*[F.lit(x) for place, i in enumerate(order) for x in (i, place)])
     return model.transform(rows).select("row", number[F.col("prediction")].alias("cluster"))
 
 

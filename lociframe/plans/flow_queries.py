@@ -15,7 +15,7 @@ from lociframe.operators import tables as tb
 from lociframe.plans import pipelines as pl
 from lociframe.plans.cell_queries import CELLS, CON, DOM, FRAG, KIND, OTHER, SIZES, _ctes
 from lociframe.plans.region_queries import ANY, HIT, LINKED
-from lociframe.plans.table_queries import SHEET, SHEET_SQL
+from lociframe.plans.table_queries import SHEET, SHEET_SQL, loess_sql
 from lociframe.sources import formats as fm
 from lociframe.sources.fixtures import fixture, regions, single, table
 from lociframe.sources.scratch import folder
@@ -144,11 +144,10 @@ add("c13_compare_norm", lambda s, d: pl.compare_contacts(CELLS(s, d), OTHER(s, d
 
 # a table of samples from its values to the rows that change
 SAMPLES = lambda s, d: table(s, d, "embeddings").select(F.col("vec_id").alias("row"), *[(F.round(F.col("embedding")[k].cast("double") * 100) + 400).alias(f"c{k}") for k in range(4)])
-add("a07_easydiff", lambda s, d: pl.easy_differences(SAMPLES(s, d), ["c0", "c1"], ["c2", "c3"], least=410.0, sds=2.0, min_fold=1.05, max_fdr=0.9), """WITH t AS (SELECT vec_id AS "row", k, round(cast(embedding[k + 1] AS double) * 100) + 400 AS value FROM embeddings CROSS JOIN range(4) AS ks(k)),
+add("a07_easydiff", lambda s, d: pl.easy_differences(SAMPLES(s, d), ["c0", "c1"], ["c2", "c3"], least=410.0, outlier_density=0.004, min_fold=1.05, max_fdr=0.9), """WITH t AS (SELECT vec_id AS "row", k, round(cast(embedding[k + 1] AS double) * 100) + 400 AS value FROM embeddings CROSS JOIN range(4) AS ks(k)),
 r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY value, "row") AS r FROM t), q AS (SELECT "row", k, avg(value) OVER (PARTITION BY r) AS v FROM r),
 w AS (SELECT "row", max(v) FILTER (k = 0) AS c0, max(v) FILTER (k = 1) AS c1, max(v) FILTER (k = 2) AS c2, max(v) FILTER (k = 3) AS c3 FROM q GROUP BY "row" HAVING max(v) >= 410),
-l1 AS (SELECT *, floor((log2(c0) + log2(c1)) / 2 / 0.25) AS b, log2(c1 / c0) AS lr FROM w), m1 AS (SELECT b + k AS b, avg(lr) AS m, stddev_pop(lr) AS s FROM l1 CROSS JOIN (VALUES (-1), (0), (1)) AS ks(k) GROUP BY b + k), w1 AS (SELECT "row", c0, c1, c2, c3 FROM l1 JOIN m1 USING (b) WHERE s = 0 OR abs(lr - m) <= 2 * s),
-l2 AS (SELECT *, floor((log2(c2) + log2(c3)) / 2 / 0.25) AS b, log2(c3 / c2) AS lr FROM w1), m2 AS (SELECT b + k AS b, avg(lr) AS m, stddev_pop(lr) AS s FROM l2 CROSS JOIN (VALUES (-1), (0), (1)) AS ks(k) GROUP BY b + k), w2 AS (SELECT "row", c0, c1, c2, c3 FROM l2 JOIN m2 USING (b) WHERE s = 0 OR abs(lr - m) <= 2 * s),
+""" + loess_sql("w1", "w", "c0", "c1", 0.004) + ", " + loess_sql("w2", "w1", "c2", "c3", 0.004) + """,
 o AS (SELECT "row", f AS fold, greatest(f, 1 / f) AS x FROM (SELECT "row", (c2 + c3) / (c0 + c1) AS f FROM w2) AS g), b AS (SELECT greatest(c0 / c1, c1 / c0) AS x FROM w2 UNION ALL SELECT greatest(c2 / c3, c3 / c2) FROM w2), v AS (SELECT DISTINCT x FROM o),
 f AS (SELECT x, ((SELECT count(*) FROM b WHERE b.x >= v.x) / cast((SELECT count(*) FROM b) AS double)) / ((SELECT count(*) FROM o WHERE o.x >= v.x) / cast((SELECT count(*) FROM o) AS double)) AS f FROM v), g AS (SELECT x, least(1.0, min(f) OVER (ORDER BY x)) AS fdr FROM f)
 SELECT "row", fold, fdr, CASE WHEN o.x < 1.05 OR fdr > 0.9 THEN 'none' WHEN fold > 1 THEN 'gain' ELSE 'loss' END AS change FROM o JOIN g ON o.x = g.x""")

@@ -141,18 +141,18 @@ def compare_contacts(a: DataFrame, b: DataFrame, sizes: DataFrame, distances: li
     return ct.compare_by_distance(ct.preprocess(a, sizes, "dist"), ct.preprocess(b, sizes, "dist"), distances)
 
 
-def easy_differences(samples: DataFrame, x: list[str], y: list[str], normalise: bool = True, least: float = float("-inf"), sds: float = 3.0, min_fold: float = 1.5, max_fdr: float = 0.05) -> DataFrame:
+def easy_differences(samples: DataFrame, x: list[str], y: list[str], normalise: bool = True, least: float = float("-inf"), outlier_density: float = 0.0, min_fold: float = 1.5, max_fdr: float = 0.05) -> DataFrame:
     """(row, fold, fdr, change) of a table (row, one column a sample): reference samples x against samples y.
 
     Columns are quantile-normalised, rows with no value of ``least`` go, as do outliers between the first two
-    replicates of each group; those that stay are tested by the folds between replicates.
+    replicates of each group, by local regression, if a density is given; those that stay are tested by the folds between replicates.
     """
     rows = samples
     if normalise:
         cells = samples.unpivot("row", [*x, *y], "col", "value")
         rows = sx.quantile_normalise(cells).groupBy("row").pivot("col", [*x, *y]).agg(F.first("value"))
-    rows = rows.where(F.greatest(*x, *y) >= least)
+    rows = keep(rows.where(F.greatest(*x, *y) >= least), "tested")
     for group in (x, y):
         if len(group) > 1:
-            rows = sx.without_outliers(rows, group[0], group[1], sds=sds)
+            rows = sx.without_outliers(rows, group[0], group[1], outlier_density)
     return sx.differential(keep(rows, "samples"), x, y, float("-inf"), min_fold, max_fdr)

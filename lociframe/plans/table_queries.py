@@ -206,10 +206,22 @@ add("a05_differential", lambda s, d: sx.differential(REPS(s, d), ["c0", "c1"], [
 b AS (SELECT greatest(c0 / c1, c1 / c0) AS x FROM c UNION ALL SELECT greatest(c2 / c3, c3 / c2) FROM c), v AS (SELECT DISTINCT x FROM o),
 f AS (SELECT x, ((SELECT count(*) FROM b WHERE b.x >= v.x) / cast((SELECT count(*) FROM b) AS double)) / ((SELECT count(*) FROM o WHERE o.x >= v.x) / cast((SELECT count(*) FROM o) AS double)) AS f FROM v), g AS (SELECT x, least(1.0, min(f) OVER (ORDER BY x)) AS fdr FROM f)
 SELECT "row", fold, fdr, CASE WHEN o.x < 1.2 OR fdr > 0.5 THEN 'none' WHEN fold > 1 THEN 'gain' ELSE 'loss' END AS change FROM o JOIN g ON o.x = g.x""")
-add("a06_outliers", lambda s, d: sx.without_outliers(REPS(s, d), "c0", "c1", 0.25, 2.0).select("row"), VEC + """, c AS (SELECT label AS "row", v[1] + 100 AS c0, v[2] + 100 AS c1 FROM vec), r AS (SELECT "row", floor((log2(c0) + log2(c1)) / 2 / 0.25) AS b, log2(c1 / c0) AS r FROM c WHERE c0 > 0 AND c1 > 0),
-near AS (SELECT b + k AS b, avg(r) AS m, stddev_pop(r) AS s FROM r CROSS JOIN (VALUES (-1), (0), (1)) AS ks(k) GROUP BY b + k) SELECT "row" FROM r JOIN near USING (b) WHERE s = 0 OR abs(r - m) <= 2 * s""")
+def loess_sql(name: str, source: str, x: str, y: str, least: float) -> str:
+    """CTEs that end in ``name``: rows of source (row, ...) that local regression of y on x keeps, as operators.stats.without_outliers does."""
+    n = name
+    return f"""{n}l AS (SELECT min(v) AS least FROM (SELECT {x} AS v FROM {source} UNION ALL SELECT {y} FROM {source}) WHERE v > 0), {n}r AS (SELECT s.*, greatest({x}, least) AS lx, greatest({y}, least) AS ly FROM {source} s, {n}l),
+{n}e AS (SELECT min(lx) AS lo, max(lx) AS hi, count(*) AS n FROM {n}r), {n}v AS (SELECT k, lo + (hi - lo) * k / 32 AS v, (hi - lo) / 32 AS step, n FROM {n}e CROSS JOIN range(33) AS ks(k)),
+{n}d AS (SELECT k, v, lx - v AS dx, ly, n, row_number() OVER (PARTITION BY k ORDER BY abs(lx - v)) AS place FROM {n}v CROSS JOIN {n}r), {n}h AS (SELECT k, abs(dx) AS h FROM {n}d WHERE place = floor(n * 0.5 + 1e-5)),
+{n}w AS (SELECT d.k, v, dx, ly, (1 - (abs(dx) / h) ** 3) ** 3 AS w FROM {n}d d JOIN {n}h h ON h.k = d.k WHERE abs(dx) < h),
+{n}s AS (SELECT k, any_value(v) AS v, sum(w) AS s, sum(w * dx) AS sx, sum(w * dx * dx) AS sxx, sum(w * ly) AS sy, sum(w * dx * ly) AS sxy FROM {n}w GROUP BY k), {n}b AS (SELECT *, CASE WHEN s * sxx - sx * sx > 1e-9 * s * sxx THEN (s * sxy - sx * sy) / (s * sxx - sx * sx) ELSE 0 END AS b FROM {n}s), {n}a AS (SELECT k, v, b, (sy - b * sx) / s AS a FROM {n}b),
+{n}t AS (SELECT r.*, step, (lx - p.v) / step AS t, p.a AS a0, p.b AS b0, q.a AS a1, q.b AS b1 FROM {n}r r, (SELECT lo, (hi - lo) / 32 AS step FROM {n}e) AS e JOIN {n}a p ON p.k = least(31, floor((lx - lo) / step)) JOIN {n}a q ON q.k = p.k + 1),
+{n}z AS (SELECT *, ly - ((2 * t ** 3 - 3 * t ** 2 + 1) * a0 + (t ** 3 - 2 * t ** 2 + t) * step * b0 + (3 * t ** 2 - 2 * t ** 3) * a1 + (t ** 3 - t ** 2) * step * b1) AS r FROM {n}t),
+{name} AS (SELECT * EXCLUDE (lx, ly, step, t, a0, b0, a1, b1, r) FROM {n}z QUALIFY exp(0 - pow((r - avg(r) OVER ()) / stddev_samp(r) OVER (), 2) / 2) / (stddev_samp(r) OVER () * sqrt(2 * pi())) > {least})"""
+
+
+add("a06_outliers", lambda s, d: sx.without_outliers(REPS(s, d), "c0", "c1", 0.004), VEC + """, c AS (SELECT label AS "row", v[1] + 100 AS c0, v[2] + 100 AS c1, v[3] + 100 AS c2, v[4] + 100 AS c3 FROM vec), """ + loess_sql("stay", "c", "c0", "c1", 0.004) + " SELECT * FROM stay")
 add("a08_pca", lambda s, d: sx.principal_components(_vectors(s, d).withColumnRenamed("label", "row"), 2).select("row", F.round(F.col("pc")[0], 4).alias("pc1"), F.round(F.col("pc")[1], 4).alias("pc2")))
-add("a09_heat_rows", lambda s, d: sx.heat_rows(_vectors(s, d).select(F.col("label").alias("row"), F.transform("v", lambda x: x + 200).alias("v")), "rowmax", True, 0.5, 0.3, 100).select("row", F.array_max("v").alias("hi")), VEC + "SELECT label AS \"row\", log2(2) AS hi FROM (SELECT label, log2((min(x) + 200) / (max(x) + 200) + 1) AS lo FROM cell GROUP BY label) AS c WHERE 1 - lo >= 0.3 ORDER BY 1 - lo DESC, label LIMIT 100")
+add("a09_heat_rows", lambda s, d: sx.heat_rows(_vectors(s, d).select(F.col("label").alias("row"), F.transform("v", lambda x: x + 200).alias("v")), "rowmax", True, 0.5, 0.1, 100).select("row", F.array_max("v").alias("hi")), VEC + "SELECT label AS \"row\", log2(2) AS hi FROM (SELECT label, log2((min(x) + 200) / (max(x) + 200) + 1) AS lo FROM cell GROUP BY label) AS c WHERE 1 - lo >= 0.1 ORDER BY 1 - lo DESC, label LIMIT 100")
 add("a09_clusters", lambda s, d: sx.clusters(_vectors(s, d).withColumnRenamed("label", "row"), 4))
 MARKS = lambda s, d: table(s, d, "part").select(F.concat_ws(",", F.concat(F.lit("a"), F.col("p_size") % 3), F.concat(F.lit("b"), F.col("p_partkey") % 2)).alias("marks1"), F.concat_ws(",", F.concat(F.lit("a"), F.col("p_partkey") % 5), F.lit("z")).alias("marks2"))
 add("a11_enrichment", lambda s, d: sx.co_occurrence(MARKS(s, d)), "WITH p AS (SELECT unnest([concat('a', p_size % 3), concat('b', p_partkey % 2)]) AS mark1, [concat('a', p_partkey % 5), 'z'] AS m2 FROM part), q AS (SELECT mark1, unnest(m2) AS mark2 FROM p), c AS (SELECT mark1, mark2, count(*) AS n FROM q GROUP BY 1, 2) SELECT mark1, mark2, n, n * (sum(n) OVER ()) / cast((sum(n) OVER (PARTITION BY mark1)) * (sum(n) OVER (PARTITION BY mark2)) AS double) AS enrichment FROM c")
