@@ -119,9 +119,9 @@ def _rows(a: DataFrame, b: DataFrame, distinct: bool) -> DataFrame:
     return both.where("row1 < row2") if distinct else both
 
 
-def row_pairs(a: DataFrame, distinct: bool = True) -> DataFrame:
-    """(row1, row2, n, sum_x, sum_y, sum_xy, sum_xx, sum_yy) of pairs of rows, the smaller first."""
-    return _sums(_rows(a, a, distinct))
+def row_pairs(a: DataFrame, b: DataFrame | None = None) -> DataFrame:
+    """(row1, row2, n, sum_x, sum_y, sum_xy, sum_xx, sum_yy) of all rows of a with all of b, or of pairs of a's rows, the smaller first."""
+    return _sums(_rows(a, a if b is None else b, b is None))
 
 
 def _sums(both: DataFrame) -> DataFrame:
@@ -157,19 +157,20 @@ def regressions(a: DataFrame, b: DataFrame) -> DataFrame:
     return g.select("row1", "row2", "c0", "c1", ((F.col("syy") - F.col("c1") * F.col("sxy")) / F.col("n")).alias("chi2"))
 
 
-def bootstrap_correlations(a: DataFrame, times: int, seed: int) -> DataFrame:
+def bootstrap_correlations(a: DataFrame, times: int, seed: int, b: DataFrame | None = None) -> DataFrame:
     """(row1, row2, mean, sd) of correlations over columns drawn with replacement ``times`` times; the draws follow from seed.
 
-    How often a column is drawn is a Poisson number of mean 1, which a hash of seed, draw and column gives.
+    All rows of a with all of b, or all pairs of a. How often a column is drawn is a Poisson number of mean 1, which a hash of seed, draw and
+    column gives: all of its bits that a double can hold.
     """
-    u = F.pmod(F.xxhash64(F.lit(seed), "t", "col"), F.lit(1_000_003)) / 1_000_003
+    u = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "t", "col"), 11) / float(1 << 53)
     weight = F.lit(0)
     mass, below = 0.36787944117144233, 0.0
     for k in range(8):
         below += mass
         weight = F.when(u >= below, k + 1).otherwise(weight) if k else F.when(u >= below, 1).otherwise(0)
         mass /= k + 1
-    drawn = _rows(a, a, True).withColumn("t", F.explode(F.sequence(F.lit(1), F.lit(times)))).withColumn("w", weight).where("w > 0")
+    drawn = _rows(a, a if b is None else b, b is None).withColumn("t", F.explode(F.sequence(F.lit(1), F.lit(times)))).withColumn("w", weight).where("w > 0")
     x, y, w = F.col("x"), F.col("y"), F.col("w")
     s = drawn.groupBy("row1", "row2", "t").agg(F.sum(w).alias("n"), F.sum(w * x).alias("a"), F.sum(w * y).alias("b"), F.sum(w * x * y).alias("ab"), F.sum(w * x * x).alias("aa"), F.sum(w * y * y).alias("bb"))
     r = (F.col("ab") - F.col("a") * F.col("b") / F.col("n")) / F.sqrt((F.col("aa") - F.col("a") * F.col("a") / F.col("n")) * (F.col("bb") - F.col("b") * F.col("b") / F.col("n")))

@@ -178,11 +178,11 @@ def reverse_positions(df: DataFrame, genome: DataFrame) -> DataFrame:
 
 def random_place(df: DataFrame, genome: DataFrame, seed: int) -> DataFrame:
     """Each region at a random place of its chromosome, its inner distances kept; the same seed and rows give the same places."""
-    df = with_bounds(df, genome).withColumn("_u", (F.abs(F.xxhash64(F.lit(seed), "label", F.to_json("intervals"))) % 1_000_003) / 1_000_003)
+    df = with_bounds(df, genome)
     low, high = F.array_min(F.col("intervals.start")), F.array_max(F.col("intervals.stop"))
     room = F.greatest(F.lit(0), F.col("lengths")[F.col("intervals")[0].chrom] - (high - low))
-    df = df.withColumn("_by", F.floor(F.col("_u") * room).cast("long") + 1 - low)
-    return _each(df, lambda i: iv.moved(i, i.start + F.col("_by"), i.stop + F.col("_by"))).drop("_u", "_by", "lengths")
+    df = df.withColumn("_by", F.pmod(F.xxhash64(F.lit(seed), "label", F.to_json("intervals")), room + 1) + 1 - low)
+    return _each(df, lambda i: iv.moved(i, i.start + F.col("_by"), i.stop + F.col("_by"))).drop("_by", "lengths")
 
 
 def offset_list(df: DataFrame, op: str = "1") -> DataFrame:

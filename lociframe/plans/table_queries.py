@@ -20,9 +20,13 @@ def add(name, query, sql=None):
         ORACLE_SQL[name] = sql
 
 
-def _vectors(spark, sf_dir, n=None):
-    v = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("label"), F.transform("embedding", lambda x: F.round(x.cast("double") * 100) + F.lit(0.0)).alias("v"))
-    return v if n is None else v.where(F.col("label") < n)
+def _vectors(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("label"), F.transform("embedding", lambda x: F.round(x.cast("double") * 100) + F.lit(0.0)).alias("v"))
+
+
+def _asked(spark, sf_dir):
+    """The vectors that are compared with all others where pairs of rows are asked for: those whose id 20 divides."""
+    return _vectors(spark, sf_dir).where("label % 20 = 0")
 
 
 VEC = "WITH vec AS (SELECT vec_id AS label, [round(cast(x AS double) * 100) + cast(0 AS double) FOR x IN embedding] AS v FROM embeddings), cell AS (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS i FROM vec) "
@@ -70,7 +74,7 @@ scalar("vc14_q1", lambda v: ar.quantile(v, 0.25), "quantile_cont(x, 0.25)")
 add("vc15_merge", lambda s, d: tb.merge_values(fixture(s, d, "keyed_rows"), "key", "value", "row_id", " ", True, ["user_id"]).select("user_id", "key", "merged"), f"WITH k AS ({SQL['keyed_rows']}), f AS (SELECT *, CASE WHEN lag(key) OVER (PARTITION BY user_id ORDER BY row_id) = key THEN 0 ELSE 1 END AS fresh FROM k), g AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY row_id) AS island FROM f) SELECT user_id, key, string_agg(cast(value AS varchar), ' ' ORDER BY row_id) AS merged FROM g GROUP BY user_id, island, key")
 element("vc16_norm", ar.normalised, "(x - avg(x) OVER (PARTITION BY label)) / stddev_pop(x) OVER (PARTITION BY label) AS y FROM cell")
 element("vc16_norm_range", ar.ranged, "(x - min(x) OVER (PARTITION BY label)) / (max(x) OVER (PARTITION BY label) - min(x) OVER (PARTITION BY label)) AS y FROM cell")
-add("vc17_pairs", lambda s, d: _vectors(s, d, 60).alias("a").join(_vectors(s, d, 60).alias("b"), F.col("a.label") < F.col("b.label")).select(F.concat_ws("|", F.col("a.label").cast("string"), F.col("b.label").cast("string")).alias("label"), (F.col("a.v")[0] + F.col("b.v")[0]).alias("y")), VEC + "SELECT concat(a.label, '|', b.label) AS label, a.v[1] + b.v[1] AS y FROM vec a JOIN vec b ON a.label < b.label WHERE b.label < 60")
+add("vc17_pairs", lambda s, d: _asked(s, d).alias("a").join(_vectors(s, d).alias("b"), F.col("a.label") != F.col("b.label")).select(F.concat_ws("|", F.col("a.label").cast("string"), F.col("b.label").cast("string")).alias("label"), (F.col("a.v")[0] + F.col("b.v")[0]).alias("y")), VEC + "SELECT concat(a.label, '|', b.label) AS label, a.v[1] + b.v[1] AS y FROM vec a JOIN vec b ON a.label <> b.label WHERE a.label % 20 = 0")
 add("vc18_shuffle", lambda s, d: mx.shuffled(_vectors(s, d), 5).select("label", F.array_sort("v")[0].alias("least")), VEC + "SELECT label, min(x) AS least FROM cell GROUP BY label")
 element("vc19_pow", lambda v: ar.powers(v, 2.0), "x * x AS y FROM cell")
 element("vc20_rank", ar.ranks, "cast(row_number() OVER (PARTITION BY label ORDER BY x, i) AS double) AS y FROM cell")
@@ -104,8 +108,9 @@ scalar("vl_variability", ar.variability, "(SELECT avg(s) FROM (SELECT abs(x - la
 element("vl_smooth", lambda v: ar.smoothed(v, 2), "avg(x) OVER (PARTITION BY label ORDER BY i ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS y FROM cell")
 
 # matrices: rows vec_id, columns from 0 -----------------------------------------------------------
-CELLS = lambda s, d, n=None: mx.cells(_vectors(s, d, n))
-MAT = VEC + ", m AS (SELECT label AS \"row\", cast(i AS int) AS col, x AS value FROM cell), few AS (SELECT * FROM m WHERE \"row\" < 40) "
+CELLS = lambda s, d: mx.cells(_vectors(s, d))
+ASKED = lambda s, d: mx.cells(_asked(s, d))
+MAT = VEC + ", m AS (SELECT label AS \"row\", cast(i AS int) AS col, x AS value FROM cell), few AS (SELECT * FROM m WHERE \"row\" % 20 = 0) "
 R = '"row"'
 
 
@@ -123,24 +128,24 @@ add("m06_rstat", lambda s, d: mx.row_stats(CELLS(s, d)).drop("cv"), MAT + f"SELE
 add("m07_csum", lambda s, d: mx.col_sums(CELLS(s, d)), MAT + "SELECT col, sum(value) AS sum FROM m GROUP BY col")
 cellwise("m08_cutoff", lambda m: mx.cutoff(m, 0.0), "CASE WHEN value < 0 THEN 0 ELSE value END")
 cellwise("m09_test", lambda m: mx.test(m, 0.0, True), "CASE WHEN value > 0 THEN 1.0 ELSE 0.0 END::double")
-add("m10_pairs", lambda s, d: mx.row_pairs(CELLS(s, d, 40)), MAT + "SELECT a.\"row\" AS row1, b.\"row\" AS row2, count(*) AS n, sum(a.value) AS sum_x, sum(b.value) AS sum_y, sum(a.value * b.value) AS sum_xy, sum(a.value * a.value) AS sum_xx, sum(b.value * b.value) AS sum_yy FROM few a JOIN few b ON a.col = b.col AND a.\"row\" < b.\"row\" GROUP BY 1, 2")
+add("m10_pairs", lambda s, d: mx.row_pairs(ASKED(s, d), CELLS(s, d)), MAT + "SELECT a.\"row\" AS row1, b.\"row\" AS row2, count(*) AS n, sum(a.value) AS sum_x, sum(b.value) AS sum_y, sum(a.value * b.value) AS sum_xy, sum(a.value * a.value) AS sum_xx, sum(b.value * b.value) AS sum_yy FROM few a JOIN m b ON a.col = b.col GROUP BY 1, 2")
 add("m12_encode", lambda s, d: mx.encode(CELLS(s, d), 100), MAT + f"SELECT {R}, col, cast(col * 100 + trunc(value) AS bigint) AS code FROM m")
-add("m15_shrink", lambda s, d: mx.shrink(mx.cutoff(CELLS(s, d, 40), 25.0)), MAT + f"SELECT {R}, col, CASE WHEN value < 25 THEN 0 ELSE value END AS value FROM few WHERE col IN (SELECT col FROM few WHERE value >= 25)")
+add("m15_shrink", lambda s, d: mx.shrink(mx.cutoff(CELLS(s, d), 25.0)), MAT + f"SELECT {R}, col, CASE WHEN value < 25 THEN 0 ELSE value END AS value FROM m WHERE col IN (SELECT col FROM m WHERE value >= 25)")
 cellwise("m16_mult", lambda m: mx.multiplied(m, 3.0), "value * 3")
-add("m17_diag", lambda s, d: mx.diagonal_band(CELLS(s, d, 64), 5).where(~F.isnan("value")), MAT + f"SELECT {R}, col, value FROM m WHERE {R} < 64 AND abs({R} - col) <= 5")
+add("m17_diag", lambda s, d: mx.diagonal_band(CELLS(s, d), 5).where(~F.isnan("value")), MAT + f"SELECT {R}, col, value FROM m WHERE abs({R} - col) <= 5")
 add("m18_rel", lambda s, d: mx.relative(CELLS(s, d).withColumn("value", F.col("value") + 200)), MAT + f"SELECT {R}, col, value FROM (SELECT {R}, col, (value + 200) / (lag(value) OVER (PARTITION BY {R} ORDER BY col) + 200) AS value FROM m) AS c WHERE col > 0")
 add("m18_rel_first", lambda s, d: mx.relative(CELLS(s, d).withColumn("value", F.col("value") + 200), "first"), MAT + f"SELECT {R}, col, value FROM (SELECT {R}, col, (value + 200) / (first_value(value) OVER (PARTITION BY {R} ORDER BY col) + 200) AS value FROM m) AS c WHERE col > 0")
-add("m18_rel_all", lambda s, d: mx.relative_all(CELLS(s, d, 40).withColumn("value", F.col("value") + 200)), MAT + f"SELECT a.{R}, a.col AS col1, b.col AS col2, (b.value + 200) / (a.value + 200) AS value FROM few a JOIN few b ON a.{R} = b.{R} AND a.col < b.col")
-add("m19_del", lambda s, d: mx.uncorrelated(_vectors(s, d, 120), 0.3).select("label"), VEC.replace("WITH", "WITH RECURSIVE", 1) + """, few AS (SELECT * FROM cell WHERE label < 120), e AS (SELECT a.label AS l1, b.label AS l2 FROM few a JOIN few b ON a.i = b.i AND a.label < b.label GROUP BY 1, 2 HAVING corr(a.x, b.x) > 0.3),
-o AS (SELECT l.label, row_number() OVER (ORDER BY l.label) AS n, (SELECT list(l1) FROM e WHERE l2 = l.label) AS earlier FROM (SELECT DISTINCT label FROM few) AS l),
+add("m18_rel_all", lambda s, d: mx.relative_all(CELLS(s, d).withColumn("value", F.col("value") + 200)), MAT + f"SELECT a.{R}, a.col AS col1, b.col AS col2, (b.value + 200) / (a.value + 200) AS value FROM m a JOIN m b ON a.{R} = b.{R} AND a.col < b.col")
+add("m19_del", lambda s, d: mx.uncorrelated(_vectors(s, d), 0.3).select("label"), VEC.replace("WITH", "WITH RECURSIVE", 1) + """, few AS (SELECT * FROM cell), e AS (SELECT a.label AS l1, b.label AS l2 FROM few a JOIN few b ON a.i = b.i AND a.label < b.label GROUP BY 1, 2 HAVING corr(a.x, b.x) > 0.3),
+g AS MATERIALIZED (SELECT l2, list(l1) AS earlier FROM e GROUP BY l2), o AS MATERIALIZED (SELECT l.label, row_number() OVER (ORDER BY l.label) AS n, earlier FROM (SELECT DISTINCT label FROM few) AS l LEFT JOIN g ON l2 = l.label),
 w AS (SELECT cast(0 AS bigint) AS n, cast([] AS bigint[]) AS kept UNION ALL SELECT o.n, CASE WHEN coalesce(list_has_any(kept, earlier), false) THEN kept ELSE list_append(kept, label) END FROM w JOIN o ON o.n = w.n + 1)
 SELECT unnest(kept) AS label FROM (SELECT arg_max(kept, n) AS kept FROM w) AS x""")
-add("m20_corr", lambda s, d: mx.correlations(CELLS(s, d, 40)), MAT + "SELECT a.\"row\" AS row1, b.\"row\" AS row2, corr(a.value, b.value) AS r FROM few a JOIN few b ON a.col = b.col AND a.\"row\" < b.\"row\" GROUP BY 1, 2")
-add("m21_corrp", lambda s, d: mx.bootstrap_correlations(CELLS(s, d, 12), 20, 3))
-add("m22_diff", lambda s, d: mx.differences(CELLS(s, d, 40).withColumn("value", F.abs("value")), CELLS(s, d, 20).withColumn("value", F.abs("value")), 2.0, 1.0), MAT + "SELECT a.\"row\" AS row1, b.\"row\" AS row2, cast(sum(CASE WHEN abs(a.value) + 1 > 2 * (abs(b.value) + 1) OR abs(b.value) + 1 > 2 * (abs(a.value) + 1) THEN 1 ELSE 0 END) AS bigint) AS n FROM few a JOIN few b ON a.col = b.col AND b.\"row\" < 20 GROUP BY 1, 2")
+add("m20_corr", lambda s, d: mx.correlations(ASKED(s, d), CELLS(s, d)), MAT + "SELECT a.\"row\" AS row1, b.\"row\" AS row2, corr(a.value, b.value) AS r FROM few a JOIN m b ON a.col = b.col GROUP BY 1, 2")
+add("m21_corrp", lambda s, d: mx.bootstrap_correlations(ASKED(s, d), 5, 3, CELLS(s, d)))
+add("m22_diff", lambda s, d: mx.differences(ASKED(s, d).withColumn("value", F.abs("value")), CELLS(s, d).withColumn("value", F.abs("value")), 2.0, 1.0), MAT + "SELECT a.\"row\" AS row1, b.\"row\" AS row2, cast(sum(CASE WHEN abs(a.value) + 1 > 2 * (abs(b.value) + 1) OR abs(b.value) + 1 > 2 * (abs(a.value) + 1) THEN 1 ELSE 0 END) AS bigint) AS n FROM few a JOIN m b ON a.col = b.col GROUP BY 1, 2")
 add("m23_div", lambda s, d: mx.divided(CELLS(s, d), CELLS(s, d).withColumn("value", F.col("value") + 200)), MAT + f"SELECT {R}, col, value / (first_value(value) OVER (PARTITION BY {R} ORDER BY col) + 200) AS value FROM m")
-add("m24_prod", lambda s, d: mx.ratios(CELLS(s, d, 20), CELLS(s, d, 20).withColumn("value", F.col("value") + 200)), MAT + f"SELECT a.{R} AS row1, b.{R} AS row2, a.col, a.value / (b.value + 200) AS value FROM few a JOIN few b ON a.col = b.col WHERE a.{R} < 20 AND b.{R} < 20")
-add("m25_reg", lambda s, d: mx.regressions(CELLS(s, d, 20), CELLS(s, d, 20)).select("row1", "row2", (F.round("c0", 6) + F.lit(0.0)).alias("c0"), (F.round("c1", 6) + F.lit(0.0)).alias("c1"), (F.round("chi2", 4) + F.lit(0.0)).alias("chi2")), MAT + f"SELECT row1, row2, round(c0, 6) + cast(0 AS double) AS c0, round(c1, 6) + cast(0 AS double) AS c1, round((syy - c1 * sxy) / n, 4) + cast(0 AS double) AS chi2 FROM (SELECT a.{R} AS row1, b.{R} AS row2, regr_intercept(b.value, a.value) AS c0, regr_slope(b.value, a.value) AS c1, regr_syy(b.value, a.value) AS syy, regr_sxy(b.value, a.value) AS sxy, count(*) AS n FROM few a JOIN few b ON a.col = b.col WHERE a.{R} < 20 AND b.{R} < 20 GROUP BY 1, 2) AS g")
+add("m24_prod", lambda s, d: mx.ratios(ASKED(s, d), CELLS(s, d).withColumn("value", F.col("value") + 200)), MAT + f"SELECT a.{R} AS row1, b.{R} AS row2, a.col, a.value / (b.value + 200) AS value FROM few a JOIN m b ON a.col = b.col")
+add("m25_reg", lambda s, d: mx.regressions(ASKED(s, d), CELLS(s, d)).select("row1", "row2", (F.round("c0", 6) + F.lit(0.0)).alias("c0"), (F.round("c1", 6) + F.lit(0.0)).alias("c1"), (F.round("chi2", 4) + F.lit(0.0)).alias("chi2")), MAT + f"SELECT row1, row2, round(c0, 6) + cast(0 AS double) AS c0, round(c1, 6) + cast(0 AS double) AS c1, round((syy - c1 * sxy) / n, 4) + cast(0 AS double) AS chi2 FROM (SELECT a.{R} AS row1, b.{R} AS row2, regr_intercept(b.value, a.value) AS c0, regr_slope(b.value, a.value) AS c1, regr_syy(b.value, a.value) AS syy, regr_sxy(b.value, a.value) AS sxy, count(*) AS n FROM few a JOIN m b ON a.col = b.col GROUP BY 1, 2) AS g")
 
 # tables -----------------------------------------------------------------------------------------
 TRI = f"WITH t AS ({SQL['triples']}) "
