@@ -31,6 +31,12 @@ MARKS = set(
     "comment comments commentlist disqus respond replies reply discussion "
     "share sharing social related recommended recommendations copyright legal login search".split()
 )
+#: Of these, the words that mark adverts, and with them what else is no text of an article even where it stands within one.
+ADVERTS = set("ad ads adv advert adverts advertisement advertising adsense adslot sponsor sponsored sponsors promo promoted promotion outbrain taboola".split())
+WITHIN = ADVERTS | set("nav navbar navigation breadcrumb breadcrumbs pagination pager sidebar sidebars cookie cookies consent gdpr popup modal newsletter subscribe paywall comment comments commentlist disqus respond replies share sharing social".split())
+#: Words that say nothing of what a name marks; elements of running text, whose names are anchors and styles.
+PLAIN = set("area box block container content inline item list main section slot text top bottom wrap wrapper".split())
+TEXTUAL = set("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol li dl dt dd table thead tbody tfoot tr td th caption figure figcaption hgroup".split())
 HEADINGS = {"h1", "h2"}
 
 TOKEN = re.compile(
@@ -46,21 +52,37 @@ MARK = re.compile(r"(?<!\S)[^\w\s]+(?!\S)")
 PIECE = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
 
 
-def unwanted(name: str, attrs: str, within: list[str]) -> bool:
-    """Whether an element is no part of an article, by its name, role, class, id or because it is hidden."""
+def marked(name: str, value: str, inside: bool) -> bool:
+    """Whether a class or id says that an element is no part of an article.
+
+    Elements of running text, and all elements within an article or main element, go only by a name that says so with nothing else in it,
+    such as ad-slot or comments: others, such as related-work or search, are names for parts of the article itself.
+    """
+    if name not in TEXTUAL and not inside:
+        return any(p.lower() in MARKS for p in PIECE.findall(value))
+    marks = ADVERTS if name in TEXTUAL else WITHIN
+    for one in value.split():
+        pieces = {p.lower() for p in PIECE.findall(one)} - PLAIN
+        if pieces and pieces <= marks:
+            return True
+    return False
+
+
+def unwanted(name: str, attrs: str, within: Counter, inside: bool) -> bool:
+    """Whether an element is no part of an article, by its name, role, class, id or because it is hidden; within counts the open elements."""
     if name in DROPPED:
-        return name != "footer" or "blockquote" not in within
+        return name != "footer" or not within["blockquote"]
     if name == "header":
-        return not {"article", "main"} & set(within)
+        return not (within["article"] or within["main"])
     if name in ("html", "body", "main"):
         return False
     for key, a, b, c, hidden in ATTR.findall(attrs) if attrs.strip() else ():
         key, value = key.lower(), a or b or c
         if hidden or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
-        if key == "role" and value.lower() in ROLES:
+        if key == "role" and value.lower() in ROLES and not (inside and value.lower() in ("alert", "menu", "toolbar")):
             return True
-        if key in ("class", "id") and any(p.lower() in MARKS for p in PIECE.findall(value)):
+        if key in ("class", "id") and marked(name, value, inside):
             # names such as "has-sidebar" on what holds the article say nothing of it
             if name != "article" or re.search(r"comment|reply|promo|sponsor|\bads?\b|advert|related", value, re.I):
                 return True
@@ -86,6 +108,7 @@ class Page:
         self._tags: list[str] = []
         self._linked = links = 0
         stack: list[tuple[str, bool, int, bool]] = []  # open elements: name, marked or inside such, article number, left out
+        open_: Counter = Counter()
         at = articles = 0
         for m in TOKEN.finditer(source):
             if m.start() > at and not (stack and stack[-1][3]):
@@ -102,21 +125,23 @@ class Page:
             if not out:
                 self._tags.append(name)
             if m["end"]:
-                names = [x[0] for x in stack]
-                if name in names:
+                if open_[name]:
                     if name in DROPPED:
                         self._flush(inside, off)
-                    del stack[len(names) - 1 - names[::-1].index(name) :]
+                    closed = ""
+                    while closed != name:
+                        closed = stack.pop()[0]
+                        open_[closed] -= 1
                 continue
             if name in BLOCKS and stack and name != "br":  # these end an open paragraph; an item ends the item before it
                 for closed in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
                     if stack[-1][0] == closed and (closed == "p" or name == closed or {closed, name} <= {"dt", "dd"} or {closed, name} <= {"td", "th"}):
-                        stack.pop()
+                        open_[stack.pop()[0]] -= 1
                         break
                 off, inside, out = stack[-1][1:] if stack else (False, 0, False)
             if name in VOID or m["attrs"].endswith("/") and name not in BLOCKS:
                 continue
-            if not off and unwanted(name, m["attrs"], [x[0] for x in stack]):
+            if not off and unwanted(name, m["attrs"], open_, bool(inside)):
                 off = True
                 out = name not in BLOCKS
             if name in ("article", "main") and not off and not inside:
@@ -124,6 +149,7 @@ class Page:
                 inside = articles
             if name in BLOCKS or name in DROPPED or off:
                 stack.append((name, off, inside, out))
+                open_[name] += 1
         if not (stack and stack[-1][3]):
             self._add(source[at:], links > 0)
         self._flush(stack[-1][2] if stack else 0, bool(stack and stack[-1][1]))
@@ -190,8 +216,12 @@ def labelled_pages() -> list[tuple[str, set[str]]]:
                 return f"<p>{text} <a href='/'>{some(rng.randint(1, 4), 'x')}</a> <b>{some(1, 'x')}</b> {some(4, 'x')}</p>" if kind < 0.4 else f"<p>{text}</p>"
             if kind < 0.8:
                 return "<ul>" + "".join(f"<li>{some(rng.randint(2, 14), 'x')}</li>" for _ in range(rng.randint(2, 5))) + "</ul>"
-            if kind < 0.9:
+            if kind < 0.85:
                 return f"<blockquote><p>{text}</p></blockquote>"
+            if kind < 0.87:  # an article's own list of links, and tables of a row each
+                return "<ul>" + "".join(f"<li><a href='/{i}'>{some(rng.randint(2, 5), 'x')}</a></li>" for i in range(rng.randint(5, 40))) + "</ul>"
+            if kind < 0.9:
+                return f"<h2>{some(3, 'x')}</h2>" + "".join(f"<table><tr><td>{some(1, 'x')}</td><td>{some(rng.randint(1, 6), 'x')}</td></tr></table>" for _ in range(rng.randint(3, 14)))
             return f"<h2>{some(3, 'x')}</h2><p>{text}</p>" if kind < 0.96 else f"<table><tr><td>{some(4, 'x')}</td><td>{text}</td></tr></table>"
 
         inner = f"<h1>{some(rng.randint(2, 9), 'x')}</h1>" + "".join(paragraph() for _ in range(rng.randint(2, 9)))

@@ -224,6 +224,33 @@ def test_main_text(box):
     assert html_text.main_text(PAGE % body) == "The title One bold & é two Three four five six seven eight nine ten five more words stand in this six more words stand in that one"
 
 
+def test_names_inside_an_article_drop_no_text():
+    some = lambda k, n=30: " ".join(f"word{k}x{i}" for i in range(n))
+    links = "<ul>" + "".join(f"<li><a href='/{i}'>own link {i}</a></li>" for i in range(30)) + "</ul>"
+    tables = "<h2>A table</h2>" + "".join(f"<table><tr><td>cell {i}</td><td>of it</td></tr></table>" for i in range(12))
+    parts = {
+        '<h2 id="search">A heading</h2>': "A heading", '<section id="related-work"><p>Other work.</p></section>': "Other work.", '<p class="legal">By law.</p>': "By law.", '<p class="alert">Mind this.</p>': "Mind this.",
+        '<ul class="menu-items"><li>Soup</li></ul>': "Soup", links: " ".join(f"own link {i}" for i in range(30)), tables: "A table " + " ".join(f"cell {i} of it" for i in range(12)), "<pre><code id='header'>a &lt; b</code></pre>": "a < b",
+        '<div class="ad-slot">Buy now</div>': "", '<div id="comments"><p>First!</p></div>': "", "<p class='advertisement'>Buy now</p>": "", "<nav><a>Home</a></nav>": "", "<form><p>Name</p></form>": "",
+    }
+    for html, text in parts.items():
+        page = f"<html><body><div class='menu'><a>Home</a></div><article><h1>Title</h1><p>{some(1)}</p>{html}<p>{some(2)}</p></article><div class='related'><a>More</a></div></body></html>"
+        assert html_text.main_text(page) == " ".join(f"Title {some(1)} {text} {some(2)}".split()), html
+
+
+def test_nested_and_long_pages_take_time_by_their_length(spark):
+    import time
+
+    began = time.process_time()
+    assert html_text.main_text("<div>" * 100_000 + "some words here" + "</div>" * 100_000) == "some words here"
+    assert html_text.main_text("<div><span></p>" * 100_000 + "some words here") == "some words here"
+    assert time.process_time() - began < 10
+    long = "a word and another " * 60_000
+    assert html_text.main_text(f"<article><p>{long}</p></article>") == long.strip()
+    empty = spark.createDataFrame([], "page_id long, url string, html string")
+    assert html_text.extract(empty).collect() == []
+
+
 def test_odd_pages(spark):
     for page in (None, "", "   ", "<", "<p", "<div class=\"a'>x", "<!-- open", "<script>", "<table><tr><td>", "</div></p>"):
         assert isinstance(html_text.main_text(page), str)
