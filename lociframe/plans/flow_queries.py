@@ -50,12 +50,11 @@ add("io19_vectors", lambda s, d: fm.parse_vectors(table(s, d, "embeddings").sele
 add("io20_matrix_sink", lambda s, d: fm.matrix_lines(pr.bin_bounds(pr.bin_matrix(PAIRS(s, d), 100000), GENOME(s, d), 100000)).agg(F.count("*").alias("n")), _ctes("pairs") + "SELECT count(*) AS n FROM (SELECT DISTINCT * FROM (SELECT chrom1 AS a, (pos1 - 1) // 100000 AS i, chrom2 AS b, (pos2 - 1) // 100000 AS j FROM pairs UNION ALL SELECT chrom2, (pos2 - 1) // 100000, chrom1, (pos1 - 1) // 100000 FROM pairs) AS u) AS v")
 add("s01_view", lambda s, d: fm.view(SAM(s, d), avoid=16, mapq=30, chrom="chr2").select("label"), _ctes("refs") + "SELECT label FROM refs WHERE strand = '+' AND start_ % 60 >= 30 AND chrom = 'chr2'")
 add("s06_idxstats", lambda s, d: fm.index_stats(SAM(s, d)), _ctes("refs") + "SELECT chrom, count(*) AS mapped, cast(0 AS bigint) AS unmapped FROM refs GROUP BY chrom")
-add("s10_flagstat", lambda s, d: fm.flag_stats(SAM(s, d)).select("total", "mapped", "paired"), _ctes("refs") + "SELECT count(*) AS total, count(*) AS mapped, cast(0 AS bigint) AS paired FROM refs")
 add("s12_depth", lambda s, d: fm.depth(single(READS(s, d))), _ctes("reads") + ", e AS (SELECT chrom, start_ AS p, 1 AS v FROM reads UNION ALL SELECT chrom, stop_ + 1, -1 FROM reads), g AS (SELECT chrom, p, sum(v) AS v FROM e GROUP BY chrom, p), r AS (SELECT chrom, p AS start, lead(p) OVER w - 1 AS stop, cast(sum(v) OVER w AS bigint) AS depth FROM g WINDOW w AS (PARTITION BY chrom ORDER BY p)) SELECT * FROM r WHERE depth > 0")
 READSAM = lambda s, d: fm.parse_sam(PAIRS(s, d).select(F.explode(F.array(*[F.concat_ws("\t", F.col("id").cast("string"), F.when(F.col(f"strand{k}") == "-", str(17 + 64 * k)).otherwise(str(1 + 64 * k)), f"chrom{k}", (F.floor(F.col(f"pos{k}") / 50) * 50 + 1).cast("string"), F.lit("30"), F.lit("4M"), F.lit("*"), F.lit("0"), F.lit("0"), F.lit("ACGT"), F.concat(F.chr(F.lit(40) + F.col("id") % 30), F.lit("III")), ) for k in (1, 2)])).alias("value")))
 add("s03_fastq", lambda s, d: fm.fastq_lines(READSAM(s, d)).select(F.md5("value").alias("m")), _ctes("pairs") + ", r AS (SELECT id, strand1 AS strand FROM pairs UNION ALL SELECT id, strand2 FROM pairs) SELECT md5(concat('@', id, chr(10), 'ACGT', chr(10), '+', chr(10), CASE strand WHEN '-' THEN concat('III', chr(cast(40 + id % 30 AS int))) ELSE concat(chr(cast(40 + id % 30 AS int)), 'III') END)) AS m FROM r")
-add("s08_fixmate", lambda s, d: fm.mates(READSAM(s, d)).where("flag IN (65, 81)").select("label", "rnext", "pnext"), _ctes("pairs") + "SELECT cast(id AS varchar) AS label, CASE WHEN chrom1 = chrom2 THEN '=' ELSE chrom2 END AS rnext, pos2 // 50 * 50 + 1 AS pnext FROM pairs")
-add("s09_rmdup", lambda s, d: fm.without_duplicates(READSAM(s, d)).groupBy("chrom").agg(F.count("*").alias("n")), _ctes("pairs") + ", r AS (SELECT chrom1 AS chrom, strand1 AS strand, pos1 // 50 AS p FROM pairs UNION ALL SELECT chrom2, strand2, pos2 // 50 FROM pairs) SELECT chrom, count(DISTINCT concat(strand, p)) AS n FROM r GROUP BY chrom")
+add("s08_fixmate", lambda s, d: fm.mates(READSAM(s, d)).select("label", "flag", "rnext", "pnext", "tlen"), _ctes("pairs") + ", e AS (SELECT id, 1 AS k, strand1 AS strand, chrom1 AS chrom, (pos1 // 50) * 50 + 1 AS p, chrom2 AS c2, (pos2 // 50) * 50 + 1 AS p2 FROM pairs UNION ALL SELECT id, 2, strand2, chrom2, (pos2 // 50) * 50 + 1, chrom1, (pos1 // 50) * 50 + 1 FROM pairs) SELECT cast(id AS varchar) AS label, cast(CASE WHEN strand = '-' THEN 17 ELSE 1 END + 64 * k AS int) AS flag, CASE WHEN chrom = c2 THEN '=' ELSE c2 END AS rnext, p2 AS pnext, CASE WHEN chrom = c2 THEN (abs(p - p2) + 4) * CASE WHEN p <= p2 THEN 1 ELSE -1 END ELSE 0 END AS tlen FROM e")
+add("s09_rmdup", lambda s, d: fm.without_duplicates(READSAM(s, d)).select("label", "flag", "chrom", "pos", "qual"), _ctes("pairs") + ", e AS (SELECT id, 1 AS k, strand1 AS strand, chrom1 AS chrom, (pos1 // 50) * 50 + 1 AS p FROM pairs UNION ALL SELECT id, 2, strand2, chrom2, (pos2 // 50) * 50 + 1 FROM pairs), f AS (SELECT cast(id AS varchar) AS label, cast(CASE WHEN strand = '-' THEN 17 ELSE 1 END + 64 * k AS int) AS flag, chrom, p AS pos, concat(chr(cast(40 + id % 30 AS int)), 'III') AS qual, row_number() OVER (PARTITION BY chrom, strand, p ORDER BY id % 30 DESC, cast(id AS varchar), 64 * k) AS n FROM e) SELECT label, flag, chrom, pos, qual FROM f WHERE n = 1")
 
 
 def on_disk(lines, name, compression="none", files=None):

@@ -335,7 +335,7 @@ def without_duplicates(df: DataFrame) -> DataFrame:
     back = F.col("flag").bitwiseAND(16) != 0
     five = F.when(back, F.element_at("intervals", -1).stop).otherwise(F.element_at("intervals", 1).start)
     total = F.aggregate(F.split("qual", ""), F.lit(0), lambda s, c: s + F.when(c != "", F.ascii(c) - 33).otherwise(0))
-    best = F.max_by(F.struct(*df.columns), F.struct(total, F.col("mapq"), F.xxhash64("label")))
+    best = F.min_by(F.struct(*df.columns), F.struct((-total).alias("t"), "label", "flag"))
     return df.groupBy(F.col("chrom").alias("_c"), five.alias("_f"), back.alias("_b")).agg(best.alias("r")).select("r.*")
 
 
