@@ -107,8 +107,9 @@ def merge(*files: DataFrame) -> DataFrame:
 
 
 def with_header(header: DataFrame, *bodies: DataFrame) -> DataFrame:
-    """Lines (value) of files one after another under one header; header lines of the bodies (those with @) go."""
-    lines = header.select(F.lit(0).alias("_f"), "value")
+    """Lines (value) of files one after another under one header, each in its own order; header lines of the bodies (those with @) go."""
+    numbered = lambda df, k: df.select(F.lit(k).alias("_f"), F.monotonically_increasing_id().alias("_n"), "value")
+    lines = numbered(header, 0)
     for k, body in enumerate(bodies):
-        lines = lines.union(body.where(~F.col("value").startswith("@")).select(F.lit(k + 1), "value"))
-    return lines.orderBy("_f").select("value")
+        lines = lines.union(numbered(body, k + 1).where(~F.col("value").startswith("@")))
+    return lines.orderBy("_f", "_n").select("value")

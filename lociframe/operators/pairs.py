@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from lociframe.operators.overlap import overlap_join
+from lociframe.operators.tiles import TILE, across
 
 #: The classes of read pairs.
 CLASSES = (
@@ -150,9 +151,9 @@ def long_range_track(cells: DataFrame, size: int, least: float = 0.0, max_dist:
     if max_dist is not None:
         rows = rows.where(F.abs(F.col("j") - F.col("i")) * size <= max_dist)
     target = F.concat(F.col("chrom"), F.lit(":"), (F.col("j") * size).cast("string"), F.lit("-"), ((F.col("j") + 1) * size).cast("string"), F.lit(","), F.col("n").cast("string"))
-    w = Window.partitionBy("chrom").orderBy("i", "j")
+    rows = across(rows.select("chrom", "i", "j", "n"), ["chrom"], ["i", "j"], max(1, TILE // size), id=("sum", F.lit(1)))
     flag = F.when(F.col("i") < F.col("j"), "+").when(F.col("i") > F.col("j"), "-").otherwise(".")
-    return rows.select("chrom", (F.col("i") * size).alias("start"), ((F.col("i") + 1) * size).alias("stop"), target.alias("target"), F.row_number().over(w).alias("id"), flag.alias("flag"))
+    return rows.select("chrom", (F.col("i") * size).alias("start"), ((F.col("i") + 1) * size).alias("stop"), target.alias("target"), F.col("id").cast("int").alias("id"), flag.alias("flag"))
 
 
 def best_alignments(reads: DataFrame) -> DataFrame:

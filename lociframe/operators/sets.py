@@ -1,8 +1,7 @@
 """Set-wise operators of single-interval rows (label, chrom, strand, start, stop): windows over sorted rows.
 
-Windows are by chromosome and strand. Where one of these may be larger than a task can sort (it
-spills, so that means time rather than memory), ``link`` first merges inside tiles of the genome, which
-leaves a row for each merged stretch, and only then across tiles.
+Windows are by chromosome, strand and tile (``tiles.across``), with what crosses a tile's border carried. ``link`` first merges
+inside tiles, which leaves a row for each merged stretch, and only then across them.
 """
 
 from __future__ import annotations
@@ -13,18 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-#: Bases of a tile in which rows are merged before the merge across tiles.
-TILE = 1 << 20
+from lociframe.operators.tiles import TILE, across
+
+#: Rows of a chromosome and strand are sorted by these.
+ORDER = ["start", "stop", "label"]
 
 
 def _keys(by_strand: bool) -> list[str]:
     return ["chrom", "strand"] if by_strand else ["chrom"]
 
 
-def _successive(by_strand: bool = True):
-    return Window.partitionBy(*_keys(by_strand)).orderBy("start", "stop", "label")
-
-
 def global_sort(df: DataFrame, by_strand: bool = True) -> DataFrame:
     """By chromosome, strand, start; of equal starts the longer first. A range-partitioned sort."""
     return df.orderBy(*_keys(by_strand), "start", F.desc("stop"), "label")
@@ -43,9 +40,10 @@ def gap_distances(df: DataFrame, op1: str = "2", op2: str = "1") -> DataFrame:
     """``distance`` from each row to the next of its chromosome and strand; NaN at the last."""
     from lociframe.functions import interval as iv
 
-    here, after = F.struct("strand", "start", "stop"), F.lead(F.struct("strand", "start", "stop")).over(_successive())
-    d = iv.coordinate(after, op2) - iv.coordinate(here, op1)
-    return df.withColumn("distance", F.coalesce(d.cast("double"), F.lit(float("nan"))))
+    here = F.struct("strand", "start", "stop")
+    d = iv.coordinate(F.col("_after"), op2) - iv.coordinate(here, op1)
+    rows = across(df, _keys(True), ORDER, _after=("lead", here))
+    return rows.withColumn("distance", F.coalesce(d.cast("double"), F.lit(float("nan")))).drop("_after")
 
 
 def inverse(df: DataFrame, genome: DataFrame) -> DataFrame:
@@ -53,8 +51,7 @@ def inverse(df: DataFrame, genome: DataFrame) -> DataFrame:
 
     Chromosomes and strands without rows give nothing, and a last gap of one base is left out.
     """
-    w = Window.partitionBy("chrom", "strand").orderBy("start", "stop")
-    rows = df.select("chrom", "strand", "start", "stop", F.lag("stop", 1, 0).over(w).alias("before"), F.lead("start").over(w).alias("after"))
+    rows = across(df.select("chrom", "strand", "start", "stop"), _keys(True), ["start", "stop"], before=("lag", F.col("stop")), after=("lead", F.col("start"))).na.fill(0, ["before"])
     head = rows.select("chrom", "strand", (F.col("before") + 1).alias("start"), (F.col("start") - 1).alias("stop"))
     tail = rows.where("after IS NULL").join(F.broadcast(genome), "chrom").where("stop + 1 < size").select("chrom", "strand", (F.col("stop") + 1).alias("start"), F.col("size").alias("stop"))
     return head.where("start <= stop").union(tail).select(F.lit("_").alias("label"), "chrom", "strand", "start", "stop")
@@ -62,7 +59,15 @@ def inverse(df: DataFrame, genome: DataFrame) -> DataFrame:
 
 def _chains(df: DataFrame, keys: Sequence[str], gap: int) -> DataFrame:
     """``chain``: a number for each run of rows that begin at most ``gap`` after all before have ended."""
-    w = Window.partitionBy(*keys).orderBy("start", "stop", *(["label"] if "label" in df.columns else []))
+    order = [c for c in ORDER if c in df.columns]
+    df = across(df, [*keys], order, _reached=("max_before", F.col("stop")))
+    new = F.when(F.col("_reached").isNull() | (F.col("start") - F.col("_reached") > gap), 1).otherwise(0)
+    return across(df.withColumn("_new", new), [*keys], order, chain=("sum", F.col("_new"))).drop("_new", "_reached")
+
+
+def _chains_within(df: DataFrame, keys: Sequence[str], gap: int) -> DataFrame:
+    """_chains of rows of which the keys leave few together: a window for each."""
+    w = Window.partitionBy(*keys).orderBy("start", "stop")
     reached = F.max("stop").over(w.rowsBetween(Window.unboundedPreceding, -1))
     df = df.withColumn("_new", F.when(reached.isNull() | (F.col("start") - reached > gap), 1).otherwise(0))
     return df.withColumn("chain", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
@@ -80,8 +85,8 @@ def link(df: DataFrame, gap: int = 0, by_strand: bool = True, label: str | None
     if label in (None, "min", "max", "sum"):
         f = {"min": F.min, "max": F.max, "sum": F.sum}.get(label or "min")
         df = df.select("chrom", "strand", "start", "stop", number.alias("v"), F.floor(F.col("start") / TILE).alias("tile"))
-        part = _chains(df, [*keys, "tile"], gap).groupBy(*keys, "tile", "chain").agg(*strand, F.min("start").alias("start"), F.max("stop").alias("stop"), f("v").alias("v"))
-        whole = _chains(part.drop("chain"), keys, gap).groupBy(*keys, "chain").agg(*strand, F.min("start").alias("start"), F.max("stop").alias("stop"), f("v").alias("v"))
+        part = _chains_within(df, [*keys, "tile"], gap).groupBy(*keys, "tile", "chain").agg(*strand, F.min("start").alias("start"), F.max("stop").alias("stop"), f("v").alias("v"))
+        whole = _chains_within(part.drop("chain"), keys, gap).groupBy(*keys, "chain").agg(*strand, F.min("start").alias("start"), F.max("stop").alias("stop"), f("v").alias("v"))
         text = F.lit("_") if label is None else F.when(F.col("v") == F.floor("v"), F.col("v").cast("long").cast("string")).otherwise(F.col("v").cast("string"))
         return whole.select(text.alias("label"), "chrom", "strand", "start", "stop")
     labels = F.array_join(F.array_sort(F.collect_list(F.struct("start", "stop", "label")))["label"], label)
@@ -91,9 +96,8 @@ def link(df: DataFrame, gap: int = 0, by_strand: bool = True, label: str | None
 
 def test_sorted(df: DataFrame, by_strand: bool = True) -> DataFrame:
     """One row: rows, how many lie inside the row before, and how many overlap it, in sorted order."""
-    w = _successive(by_strand)
-    before, start = F.lag("stop").over(w), F.lag("start").over(w)
-    rows = df.select(((F.col("start") >= start) & (F.col("stop") <= before)).alias("inside"), (F.col("start") <= before).alias("meets"))
+    rows = across(df.select("chrom", "strand", *ORDER), _keys(by_strand), ORDER, before=("lag", F.col("stop")), begun=("lag", F.col("start")))
+    rows = rows.select(((F.col("start") >= F.col("begun")) & (F.col("stop") <= F.col("before"))).alias("inside"), (F.col("start") <= F.col("before")).alias("meets"))
     one = lambda c: F.coalesce(F.sum(F.col(c).cast("long")), F.lit(0))
     return rows.agg(F.count("*").alias("n"), one("inside").alias("inclusions"), one("meets").alias("overlaps"))
 
@@ -103,8 +107,7 @@ def partition(df: DataFrame) -> DataFrame:
     from lociframe.operators.overlap import overlap_join
 
     cuts = df.select("chrom", "strand", F.explode(F.array(F.col("start"), F.col("stop") + 1)).alias("start")).distinct()
-    w = Window.partitionBy("chrom", "strand").orderBy("start")
-    parts = cuts.withColumn("stop", F.lead("start").over(w) - 1).where("stop IS NOT NULL")
+    parts = across(cuts, _keys(True), ["start"], after=("lead", F.col("start"))).where("after IS NOT NULL").select("chrom", "strand", "start", (F.col("after") - 1).alias("stop"))
     both = overlap_join(parts, df)
     return both.groupBy(*[F.col(f"a_{c}").alias(c) for c in ("chrom", "strand", "start", "stop")]).agg(F.array_join(F.sort_array(F.collect_list("b_label")), ",").alias("label"))
 
@@ -143,9 +146,8 @@ def upstream(df: DataFrame, most: int = 1_000_000, least: int = 10_000) -> DataF
 
     A territory reaches up to ``most`` bases before the 5' end, to the nearest gene body before it.
     """
-    w = Window.partitionBy("chrom", "strand").orderBy("start", "stop", "label")
-    before = F.max("stop").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    after = F.min("start").over(w.rowsBetween(1, Window.unboundedFollowing))
+    df = across(df.select("label", "chrom", "strand", "start", "stop"), _keys(True), ORDER, _before=("max_before", F.col("stop")), _after=("min_after", F.col("start")))
+    before, after = F.col("_before"), F.col("_after")
     plus = F.col("strand") == "+"
     low = F.when(plus, F.least(F.greatest(F.col("start") - most, F.coalesce(before + 1, F.col("start") - most)), F.col("start") - least)).otherwise(F.col("stop") + 1)
     high = F.when(plus, F.col("start") - 1).otherwise(F.greatest(F.least(F.col("stop") + most, F.coalesce(after - 1, F.col("stop") + most)), F.col("stop") + least))
