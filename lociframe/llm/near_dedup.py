@@ -8,7 +8,6 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from lociframe.llm.common import batches_of, components, keep, rows_of, small
 
@@ -252,12 +251,15 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = keep(signatures(docs, words), "signatures")
     full = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL")
-    classes = full.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    member = keep(full.select("doc_id", "n_shingles", "digest").join(classes, "digest").select("doc_id", "n_shingles", "rep"), "members")
-    node = full.join(classes, (full.digest == classes.digest) & (full.doc_id == classes.rep), "left_semi")
+    # only sets that repeat are looked up, and only keys that do: a hot one costs the counting no task all its rows
+    repeated = keep(full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("digest", "rep"), "repeated")
+    full = full.join(small(repeated, 64), "digest", "left").withColumn("rep", F.coalesce("rep", "doc_id"))
+    member = keep(full.select("doc_id", "n_shingles", "rep"), "members")
+    node = full.where("doc_id = rep")
 
     bands = node.select(F.col("doc_id").alias("node"), F.explode("bands").alias("key"))
-    shared = bands.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1")
+    counts = keep(bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "counts")
+    shared = bands.join(small(counts, 32), "key")
     shared = shared.join(node.select(F.col("doc_id").alias("node"), "sketch"), "node")
     close = components(_in_groups(shared, "key", "n", forest).distinct(), "close")
 
