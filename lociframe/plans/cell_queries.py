@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lociframe.operators import contact as ct
 from lociframe.operators import pairs as pr
 from lociframe.operators import scan as sc
-from lociframe.sources.fixtures import SQL, fixture, regions
+from lociframe.sources.fixtures import SQL, fixture, regions, table
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -39,7 +39,10 @@ ONE = WINDOWS.format(strand="'+'", pos="start_")
 TWO = ONE.replace(", p AS", ", p2 AS").replace("FROM p ", "FROM p2 ").replace(", w AS (", ", w2 AS (").replace("FROM w ", "FROM w2 ").replace("win AS", "win2 AS")
 add("sc03_peaks_control", lambda s, d: sc.peaks(READS(s, d).where("strand = '+'"), GENOME(s, d), READS(s, d).where("strand = '-'"), 500, 25, 10, "binomial", 1e-2).select("chrom", "start", "stop", "v1", "v2"), _ctes("reads") + ONE.replace("FROM reads", "FROM reads WHERE strand = '+'") + TWO.replace("FROM reads", "FROM reads WHERE strand = '-'") + """, q AS (SELECT a.chrom, a.start, a.stop, least(a.n, 500) AS v1, cast(least(coalesce(b.n, 0), 500) AS double) AS v2 FROM win a LEFT JOIN win2 b ON a.chrom = b.chrom AND a.start = b.start WHERE a.n >= 10), l AS (SELECT avg(CASE strand WHEN '+' THEN 1.0 ELSE 0.0 END) AS p FROM reads)
 SELECT chrom, start, stop, v1, v2 FROM q CROSS JOIN l WHERE list_sum([exp(lgamma(v1 + v2 + 1) - lgamma(t + 1) - lgamma(v1 + v2 - t + 1) + t * ln(p) + (v1 + v2 - t) * ln(1 - p)) FOR t IN range(v1, cast(v1 + v2 AS bigint) + 1)]) <= 1e-2""")
-add("sc04_tails", lambda s, d: s.range(60).select("id", F.round(sc.tail("poisson", F.col("id") - 1, F.lit(100), F.lit(0.2)), 9).alias("poisson"), F.round(sc.tail("binomial", F.col("id") - 1, F.lit(60), F.lit(0.3)), 9).alias("binomial"), F.round(sc.tail("normal", F.col("id"), F.lit(100), F.lit(0.2)), 9).alias("normal")))
+PARTS = lambda s, d: table(s, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").cast("long").alias("k"))
+add("sc04_tails", lambda s, d: PARTS(s, d).select("id", F.round(sc.tail("poisson", F.col("k") - 1, F.lit(100), F.lit(0.2)), 8).alias("poisson"), F.round(sc.tail("binomial", F.col("k") - 1, F.lit(60), F.lit(0.3)), 8).alias("binomial"), F.round(sc.tail("normal", F.col("k"), F.lit(100), F.lit(0.2)), 8).alias("normal")), """SELECT p_partkey AS id, round(1 - list_sum([exp(i * ln(20) - 20 - lgamma(i + 1)) FOR i IN range(p_size)]), 8) AS poisson,
+round(list_sum([exp(lgamma(61) - lgamma(i + 1) - lgamma(61 - i) + i * ln(0.3) + (60 - i) * ln(0.7)) FOR i IN range(p_size, 61)]), 8) AS binomial,
+round(list_sum([(CASE WHEN j IN (0, 2400) THEN 1 WHEN j % 2 = 1 THEN 4 ELSE 2 END) * exp(0 - pow((p_size - 20.0) / 4 + j * 0.005, 2) / 2) FOR j IN range(2401)]) * 0.005 / 3 / sqrt(2 * pi()), 8) AS normal FROM part""")
 PV = lambda col: lambda s, d: PAIRS(s, d).select(((F.col(col) % 9973 + 1) / 9974.0).alias("p"))
 OBS = lambda s, d: PAIRS(s, d).select((((F.col("pos1") % 9973 + 1) / 9974.0) * ((F.col("pos2") % 97 + 1) / 98.0)).alias("p"))
 add("sc05_qvalue", lambda s, d: sc.q_cutoff(OBS(s, d), PV("pos2")(s, d), 0.5), _ctes("pairs") + ", o AS (SELECT (pos1 % 9973 + 1) / 9974.0::double * ((pos2 % 97 + 1) / 98.0::double) AS p FROM pairs), r AS (SELECT (pos2 % 9973 + 1) / 9974.0::double AS p FROM pairs), b AS (SELECT p, 1 AS o, 0 AS r FROM o UNION ALL SELECT p, 0, 1 FROM r), g AS (SELECT p, sum(o) AS o, sum(r) AS r FROM b GROUP BY p), c AS (SELECT p, o, sum(o) OVER (ORDER BY p) AS n, sum(r) OVER (ORDER BY p) AS m FROM g) SELECT max(p) AS p FROM c WHERE o > 0 AND m / n <= 0.5")

@@ -73,8 +73,10 @@ add("io01_text", lambda s, d: rg.flat(fm.read_regions(s, on_disk(with_heads(fm.r
 add("io02_gzip", lambda s, d: rg.flat(fm.read_regions(s, on_disk(fm.reg_lines(single(REFS(s, d))), "zipped", "gzip"))), REFLAT)
 add("io04_factory", lambda s, d: rg.flat(fm.read_regions(s, on_disk(with_heads(fm.bed_lines(single(REFS(s, d))), "track name=x", "browser position chr1"), "bed", files=1))), REFLAT)
 add("io10_seq", lambda s, d: fm.read_seq(s, on_disk(REFS(s, d).select(F.concat(F.lit(">"), "label", F.lit("\t"), F.concat_ws(" ", "chrom", "strand", F.col("start").cast("string"), F.col("stop").cast("string")), F.lit("\nACGT"), F.lpad(F.lit(""), 3, "N"), "label").alias("value")), "seq")).select("label", "seq", F.explode("intervals").alias("i")).select("label", "seq", "i.*"), _ctes("refs") + "SELECT label, concat('ACGTNNN', label) AS seq, chrom, strand, start_ AS start, stop_ AS stop FROM refs")
-add("io11_bounds", lambda s, d: fm.read_bounds(s, on_disk(GENOME(s, d).select(F.concat_ws("\t", "chrom", F.concat_ws(" ", "chrom", F.lit("+"), F.lit("1"), F.col("size").cast("string"))).alias("value")), "bounds")), _ctes("bounds") + "SELECT chrom, size FROM bounds")
-add("io12_fasta", lambda s, d: fm.read_chromosomes(s, on_disk(GENOME(s, d).select(F.concat(F.lit(">"), "chrom", F.lit(" note\n"), F.repeat(F.lit("ACGTT\n"), 40)).alias("value")), "fasta"), 64).select("chrom", "chunk", "seq"), _ctes("bounds") + "SELECT chrom, k AS chunk, substr(repeat('ACGTT', 40), cast(64 * k + 1 AS int), 64) AS seq FROM bounds CROSS JOIN range(4) AS ks(k)")
+REACHED = lambda s, d: READS(s, d).groupBy("chrom").agg(F.max("stop").alias("size"))
+add("io11_bounds", lambda s, d: fm.read_bounds(s, on_disk(REACHED(s, d).select(F.concat_ws("\t", "chrom", F.concat_ws(" ", "chrom", F.lit("+"), F.lit("1"), F.col("size").cast("string"))).alias("value")), "bounds")), _ctes("reads") + "SELECT chrom, max(stop_) AS size FROM reads GROUP BY chrom")
+LETTERS = lambda c: F.translate(F.md5(c), "0123456789abcdef", "ACGTACGTACGTACGN")
+add("io12_fasta", lambda s, d: fm.read_chromosomes(s, on_disk(REFS(s, d).select(F.concat(F.lit(">"), "label", F.lit(" note\n"), LETTERS(F.col("label")), F.lit("\n"), LETTERS(F.col("chrom")), F.substring(LETTERS(F.concat("label", "chrom")), 1, 15), F.lit("\n")).alias("value")), "fasta"), 64).select("chrom", "chunk", "seq"), _ctes("refs") + ", q AS (SELECT label, concat(translate(md5(label), '0123456789abcdef', 'ACGTACGTACGTACGN'), translate(md5(chrom), '0123456789abcdef', 'ACGTACGTACGTACGN'), translate(md5(concat(label, chrom)), '0123456789abcdef', 'ACGTACGTACGTACGN')[1:15]) AS seq FROM refs) SELECT label AS chrom, k AS chunk, substr(seq, cast(64 * k + 1 AS int), 64) AS seq FROM q CROSS JOIN range(2) AS ks(k)")
 add("io13_header", lambda s, d: fm.header_lines(s, on_disk(with_heads(fm.bed_lines(single(REFS(s, d))), "track name=x", "# y", "@SQ\tSN:chr1"), "heads")), "SELECT * FROM (VALUES ('track name=x'), ('# y'), (concat('@SQ', chr(9), 'SN:chr1'))) AS v(value)")
 add("io24_concat", lambda s, d: rg.flat(fm.read_regions(s, [on_disk(fm.reg_lines(single(REFS(s, d).where("strand = '+'"))), "plus", "gzip"), on_disk(fm.reg_lines(single(REFS(s, d).where("strand = '-'"))), "minus")], "reg")), REFLAT)
 add("io25_skip", lambda s, d: fm.read_lines(s, on_disk(with_heads(REFS(s, d).select("label"), "a", "b").coalesce(1).sortWithinPartitions("value"), "skip"), skip=2).agg(F.count("*").alias("n"), F.min("value").alias("first")), _ctes("refs") + "SELECT count(*) AS n, min(label) AS first FROM refs")
@@ -139,7 +141,7 @@ add("q11_change_track", lambda s, d: pl.change_track(DOM(s, d).select("chrom", "
 add("q12_browser_track", lambda s, d: pl.browser_track(PAIRS(s, d), 10000, 3).drop("id"), CON + "SELECT chrom, i * 10000 AS start, (i + 1) * 10000 AS stop, concat(chrom, ':', j * 10000, '-', (j + 1) * 10000, ',', cast(x AS bigint)) AS target, CASE WHEN i < j THEN '+' WHEN i > j THEN '-' ELSE '.' END AS flag FROM ful WHERE x > 3")
 add("q13_coverage_track", lambda s, d: pl.coverage_track(READS(s, d), 1e6), _ctes("reads") + ORACLE_SQL["s12_depth"].removeprefix(_ctes("reads")).replace("SELECT * FROM r WHERE depth > 0", "SELECT chrom, start, stop, cast(depth AS double) AS value FROM r WHERE depth > 0"))
 add("q14_run_plan", lambda s, d: pl.run_plan(SHEET(s, d), "group"), SHEET_SQL + ", g AS (SELECT \"group\" AS o, string_agg(sample, ',' ORDER BY sample) AS m FROM sheet GROUP BY 1) SELECT concat(a.o, '.', b.o) AS objects, concat(a.m, ';', b.m) AS members FROM g a JOIN g b ON a.o < b.o")
-add("c13_compare_norm", lambda s, d: pl.compare_contacts(CELLS(s, d), OTHER(s, d), SIZES(s, d), [5, 20]).select("chrom", "dist", F.round("r", 6).alias("r")))
+add("c13_compare_norm", lambda s, d: pl.compare_contacts(CELLS(s, d), OTHER(s, d), SIZES(s, d), [5, 20]).select("chrom", "dist", F.round("r", 6).alias("r")), CON + ", eo AS (SELECT chrom, j - i AS d, sum(x) / (101 - (j - i)) AS e FROM other GROUP BY chrom, j - i), na AS (SELECT c.chrom, i, j, x / e AS a FROM cells c JOIN ex ON ex.chrom = c.chrom AND d = j - i), nb AS (SELECT c.chrom, i, j, x / e AS b FROM other c JOIN eo ON eo.chrom = c.chrom AND d = j - i), ab AS (SELECT chrom, i, j, coalesce(a, 0) AS a, coalesce(b, 0) AS b FROM na FULL JOIN nb USING (chrom, i, j)) SELECT chrom, cast(t AS int) AS dist, round(corr(a, b), 6) AS r FROM ab JOIN (VALUES (5), (20)) AS ts(t) ON j - i <= t GROUP BY chrom, t")
 
 # a table of samples from its values to the rows that change
 SAMPLES = lambda s, d: table(s, d, "embeddings").select(F.col("vec_id").alias("row"), *[(F.round(F.col("embedding")[k].cast("double") * 100) + 400).alias(f"c{k}") for k in range(4)])
