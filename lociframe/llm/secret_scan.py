@@ -23,7 +23,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
 
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-ESCAPED = re.compile(r"(?:\\x[0-9A-Fa-f]{2})+|(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
+ESCAPED = re.compile(r"(?:\\x[0-9A-Fa-f]{2})+|(?:\\u[0-9A-Fa-f]{4})+|(?:%u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
 # Lines of base64 that follow each other are one run; a compressed secret takes 14 letters or more.
 LETTERS = r"[A-Za-z0-9+/_-]"
 BASE64 = re.compile(rf"{LETTERS}{{14,}}(?:[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t>#*]*{LETTERS}{{14,}})*(?:[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t>#*]*{LETTERS}+)?")
@@ -50,41 +50,99 @@ def find(text: str) -> Iterator[tuple[str, int, int]]:
         yield "hex", m.start(), m.end()
 
 
-def _streams(data: memoryview) -> Iterator[tuple[bytes, int]]:
-    """(bytes, end of the data read) of compressed data, piece by piece: all members, and what comes before a fault."""
-    at = 0
-    while MAGIC.match(data, at):
-        head = bytes(data[at : at + 2])
-        d = bz2.BZ2Decompressor() if head == b"BZ" else lzma.LZMADecompressor() if head == b"\xfd7" else zlib.decompressobj(47)
-        while at < len(data) and not d.eof:
-            part = data[at : at + 4096]
+def _streams(chunks: Iterator[bytes], state: dict | None = None) -> Iterator[tuple[bytes, int]]:
+    """(bytes, how much was read) of compressed data, piece by piece: all members, and what comes before a fault.
+
+    state, if given, says at the end whether the data ended within a member.
+    """
+    state = {} if state is None else state
+    state["cut"] = False
+    data, read, more = b"", 0, True
+
+    def enough() -> None:
+        nonlocal data, more
+        while more and len(data) < 8:
+            part = next(chunks, None)
+            more, data = part is not None, data + (part or b"")
+
+    enough()
+    while MAGIC.match(data):
+        d = bz2.BZ2Decompressor() if data[:2] == b"BZ" else lzma.LZMADecompressor() if data[:2] == b"\xfd7" else zlib.decompressobj(47)
+        flat = data[:1] in (b"\x1f", b"\x78")
+        state["cut"] = True
+        while not d.eof:
             try:
-                out = d.decompress(part, OVERLAP)
-                at += len(part)
-                yield out, at - len(d.unused_data)
-                while not d.eof and (out := d.decompress(d.unconsumed_tail if head[:1] in b"\x1f\x78" else b"", OVERLAP)):
-                    yield out, at
+                out = d.decompress(data, OVERLAP)
+                read += len(data)
+                yield out, read - len(d.unused_data)
+                while not d.eof and (out := d.decompress(d.unconsumed_tail if flat else b"", OVERLAP)):
+                    yield out, read
             except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+                state["cut"] = False
                 return
-        at -= len(d.unused_data)
+            if not d.eof:
+                data = next(chunks, None)
+                if data is None:
+                    return
+        state["cut"] = False
+        data = d.unused_data
+        read -= len(data)
+        enough()
 
 
-def inflated(data: bytes, start: int = 0) -> Iterator[tuple[bytes, int]]:
-    """(content, end of the data read) of gzip, zlib, bzip2 or xz data from start, in windows; nothing of other data."""
-    view, held, size, end = memoryview(data)[start:], [], 0, 0
-    for out, end in _streams(view):
+def _skipped(pieces: Iterator[tuple[bytes, int]], n: int) -> Iterator[bytes]:
+    """What pieces hold from their n-th byte on."""
+    for out, _ in pieces:
+        if n < len(out):
+            yield out[n:]
+        n = max(0, n - len(out))
+
+
+def _ends_within(data: bytes) -> bool:
+    """Whether compressed data begins here that goes on after the data."""
+    state: dict = {}
+    for _ in _streams(iter([data]), state):
+        pass
+    return state["cut"]
+
+
+def _windows(source: Callable[[], Iterator[bytes]], level: int = 1) -> Iterator[tuple[bytes, int, int]]:
+    """(content, how much was read, level) of compressed data in windows, and of what is compressed within it and crosses a window's end.
+
+    Such a layer is read from its beginning on, by inflating what is around it once more, so it is whole; of level 1 is the data's own content.
+    """
+    held, size, base, end, first = [], 0, 0, 0, 0
+    for out, end in _streams(source()):
         held.append(out)
         size += len(out)
         if size >= WINDOW:
             whole = b"".join(held)
-            yield whole, start + end
+            yield whole, end, level
+            for m in MAGIC.finditer(whole, first):
+                if _ends_within(whole[m.start() :]):
+                    yield from _windows(lambda at=base + m.start(): _skipped(_streams(source()), at), level + 1)
+            base, first = base + len(whole) - OVERLAP, OVERLAP
             held, size = [whole[-OVERLAP:]], OVERLAP
     if size:
-        yield b"".join(held), start + end
+        yield b"".join(held), end, level
+
+
+def inflated(data: bytes, start: int = 0) -> Iterator[tuple[bytes, int]]:
+    """(content, end of the data read) of gzip, zlib, bzip2 or xz data from start, in windows; nothing of other data.
+
+    Compressed layers in it that no window holds whole follow the window in which they begin.
+    """
+    view = memoryview(data)[start:]
+    done = 0
+    for window, end, level in _windows(lambda: (bytes(view[at : at + 4096]) for at in range(0, len(view), 4096))):
+        done = max(done, end) if level == 1 else done
+        yield window, start + done
 
 
 def _unescaped(run: str) -> str | None:
     """What one run of escapes stands for; a byte that is not UTF-8 becomes the code point of surrogateescape."""
+    if run[:2] == "%u":
+        return bytes.fromhex(run.replace("%u", "")).decode("utf-16-be", "replace")
     if run[0] == "%" or run[:2] == "\\x":
         return bytes.fromhex(run.replace("%", "").replace("\\x", "")).decode("utf-8", "surrogateescape")
     try:
@@ -129,8 +187,8 @@ def _substituted(text: str, pattern: re.Pattern, up: Up) -> tuple[str, Up] | Non
             out.append(text[at:s])
             pieces.append((n, at, s, True))
             n += s - at
-        unit = 3 if m[0][0] == "%" else 4 if m[0][:2] == "\\x" else 0
-        if unit or m[0][:2] == "\\u" and m[0][2] != "{":
+        unit = 4 if m[0][:2] == "\\x" else 3 if m[0][0] == "%" and m[0][1] != "u" else 0
+        if unit or m[0][:2] in ("\\u", "%u") and m[0][2] != "{":
             for ch in new:  # each character has its own bytes
                 e = s + (unit * len(_bytes(ch)) if unit else 12 if ord(ch) > 0xFFFF else 6)
                 pieces.append((n, s, e, False))
@@ -188,7 +246,7 @@ def unwrapped(layer: str | bytes, up: Up) -> Iterator[tuple[str, str | bytes, Up
         yield from _in_bytes(layer, up)
         return
     for name, pattern, mark in (("url", PERCENT, "%"), ("unicode", ESCAPED, None)):
-        if (mark in layer if mark else "\\" in layer or "&#" in layer) and (got := _substituted(layer, pattern, up)):
+        if (mark in layer if mark else "\\" in layer or "&#" in layer or "%u" in layer) and (got := _substituted(layer, pattern, up)):
             inner, mapped = got
             yield name, inner, mapped
             if MAGIC.search(data := _bytes(inner)):
@@ -206,7 +264,8 @@ def scan_text(text: str | None) -> list[tuple[str, int, int, int, str, str]]:
     A worklist holds the layers not yet looked at, text or bytes, of each depth the next one only, so
     that a layer of any size is held a window at a time. A layer that was seen before at its place is
     not entered again, so compressed data that holds itself ends, too. Spans are those of the root text that the secret,
-    or the wrapping around it, takes. Of compressed data over WINDOW bytes, a secret or layer of over OVERLAP bytes may be cut.
+    or the wrapping around it, takes. Of compressed data over WINDOW bytes, a plain secret of over OVERLAP bytes may be cut; compressed layers within it are
+    whole (``_windows``).
     """
     if not text:
         return []

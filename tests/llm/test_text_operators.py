@@ -85,17 +85,32 @@ PACKED = random.Random(4).randbytes(150).hex().encode()[:90] + f" {KEY} ".encode
         "%FF" + "".join(f"%{c:02X}" for c in KEY.encode()),
         "".join(f"\\x{c:02x}" for c in b"\xff\xfe" + KEY.encode()),
         urllib.parse.quote(zlib.compress(KEY.encode()), safe=""),
+        "".join(f"%u{ord(c):04x}" for c in f"😀 {KEY} "[1:]),
         "x/" + b64(("y/" + b64(gzip.compress(lines_of(b64(KEY.encode()), 20).encode()))).encode()),
         b64(lzma.compress(PACKED)),
         b64(gzip.compress(bytes(40 << 20) + KEY.encode())),  # three windows
     ],
-    ids=range(16),
+    ids=range(17),
 )
 def test_secrets_in_layers_that_are_not_whole(text):
     got = [(s, e, v) for k, s, e, _, _, v in secret_scan.scan_text(f"é before {text} after") if k == "access"]
     assert [v for *_, v in got] == [KEY] and 9 <= got[0][0] < got[0][1] <= 9 + len(text)
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+@pytest.mark.parametrize("before", [0, 30_000, 64_000, 65_530, 100_000, 131_000])
+def test_layers_across_windows_are_whole(monkeypatch, pack, before):
+    monkeypatch.setattr(secret_scan, "WINDOW", 1 << 16)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 1 << 12)
+    rng = random.Random(before)
+    inner = gzip.compress(rng.randbytes(20_000) + f" {KEY} ".encode() + rng.randbytes(20_000))
+    deep = gzip.compress(rng.randbytes(70_000) + inner + rng.randbytes(70_000))  # and one more within it
+    for layer in (inner, deep):
+        text = "x " + b64(pack(b"." * before + layer + b"." * 90_000)) + " y"
+        got = [(s, e) for k, s, e, _, _, v in secret_scan.scan_text(text) if k == "access" and v == KEY]
+        assert got and all(2 <= s < e <= len(text) - 2 for s, e in got)
+
+
 def test_compressed_secret_of_few_letters():
     assert [f[5] for f in secret_scan.scan_text(b64(zlib.compress(b"a" * 16)))] == ["a" * 16]
 
