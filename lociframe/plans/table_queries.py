@@ -140,7 +140,7 @@ add("m19_del", lambda s, d: mx.uncorrelated(_vectors(s, d), 0.3).select("label")
 g AS MATERIALIZED (SELECT l2, list(l1) AS earlier FROM e GROUP BY l2), o AS MATERIALIZED (SELECT l.label, row_number() OVER (ORDER BY l.label) AS n, earlier FROM (SELECT DISTINCT label FROM few) AS l LEFT JOIN g ON l2 = l.label),
 w AS (SELECT cast(0 AS bigint) AS n, cast([] AS bigint[]) AS kept UNION ALL SELECT o.n, CASE WHEN coalesce(list_has_any(kept, earlier), false) THEN kept ELSE list_append(kept, label) END FROM w JOIN o ON o.n = w.n + 1)
 SELECT unnest(kept) AS label FROM (SELECT arg_max(kept, n) AS kept FROM w) AS x""")
-add("m20_corr", lambda s, d: mx.correlations(ASKED(s, d), CELLS(s, d)), MAT + "SELECT a.\"row\" AS row1, b.\"row\" AS row2, round(corr(a.value, b.value), 9) + cast(0 AS double) AS r FROM few a JOIN m b ON a.col = b.col GROUP BY 1, 2")
+add("m20_corr", lambda s, d: mx.correlations(ASKED(s, d), CELLS(s, d)).withColumn("r", F.round("r", 9) + F.lit(0.0)), MAT + "SELECT a.\"row\" AS row1, b.\"row\" AS row2, round(corr(a.value, b.value), 9) + cast(0 AS double) AS r FROM few a JOIN m b ON a.col = b.col GROUP BY 1, 2")
 add("m21_corrp", lambda s, d: mx.bootstrap_correlations(ASKED(s, d), 5, 3, CELLS(s, d)))
 add("m22_diff", lambda s, d: mx.differences(ASKED(s, d).withColumn("value", F.abs("value")), CELLS(s, d).withColumn("value", F.abs("value")), 2.0, 1.0), MAT + "SELECT a.\"row\" AS row1, b.\"row\" AS row2, cast(sum(CASE WHEN abs(a.value) + 1 > 2 * (abs(b.value) + 1) OR abs(b.value) + 1 > 2 * (abs(a.value) + 1) THEN 1 ELSE 0 END) AS bigint) AS n FROM few a JOIN m b ON a.col = b.col GROUP BY 1, 2")
 add("m23_div", lambda s, d: mx.divided(CELLS(s, d), CELLS(s, d).withColumn("value", F.col("value") + 200)), MAT + f"SELECT {R}, col, value / (first_value(value) OVER (PARTITION BY {R} ORDER BY col) + 200) AS value FROM m")
