@@ -434,27 +434,6 @@ def quadrants(cells: DataFrame, split_i: int, split_j: int) -> DataFrame:
     return cells.groupBy("chrom").agg((one(a & ~b) / F.nullif(one(~a & ~b), F.lit(0.0))).alias("ratio"))
 
 
-def plateaus(cells: DataFrame, tolerance: float) -> DataFrame:
-    """(chrom, parts): connected parts of near-equal neighbouring cells of dense rows (chrom, i, j, x); eight neighbours count.
-
-    The smallest number spreads along links, and by pointers to what it points to, until nothing changes.
-    """
-    rows = cells.select("chrom", "x", F.col("i"), F.col("j"), F.xxhash64("chrom", "i", "j").alias("id"))
-    near = rows.withColumn("di", F.explode(F.array(*[F.lit(k) for k in (0, 1)]))).withColumn("dj", F.explode(F.array(*[F.lit(k) for k in (-1, 0, 1)]))).where("di = 1 OR dj = 1")
-    near = near.select("chrom", (F.col("i") + F.col("di")).alias("i"), (F.col("j") + F.col("dj")).alias("j"), F.col("x").alias("y"), F.col("id").alias("other"))
-    links = keep(rows.join(near, ["chrom", "i", "j"]).where(F.abs(F.col("x") - F.col("y")) <= tolerance).select(F.col("id").alias("u"), F.col("other").alias("v")), "links")
-    both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    state = keep(rows.select("chrom", "id", F.col("id").alias("root")), "state")
-    while True:
-        least = both.join(state.select(F.col("id").alias("v"), "root"), "v").groupBy(F.col("u").alias("id")).agg(F.min("root").alias("low"))
-        new = state.join(least, "id", "left").select("chrom", "id", F.least("root", F.coalesce("low", "root")).alias("root"))
-        hop = new.select(F.col("id").alias("root"), F.col("root").alias("next"))
-        new = keep(new.join(hop, "root").select("chrom", "id", F.col("next").alias("root")), "state")
-        if not new.join(state.withColumnRenamed("root", "old"), ["chrom", "id"]).where("root <> old").take(1):
-            return new.groupBy("chrom").agg(F.count_distinct("root").alias("parts"))
-        state = new
-
-
 def long_format(cells: DataFrame, bin_size: int) -> DataFrame:
     """(chrom, start1, start2, x) for tools that read melted matrices."""
     return full(cells).select("chrom", (F.col("i") * bin_size).alias("start1"), (F.col("j") * bin_size).alias("start2"), "x")

@@ -104,16 +104,12 @@ def alternate(rows: DataFrame, lam: float, gamma: float = 0.0, least_change: flo
     return out
 
 
-def degrees_of_freedom(cells: DataFrame, max_dist: int | None = None, tolerance: float = 0.0) -> DataFrame:
-    """(chrom, lam, df): connected parts of positive cells (chrom, lam, i, j, x) that differ by ``tolerance`` at most; eight neighbours count.
+def _parts(rows: DataFrame, tolerance: float) -> DataFrame:
+    """(chrom, lam, df): connected parts of cells (chrom, lam, i, j, x) that differ by ``tolerance`` at most; eight neighbours count.
 
-    Cells further than max_dist from the diagonal, or under the tolerance, take no part; a matrix without parts has no row. Runs of a row are
-    one node, and meet those of the next row; the smallest number of a node spreads along links, and by pointers to what it points to, until
-    nothing changes.
+    Runs of a row are one node, and meet those of the next row; the smallest number of a node spreads along links, and by pointers to what it points
+    to, until nothing changes.
     """
-    rows = cells.where((F.col("x") > 0) & (F.col("x") >= tolerance))
-    if max_dist is not None:
-        rows = rows.where(F.abs(F.col("i") - F.col("j")) <= max_dist)
     w = Window.partitionBy("chrom", "lam", "i").orderBy("j")
     first = (F.col("j") != F.lag("j").over(w) + 1) | (F.abs(F.col("x") - F.lag("x").over(w)) > tolerance)
     rows = rows.select("chrom", "lam", "i", "j", "x", F.when(F.coalesce(first, F.lit(True)), F.col("j")).alias("from"))
@@ -135,6 +131,22 @@ def degrees_of_freedom(cells: DataFrame, max_dist: int | None = None, tolerance:
         state = new.drop("old")
 
 
+def degrees_of_freedom(cells: DataFrame, max_dist: int | None = None, tolerance: float = 0.0) -> DataFrame:
+    """(chrom, lam, df): connected parts of positive cells (chrom, lam, i, j, x) that differ by ``tolerance`` at most; eight neighbours count.
+
+    Cells further than max_dist from the diagonal, or under the tolerance, take no part; a matrix without parts has no row.
+    """
+    rows = cells.where((F.col("x") > 0) & (F.col("x") >= tolerance))
+    if max_dist is not None:
+        rows = rows.where(F.abs(F.col("i") - F.col("j")) <= max_dist)
+    return _parts(rows, tolerance)
+
+
+def plateaus(cells: DataFrame, tolerance: float) -> DataFrame:
+    """(chrom, parts): connected parts of near-equal neighbouring cells (chrom, i, j, x), whatever their values; eight neighbours count."""
+    return _parts(cells.withColumn("lam", F.lit(0.0)), tolerance).select("chrom", F.col("df").alias("parts"))
+
+
 def path_correlations(a: DataFrame, b: DataFrame, distances: list[int], method: str = "pearson") -> DataFrame:
     """(chrom, lam, dist, r): correlation of two paths (chrom, lam, i, j, x) of dense cells whose distance is from one of 0 and ``distances`` to the next, ``dist``, both included.
 

@@ -117,7 +117,6 @@ BOTH = ", ab AS (SELECT coalesce(c.chrom, o.chrom) AS chrom, coalesce(c.i, o.i)
 add("c12_corr", lambda s, d: ct.correlate(CELLS(s, d), OTHER(s, d)), CON + BOTH + "SELECT chrom, corr(a, b) AS r, count(*) AS n FROM ab GROUP BY chrom")
 add("c13_compare", lambda s, d: ct.compare_by_distance(CELLS(s, d), OTHER(s, d), [1, 3, 10, 50]), CON + BOTH + "SELECT chrom, cast(t AS int) AS dist, corr(a, b) AS r FROM ab JOIN (VALUES (1), (3), (10), (50)) AS ts(t) ON j - i <= t GROUP BY chrom, t")
 add("c14_overlap_curve", lambda s, d: ct.overlap_curve(CELLS(s, d), OTHER(s, d), [0.5, 1.5, 4.0]), CON + BOTH + "SELECT t::double AS cutoff, sum(CASE WHEN a > t AND b > t THEN 1 ELSE 0 END) / cast(sum(CASE WHEN a > t OR b > t THEN 1 ELSE 0 END) AS double) AS overlap FROM ab CROSS JOIN (VALUES (0.5), (1.5), (4.0)) AS ts(t) GROUP BY t")
-add("c15_plateaus", lambda s, d: ct.plateaus(DENSE(s, d).where("i < 30 AND j < 30").na.fill(0.0, ["x"]), 0.5))
 add("c16_penalty", lambda s, d: ct.penalty_ratio(DENSE(s, d).na.fill(0.0, ["x"]), DENSE(s, d).na.fill(1.0, ["x"]), 0.5, 2.0), CON + DENSE_SQL + ", y AS (SELECT chrom, i, j, coalesce(x, 0) AS x, coalesce(x, 1) AS y FROM den), t AS (SELECT *, abs(x - lag(x) OVER (PARTITION BY chrom, i ORDER BY j)) AS da, abs(x - lag(x) OVER (PARTITION BY chrom, j ORDER BY i)) AS db FROM y) SELECT chrom, (0.5 * sum(abs(x)) + 2 * sum(coalesce(da, 0) + coalesce(db, 0))) / sum((x - y) * (x - y)) AS ratio FROM t GROUP BY chrom")
 SCORES = """, b AS (SELECT chrom, cast(b AS bigint) AS i FROM (SELECT DISTINCT chrom FROM cells) AS c CROSS JOIN range(101) AS r(b)), s AS (SELECT b.chrom, b.i,
 CASE WHEN b.i >= 5 THEN coalesce(sum(CASE WHEN c.i >= b.i - 5 AND c.j <= b.i THEN x END), 0) / 21 ELSE 0 END AS l, CASE WHEN b.i <= 95 THEN coalesce(sum(CASE WHEN c.i >= b.i AND c.j <= b.i + 5 THEN x END), 0) / 21 ELSE 0 END AS r,

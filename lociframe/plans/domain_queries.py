@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lociframe.operators import contact as ct
 from lociframe.operators import fusion as fu
 from lociframe.operators import topdomains as td
-from lociframe.plans.cell_queries import CELLS, CON, OTHER, SIZES
+from lociframe.plans.cell_queries import CELLS, CON, DENSE, OTHER, SIZES
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -87,6 +87,7 @@ add("c13_best_lambda", lambda s, d: fu.best_lambda(fu.degrees_of_freedom(PATH(CE
 ZERO = lambda cells: lambda s, d: ct.full(cells(s, d)).withColumn("lam", F.lit(0.0))
 add("c15_freedom", lambda s, d: fu.degrees_of_freedom(ZERO(CELLS)(s, d)), CON.replace("WITH", "WITH RECURSIVE", 1) + """, reach(chrom, i, j, k, l) AS (SELECT chrom, i, j, i, j FROM ful UNION SELECT r.chrom, r.i, r.j, b.i, b.j FROM reach r JOIN ful a ON a.chrom = r.chrom AND a.i = r.k AND a.j = r.l JOIN ful b ON b.chrom = a.chrom AND b.x = a.x AND abs(b.i - a.i) <= 1 AND abs(b.j - a.j) <= 1),
 least AS (SELECT chrom, i, j, min(k * 1000 + l) AS root FROM reach GROUP BY chrom, i, j) SELECT chrom, cast(0 AS double) AS lam, count(DISTINCT root) AS df FROM least GROUP BY chrom""")
+add("c15_plateaus", lambda s, d: fu.plateaus(DENSE(s, d).na.fill(0.0, ["x"]), 0.5))
 DENSE2 = lambda cells: lambda s, d: fu.dense(cells(s, d), SIZES(s, d)).withColumn("lam", F.lit(0.0))
 BANDS = """, al AS (SELECT c.chrom, a.i, b.j, coalesce(f.x, 0) AS x, coalesce(o.x, 0) AS y FROM (SELECT DISTINCT chrom FROM cells) AS c CROSS JOIN range(101) AS a(i) CROSS JOIN range(101) AS b(j) LEFT JOIN cells f ON f.chrom = c.chrom AND f.i = a.i AND f.j = b.j LEFT JOIN other o ON o.chrom = c.chrom AND o.i = a.i AND o.j = b.j WHERE a.i <= b.j),
 band AS (SELECT chrom, hi AS dist, x, y FROM al JOIN (VALUES (0, 3), (3, 10), (10, 50)) AS t(lo, hi) ON j - i BETWEEN lo AND hi), ranks AS (SELECT chrom, dist, rank() OVER (PARTITION BY chrom, dist ORDER BY x) + (count(*) OVER (PARTITION BY chrom, dist, x) - 1) / 2.0 AS x, rank() OVER (PARTITION BY chrom, dist ORDER BY y) + (count(*) OVER (PARTITION BY chrom, dist, y) - 1) / 2.0 AS y FROM band) """
