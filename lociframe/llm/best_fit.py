@@ -70,11 +70,17 @@ class Tokens:
         self.words = _Words(self._word)
 
     def _word(self, word: str) -> bytes:
-        """A normalised word's ids by the library's model, which takes bytes as the letters that stand for them."""
-        if not (word.isascii() and word.isprintable()):
+        """A normalised word's ids: by the library's model, which takes bytes as the letters that stand for them, or where it has other letters by the
+        library, whose tables of what a letter is may be older than ours."""
+        if not word.isascii():
+            return self._whole(word)
+        if not word.isprintable():
             word = "".join(map(self.letters.__getitem__, word.encode("utf-8")))
         return b"".join([self.packed[t.id] for t in self.model.tokenize(word)])
 
+    def _whole(self, text: str) -> bytes:
+        return b"".join(map(self.packed.__getitem__, self.library.encode(text, add_special_tokens=False).ids))
+
     @staticmethod
     def normalised(text: str) -> str:
         import unicodedata
@@ -100,7 +106,7 @@ class Tokens:
         if not text:
             return b""
         if not self.by_word or any(s in text for s in self.special):
-            return b"".join(map(self.packed.__getitem__, self.library.encode(text, add_special_tokens=False).ids))
+            return self._whole(text)
         out = []
         for part in self.parts(text):
             part = self.normalised(part)
