@@ -338,3 +338,49 @@ def test_short_lines_and_short_words_repeat(spark):
     rows = [(1, text), (2, text.replace("dog", "cow")), (3, "a b c d e"), (4, "a b c d"), (5, "a b c x y"), (6, "甲乙丙丁戊"), (7, "甲乙丙丁己"), (8, "甲乙丙子丑")]
     out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(r.doc_id for r in out.collect() if r.n_removed) == [2, 4, 7]
+
+
+def test_lines_of_common_words_lose_no_link(spark):
+    """Every pair is at the most edits, and shares a run of words that all lines have and no other run of three."""
+    rng = random.Random(23)
+    lines = []
+    for i in range(150):
+        base = rng.choices([f"w{j}" for j in range(100000)], k=10)
+        base[3:7] = ["as", "far", "as", "possible"]
+        copy = list(base)
+        copy[2], copy[7] = f"new{i}", f"other{i}"
+        lines += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(copy))]
+    lines += [(1000 + i, " ".join(["twice", f"x{i}", "over"] * 2 + [f"y{i}", "as", "far", "as", "possible"])) for i in range(40)]
+    lines += [(2000 + i, " ".join(["twice", f"x{i}", "over"] * 2 + [f"z{i}", "as", "far", "as"])) for i in range(40)]
+    out = line_dedup.dedup_lines(spark.createDataFrame(lines, "doc_id long, text string"))
+    gone = {r.doc_id for r in out.where("n_removed > 0").select("doc_id").collect()}
+    assert gone == {2 * i + 1 for i in range(150)} | {2000 + i for i in range(40)}
+
+
+@pytest.mark.parametrize("common", [1, 3])
+def test_alike_lines_whatever_key_is_common(spark, monkeypatch, common):
+    monkeypatch.setattr(line_dedup, "COMMON", common)
+    monkeypatch.setattr(line_dedup, "PART_ROWS", 4 * common)
+    test_alike_lines_by_brute_force(spark)
+
+
+def test_lines_alike_have_two_keys_in_common(spark):
+    """Words that repeat, and the lengths before another edit is allowed."""
+    rng = random.Random(24)
+    rows, pairs = [], 0
+    for i in range(1500):
+        base = rng.choices(["a", "bb", "ccc", "dd"] + [f"w{j}" for j in range(rng.choice((0, 5, 50)))], k=rng.randint(4, 40))
+        copy = list(base)
+        for _ in range((len(base) + 1) // 5):
+            at = rng.randrange(len(copy))
+            copy[at : at + 1] = rng.choice(([], ["new"], ["bb", copy[at]], [copy[at], "new"]))
+        rows += [(2 * i, len(base), " ".join(base)), (2 * i + 1, len(copy), " ".join(copy))]
+    keys = {}
+    for r in line_dedup.key_table(line_dedup.text_table(spark.createDataFrame(rows, "line long, n int, norm string"))).collect():
+        keys.setdefault(r.line, set()).add(r.key)
+    for i in range(1500):
+        x, y = (rows[2 * i + k][2].split() for k in (0, 1))
+        if 0 < edits(x, y) <= max(len(x), len(y)) // 5:
+            assert len(keys[2 * i] & keys[2 * i + 1]) > 1, (x, y)
+            pairs += 1
+    assert pairs > 500
