@@ -76,6 +76,7 @@ class Vocabulary:
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}  # the words before; those that come again move to words
         self.packed = [int(i).to_bytes(4, "little") for i in range(size)]
+        self.sizes = [len(b) for b in self.bytes]
         self.table = np.array(self.bytes + [None], dtype=object)[:-1]
 
     @staticmethod
@@ -120,28 +121,31 @@ class Vocabulary:
 
     def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
         """Ids of distinct words, each id as four little-endian bytes."""
-        ids, may_follow, packed, token, follows, lengths = self.ids, self.may_follow, self.packed, self.bytes, self.follows, self.lengths
+        id_of, may_follow, packed, size, follows, lengths = self.ids.get, self.may_follow, self.packed, self.sizes, self.follows.get, self.lengths.get
         out: dict[str, bytes] = {}
         path, last = b"", [-1]  # the trie's path, and its nodes' last tokens; sorted words are the trie in depth-first order
-        for raw, word in sorted((w.encode("utf-8"), w) for w in words):
-            top, shared = min(len(path), len(raw)), 0
-            while shared < top and path[shared] == raw[shared]:
-                shared += 1
-            del last[shared + 1 :]
+        for word in sorted(words):  # letters sort as their bytes do
+            raw = word.encode("utf-8")
+            if raw.startswith(path):
+                shared = len(path)
+            else:
+                shared = 0
+                while path[shared] == raw[shared]:  # they differ before either ends
+                    shared += 1
+                del last[shared + 1 :]
             for end in range(shared + 1, len(raw) + 1):
                 tail = raw[end - 4 : end] if end > 3 else raw[:end]
-                for n in lengths.get(tail) or lengths.get(tail[-3:]) or lengths.get(tail[-2:]) or (1,):
-                    start = end - n
-                    if start < 0:
+                for n in lengths(tail) or lengths(tail[-3:]) or lengths(tail[-2:]) or (1,):
+                    if n > end:
                         continue
-                    t = ids.get(raw[start:end])
+                    t = id_of(raw[end - n : end])
                     if t is None:
                         continue
-                    before = last[start]
-                    if before < 0:
+                    if n == end:
                         break
-                    ok = follows.get(before << 32 | t)
-                    if ok if ok is not None else may_follow(before, t):
+                    before = last[end - n]
+                    ok = follows(before << 32 | t)
+                    if ok or ok is None and may_follow(before, t):
                         break
                 else:  # a byte that the vocabulary lacks
                     raise ValueError(f"the vocabulary has no token for byte {raw[end - 1]}")
@@ -149,7 +153,7 @@ class Vocabulary:
             path, end, back = raw, len(raw), []
             while end:  # the token that ends here, and so on at its start
                 back.append(packed[last[end]])
-                end -= len(token[last[end]])
+                end -= size[last[end]]
             back.reverse()
             out[word] = b"".join(back)
         return out
@@ -166,7 +170,7 @@ class Vocabulary:
                 at = m.end()
             pieces.append(find(text[at:] if at else text or ""))
             cut.append(pieces)
-        words = {w for pieces in cut for p in pieces if isinstance(p, list) for w in p}
+        words = set().union(*[p for pieces in cut for p in pieces if isinstance(p, list)])
         if len(self.words) > CACHED_WORDS // 2:
             self.older, self.words = self.words, {}
         missing = words.difference(self.words)

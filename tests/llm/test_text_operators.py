@@ -425,3 +425,13 @@ def test_files_with_other_rules_are_refused():
     for other in ({"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {"type": "Whitespace"}}, {"pre_tokenizer": spec["pre_tokenizer"] | {"add_prefix_space": True}}):
         with pytest.raises(ValueError):
             bpe.Vocabulary(json.dumps(spec | other))
+
+
+def test_words_in_order_of_letters_or_bytes():
+    """The walk takes words by their letters: beyond U+FFFF too that is the order of their bytes."""
+    tokenizers = pytest.importorskip("tokenizers")
+    own, other = bpe.Vocabulary(bpe.read_vocabulary(VOCABULARY)), tokenizers.Tokenizer.from_file(VOCABULARY)
+    words = ["\uffee", "\U00010400\uffee", "\ue000a", "\U0001f600", "z\U0001f600", "zz", "z", "zoo", "zoos", "\uffeez", "\x7f", "\x80", "a\x00", "a"]
+    for word, ids in own.encode_words(words).items():
+        assert [int.from_bytes(ids[i : i + 4], "little") for i in range(0, len(ids), 4)] == other.encode(word, add_special_tokens=False).ids or len(own.split.findall(word)) > 1, word
+    assert own.sizes == [len(b) for b in own.bytes]
